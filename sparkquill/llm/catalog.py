@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from sparkquill.llm import quality
+from sparkquill.llm import bpe, quality, urls
 
 QUERIES = {
+    "op3_url_filters": urls.query,
     "op6_quality_rules": quality.query,
+    "op8_byte_bpe": bpe.query,
 }
 ORACLES: dict[str, str] = {}
