@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sparkquill.llm import bpe, quality, urls
+from sparkquill.llm import bpe, decontaminate, quality, secrets, urls
 
 QUERIES = {
     "op3_url_filters": urls.query,
     "op6_quality_rules": quality.query,
     "op8_byte_bpe": bpe.query,
+    "op9_decontamination": decontaminate.query,
+    "op10_secret_scans": secrets.query,
 }
 ORACLES: dict[str, str] = {}
