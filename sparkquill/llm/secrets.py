@@ -347,9 +347,13 @@ def joined(spans: Column) -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     spans = F.col("secrets")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *[F.size(F.filter(spans, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        *[count(kind) for kind in KINDS],
         F.sha2(joined(F.filter(spans, lambda s: s["kind"].isin(*KINDS))), 256).alias("base_sha256"),
         joined(spans).alias("spans"),
     )
