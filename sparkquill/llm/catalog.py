@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sparkquill.llm import bpe, decontaminate, quality, secrets, urls
+from sparkquill.llm import bpe, decontaminate, near_dup, quality, secrets, urls, warc
 
 QUERIES = {
+    "op1_warc": warc.query,
     "op3_url_filters": urls.query,
+    "op4_near_dup": near_dup.query,
     "op6_quality_rules": quality.query,
     "op8_byte_bpe": bpe.query,
     "op9_decontamination": decontaminate.query,

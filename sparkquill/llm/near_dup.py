@@ -6,10 +6,12 @@ Bands of ``ROWS`` coordinates propose candidates; their number is such that a pa
 probability of ``MISS`` at most. Every link is confirmed on the full shingle sets.
 
 Groups are never expanded into pairs. Texts of one shingle set are one class, aggregated before the shuffle. In each
-bucket every class is compared with one leader (a star), first the class that meets most others in its buckets, then in
-``STARS - 1`` more rounds any other; links become components, and only buckets that still hold several components stay
-open. At last the pairs across components in open buckets are compared. Pairs whose sizes do not allow a link are left
-out, and so are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
+bucket every class is compared with one leader, the class that meets most others in its buckets; links become
+components. Buckets that still hold several components are searched for the rest exactly, with the leader's set C as a
+ruler: sets x and y share at most min(|x & C|, |y & C|) of C, so a linked pair either reaches the threshold by that
+bound alone (an equi-join on the set sizes that allow it) or shares a shingle outside C (an equi-join on those
+shingles). Neither join meets the pairs of a group of copies. Pairs whose sizes do not allow a link are left out, and so
+are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
 
 Defined results: a text without words, or null, has the empty set, is linked with nothing and is its own component; a
 text of fewer words than a shingle is one shingle; rows that repeat a doc_id and its text get the same answer; of rows
@@ -37,7 +39,6 @@ from sparkquill.shared import stored
 UNIVERSE = 1 << 20
 ROWS = 5
 MISS = 1e-9
-STARS = 3
 
 
 @dataclass(frozen=True)
@@ -152,20 +153,48 @@ def _may_link(a: str, b: str, params: Params) -> Column:
     return (n * 100 >= m * params.least) & (m * 100 >= n * params.least) & (differ <= params.most_bits)
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(f"{a}.rep", f"{b}.rep").alias("a"), F.greatest(f"{a}.rep", f"{b}.rep").alias("b")]
+def _fetched(ids: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
+    return stored(full_sets(texts.join(ids, "doc_id"), params), "sets")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(full_sets(texts.join(ids, "doc_id"), params), "sets")
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common * 100 >= (F.size("x") + F.size("y") - common) * params.least).select("a", "b")
 
 
+def _across(met: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
+    """Distinct pairs (a, b) that may be linked, of classes that met the same leader and are in different components.
+
+    met: (lead, lead_component, rep, component), sets: (doc_id, shingles) of all of them."""
+    rulers = sets.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("c"))
+    both = met.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(rulers, "lead")
+    measured = both.select(
+        "lead", "rep", "component", (F.col("component") != F.col("lead_component")).alias("apart"), F.size("shingles").alias("n"),
+        F.size(F.array_intersect("shingles", "c")).alias("on"), F.array_except("shingles", "c").alias("off"),
+    )
+    measured = stored(measured, "measured")
+    t = params.least
+
+    def side(name: str, *more: str) -> DataFrame:
+        return measured.select("lead", *[F.col(c).alias(f"{c}_{name}") for c in ("rep", "component", "apart", "n", "on")], *more)
+
+    # two classes of the leader's component are linked already, so one of a pair lies apart; if both do, each pair counts once
+    other = (F.col("component_x") != F.col("component_y")) & (~F.col("apart_y") | (F.col("rep_x") < F.col("rep_y")))
+    reaches = lambda common: common * (100 + t) >= (F.col("n_x") + F.col("n_y")) * t
+    bound = F.least("on_x", "on_y")
+    # reaching by the bound means n_y <= on_x * 100 / t - (n_x - on_x)
+    low, high = F.ceil(F.col("n_x") * t / 100).cast("int"), F.floor(F.col("on_x") * 100 / t - (F.col("n_x") - F.col("on_x")) + 1e-6).cast("int")
+    sizes = side("x").filter("apart_x").filter(high >= low).withColumn("n_y", F.explode(F.sequence(low, high)))
+    near = sizes.join(side("y"), ["lead", "n_y"]).filter(other & reaches(bound)).select("rep_x", "rep_y")
+    outside = side("x", F.explode("off").alias("s")).filter("apart_x").join(side("y", F.explode("off").alias("s")), ["lead", "s"]).filter(other)
+    shared = outside.groupBy("lead", "rep_x", "rep_y").agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "on_x", "on_y")])
+    more = shared.filter(reaches(bound + F.col("k"))).select("rep_x", "rep_y")
+    return near.unionByName(more).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
+
+
 def linked(docs: DataFrame, params: Params) -> DataFrame:
     """(doc_id, n, component) of each row of docs (doc_id, text)."""
     signed = stored(signatures(docs, params), "signatures")
@@ -174,38 +203,33 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
         alive.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes"
     )
     texts = docs.select("doc_id", "text")
-    rows = classes.filter("bands is not null").select(F.struct("rep", "n", "bits").alias("x"), F.explode("bands").alias("band"))
+    rows = classes.filter("bands is not null").select("rep", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     members = stored(rows.join(shared, "band"), "buckets")  # classes that share a bucket with another
-    rank = members.groupBy(F.col("x.rep").alias("rep")).agg(F.sum("size").alias("rank"))
-    now = members.withColumn("rep", F.col("x.rep")).join(rank, "rep").withColumn("component", F.col("rep"))
-    checked = links = near = None
-    for step in range(STARS + 1):
-        if step < STARS:  # one leader for each bucket
-            order = [F.col("rank"), -F.col("rep")] if step == 0 else [F.xxhash64("rep", "band", F.lit(step))]
-            lead = now.groupBy("band").agg(F.max(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], "x", "component")).alias("lead"))
-            tried = now.join(lead.select("band", F.col("lead.x").alias("y"), F.col("lead.component").alias("d")), "band")
-            tried = tried.filter((F.col("component") != F.col("d")) & _may_link("x", "y", params))
-        else:  # linked sets are in the same bin of sizes, of a factor of the threshold each, or in adjoining ones
-            bin_of = F.floor(F.log(F.col("x.n").cast("double")) / F.lit(-math.log(params.least / 100)) + 1e-9)
-            one = now.select("band", "x", "component", bin_of.alias("bin"))
-            two = one.select("band", F.col("x").alias("y"), F.col("component").alias("d"), F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"))
-            tried = one.join(two, ["band", "bin"])
-            tried = tried.filter((F.col("x.rep") < F.col("y.rep")) & (F.col("component") != F.col("d")) & _may_link("x", "y", params))
-        pairs = tried.select(*_ordered("x", "y")).distinct()
-        pairs = stored(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        if not pairs.isEmpty():
-            found = stored(confirmed(pairs, texts, params), "links")
-            links = found if links is None else links.unionByName(found)
-            near = components(links)
-        if near is None or step == STARS:
-            break
-        known = members.withColumn("rep", F.col("x.rep")).join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        still = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("band")
-        now = stored(known.join(still, "band"), "open")
-        if now.isEmpty():
-            break
+    rank = members.groupBy("rep").agg(F.sum("size").alias("rank"))
+    ranked = members.select("band", "rep").join(rank.join(classes.select("rep", "n", "bits"), "rep"), "rep")
+    lead = ranked.groupBy("band").agg(F.max(F.struct("rank", (-F.col("rep")).alias("order"), "rep", "n", "bits")).alias("y"))
+    stars = stored(ranked.select("band", F.struct("rep", "n", "bits").alias("x")).join(lead, "band"), "stars")
+    pairs = stars.filter((F.col("x.rep") != F.col("y.rep")) & _may_link("x", "y", params))
+    pairs = stored(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
+    near = None
+    if not pairs.isEmpty():
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        links = stored(confirmed(pairs, _fetched(ids, texts, params), params), "links")
+        near = components(links)
+        of = near.withColumnRenamed("node", "rep")
+        known = stars.select("band", F.col("x.rep").alias("rep"), F.col("y.rep").alias("lead")).join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    else:
+        known = stars.select("band", F.col("x.rep").alias("rep"), F.col("y.rep").alias("lead")).withColumn("component", F.col("rep"))
+    still = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.when(F.col("rep") == F.col("lead"), F.col("component"))).alias("lead_component"))
+    still = still.filter("low != high").select("band", "lead_component")
+    met = stored(known.join(still, "band").select("lead", "lead_component", "rep", "component").distinct(), "met")
+    if not met.isEmpty():
+        sets = _fetched(met.select(F.col("rep").alias("doc_id")).distinct(), texts, params)
+        more = stored(_across(met, sets, params).join(pairs, ["a", "b"], "left_anti"), "across")
+        if not more.isEmpty():
+            found = stored(confirmed(more, sets, params), "links")
+            near = components(found if near is None else links.unionByName(found))
     found = classes.select("key", "rep", F.col("rep").alias("component"))
     if near is not None:
         found = found.drop("component").join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
