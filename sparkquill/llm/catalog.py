@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sparkquill.llm import bpe, decontaminate, near_dup, pii, quality, secrets, substring_dup, urls, warc
+from sparkquill.llm import bpe, decontaminate, html_text, near_dup, pii, quality, secrets, substring_dup, urls, warc
 
 QUERIES = {
     "op1_warc": warc.query,
     "op2_pii": pii.query,
     "op3_url_filters": urls.query,
     "op4_near_dup": near_dup.query,
+    "op5_html_text": html_text.query,
     "op6_quality_rules": quality.query,
     "op7_substring_dedup": substring_dup.query,
     "op8_byte_bpe": bpe.query,
