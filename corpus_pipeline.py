@@ -1,20 +1,52 @@
-"""Corpus clean-up in stages: each takes what the one before kept."""
+"""Corpus clean-up in stages: each works on all that the one before kept, and is written and read again as Parquet.
+
+1. quality rules: documents that break a rule go
+2. MinHash near-dedup: of each group of near-duplicates the document of the smallest doc_id stays
+3. benchmark decontamination: documents that hold a window of a benchmark item go
+4. secret scans: secrets are replaced by a mark, and n_chars is counted again
+5. byte-level BPE: texts become token ids, with the columns of a document but its text
+
+Nulls, repeated rows and empty tables have the results that the operators' modules define; a null text has no words, so
+the first stage rejects it. Extra columns of the input are carried through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkquill.llm import quality
+from sparkquill.llm import bpe, decontaminate, near_dup, quality, secrets
 from sparkquill.shared import stored
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.judge(docs).filter("quality.kept").drop("quality")
 
 
-STAGES = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.kept(docs).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.removed(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs).drop("text").withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("byte_bpe", byte_bpe),
+]
+#: The field of the secret scan and the merges of the encoder have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
