@@ -7,8 +7,8 @@ probability of ``MISS`` at most. Every link is confirmed on the full shingle set
 
 Groups are never expanded into pairs. Texts of one shingle set are one class, aggregated before the shuffle. In each
 bucket every class is compared with one leader, the class that meets most others in its buckets; links become
-components. Buckets that still hold several components are searched for the rest exactly, with the leader's set C as a
-ruler: sets x and y share at most min(|x & C|, |y & C|) of C, so a linked pair either reaches the threshold by that
+components. Buckets that still hold several components are searched for the rest exactly, with one set C as a ruler, the
+highest leader that any of the bucket's classes has met, so that a group of near copies has few rulers: sets x and y share at most min(|x & C|, |y & C|) of C, so a linked pair either reaches the threshold by that
 bound alone (an equi-join on the set sizes that allow it) or shares a shingle outside C (an equi-join on those
 shingles). Neither join meets the pairs of a group of copies. Pairs whose sizes do not allow a link are left out, and so
 are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
@@ -39,6 +39,8 @@ from sparkquill.shared import stored
 UNIVERSE = 1 << 20
 ROWS = 5
 MISS = 1e-9
+#: Ids of texts to fetch that are broadcast at most, 8 bytes each.
+BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -154,7 +156,10 @@ def _may_link(a: str, b: str, params: Params) -> Column:
 
 
 def _fetched(ids: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
-    return stored(full_sets(texts.join(ids, "doc_id"), params), "sets")
+    """The full sets of the texts with these doc_ids. Up to ``BROADCAST_IDS`` ids go to the texts, so those are not shuffled; beyond, both are."""
+    ids = stored(ids, "ids")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return stored(full_sets(texts.join(F.broadcast(ids) if few else ids, "doc_id"), params), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
@@ -166,7 +171,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
 
 
 def _across(met: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
-    """Distinct pairs (a, b) that may be linked, of classes that met the same leader and are in different components.
+    """Distinct pairs (a, b) that may be linked, of classes that have the same ruler and are in different components.
 
     met: (lead, lead_component, rep, component), sets: (doc_id, shingles) of all of them."""
     rulers = sets.select(F.col("doc_id").alias("lead"), F.col("shingles").alias("c"))
@@ -213,19 +218,26 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
     pairs = stars.filter((F.col("x.rep") != F.col("y.rep")) & _may_link("x", "y", params))
     pairs = stored(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct(), "pairs")
     near = None
+    known = stars.select("band", F.col("x.rep").alias("rep"), F.struct("y.rank", "y.order", "y.rep").alias("lead"))
     if not pairs.isEmpty():
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        links = stored(confirmed(pairs, _fetched(ids, texts, params), params), "links")
+        sets = _fetched(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), texts, params)
+        links = stored(confirmed(pairs, sets, params), "links")
         near = components(links)
-        of = near.withColumnRenamed("node", "rep")
-        known = stars.select("band", F.col("x.rep").alias("rep"), F.col("y.rep").alias("lead")).join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        known = known.join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     else:
-        known = stars.select("band", F.col("x.rep").alias("rep"), F.col("y.rep").alias("lead")).withColumn("component", F.col("rep"))
-    still = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.when(F.col("rep") == F.col("lead"), F.col("component"))).alias("lead_component"))
-    still = still.filter("low != high").select("band", "lead_component")
-    met = stored(known.join(still, "band").select("lead", "lead_component", "rep", "component").distinct(), "met")
+        known = known.withColumn("component", F.col("rep"))
+    still = known.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("band")
+    highest = known.groupBy("rep").agg(F.max("lead").alias("best"))
+    open_ = stored(known.join(still, "band").join(highest, "rep").select("band", "rep", "component", "best"), "open")
+    rulers = open_.groupBy("band").agg(F.max("best").getField("rep").alias("lead"))
+    met = open_.join(rulers, "band").select("lead", "rep", "component").distinct()
+    if near is not None:
+        met = met.join(near.select(F.col("node").alias("lead"), F.col("component").alias("lead_component")), "lead", "left").withColumn("lead_component", F.coalesce("lead_component", "lead"))
+    else:
+        met = met.withColumn("lead_component", F.col("lead"))
+    met = stored(met, "met")
     if not met.isEmpty():
-        sets = _fetched(met.select(F.col("rep").alias("doc_id")).distinct(), texts, params)
+        sets = _fetched(met.select(F.explode(F.array("rep", "lead")).alias("doc_id")).distinct(), texts, params)
         more = stored(_across(met, sets, params).join(pairs, ["a", "b"], "left_anti"), "across")
         if not more.isEmpty():
             found = stored(confirmed(more, sets, params), "links")
