@@ -33,6 +33,8 @@ from sparkquill.shared import stored
 
 WINDOW = 20
 K = 8
+#: Documents whose ids are broadcast at most, so that only their texts are shuffled; beyond, all texts are.
+BROADCAST_IDS = 1_000_000
 
 
 def names(kmers: np.ndarray, span: int) -> np.ndarray:
@@ -90,36 +92,32 @@ def _edges(docs: DataFrame, size: int, k: int) -> DataFrame:
 
 
 def _read(rows: DataFrame, size: int, single: bool) -> DataFrame:
-    """The words of paths again. rows: (doc_id, t, text, paths array<(kmer, start, n)>). Returns (doc_id, t, kmer, start, n, h, g)
-    with two hashes of the words of each path, or with ``single`` of each of its windows."""
-    schema = "doc_id long, t long, kmer long, start int, n int, h long, g long"
+    """The words of paths again. rows: (doc_id, t, text, paths array<(kmer, start, n)>). Returns (doc_id, t, kmer, start, n, h)
+    with a hash of the words of each path, or with ``single`` (doc_id, t, start, h, g) with two of each of its windows."""
+    schema = "doc_id long, t long, start int, h long, g long" if single else "doc_id long, t long, start int, h long, kmer long, n int"
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in words.blocks(batches, "text"):
             split = words.split(block.column("text"), words.NOT_SPACE)
-            second = words.mix(split.hashes ^ np.uint64(0xA0761D6478BD642F))
             paths = block.column("paths")
             bounds = paths.offsets.to_numpy()
-            kmer, start, n = (paths.values.field(c).to_numpy() for c in range(3))
+            kmer, start, n = (paths.values.field(c).to_numpy()[bounds[0] : bounds[-1]] for c in range(3))
             text = np.repeat(np.arange(len(block)), np.diff(bounds))
-            kmer, start, n = (c[bounds[0] : bounds[-1]] for c in (kmer, start, n))
             if single:
                 inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                text, kmer, start = np.repeat(text, n), np.repeat(kmer, n), np.repeat(start, n) + inner.astype(np.int32)
+                text, start = np.repeat(text, n), np.repeat(start, n) + inner
                 n = np.ones(len(start), np.int32)
             at = split.first[text] + start
-            h, g = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+            h = np.zeros(len(at), np.int64)
             for length in np.unique(n):
                 mine = n == length
-                for out, hashes in ((h, split.hashes), (g, second)):
-                    out[mine] = _gathered(hashes, at[mine], int(length) + size - 1).view(np.int64)
+                h[mine] = _gathered(split.hashes, at[mine], int(length) + size - 1).view(np.int64)
+            second = {"g": pa.array(_gathered(words.mix(split.hashes ^ np.uint64(0xA0761D6478BD642F)), at, size).view(np.int64))} if single else {"kmer": pa.array(kmer), "n": pa.array(n)}
             take = pa.array(text)
+            columns = {"doc_id": block.column("doc_id").take(take), "t": block.column("t").take(take), "start": pa.array(start.astype(np.int32)), "h": pa.array(h)} | second
+            whole = pa.RecordBatch.from_pydict(columns)
             for i in range(0, len(at), 100_000):
-                part = slice(i, i + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [block.column("doc_id").take(take[part]), block.column("t").take(take[part]), pa.array(kmer[part]), pa.array(start[part].astype(np.int32)), pa.array(n[part].astype(np.int32)), pa.array(h[part]), pa.array(g[part])],
-                    names=["doc_id", "t", "kmer", "start", "n", "h", "g"],
-                )
+                yield whole.slice(i, 100_000)
 
     return rows.mapInArrow(each, schema)
 
@@ -141,22 +139,29 @@ def repeats(docs: DataFrame, size: int = WINDOW, k: int = K) -> DataFrame:
     paths = stored(paths.withColumnsRenamed({"doc_id": "d", "t": "u"}), "paths")
     found = stored(_read(_with_text(docs, paths), size, single=False), "read")
     place = F.struct("doc_id", "t", "start")
-    plain = found.groupBy("kmer").agg(
-        F.min("h").alias("h0"), F.max("h").alias("h1"), F.min("g").alias("g0"), F.max("g").alias("g1"), F.min("n").alias("n0"), F.max("n").alias("n1"), F.min(place).alias("first"), F.max(place).alias("last")
-    )
-    plain = plain.filter("first != last").select("kmer", "first", F.expr("h0 = h1 and g0 = g1 and n0 = n1").alias("straight"))
+    # the hash of a path covers its length, and is only compared with those of the same k-mer
+    plain = found.groupBy("kmer").agg(F.min("h").alias("h0"), F.max("h").alias("h1"), F.min(place).alias("first"), F.count("*").alias("c"))
+    plain = plain.filter("c > 1").select("kmer", "first", F.expr("h0 = h1").alias("straight"))
     judged = stored(found.join(plain, "kmer"), "judged")
     straight = judged.filter("straight").filter(place != F.col("first")).select("doc_id", "t", "start", "n")
     # a run whose words no other run of its k-mer has may still share windows with them
     branching = judged.filter("not straight").groupBy("doc_id", "t").agg(F.collect_list(F.struct("kmer", "start", "n")).alias("paths"))
     branching = stored(branching.withColumnsRenamed({"doc_id": "d", "t": "u"}), "branches")
     single = stored(_read(_with_text(docs, branching), size, single=True), "windows")
-    first = single.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").select("h", "g", "first")
-    later = single.join(first, ["h", "g"]).filter(place != F.col("first")).select("doc_id", "t", "start", "n")
+    first = single.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").select("h", "g", "first")
+    later = single.join(first, ["h", "g"]).filter(place != F.col("first")).select("doc_id", "t", "start", F.lit(1).alias("n"))
     return straight.unionByName(later)
 
 
+def _few(ids: DataFrame) -> bool:
+    return ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+
+
 def _with_text(docs: DataFrame, paths: DataFrame) -> DataFrame:
+    """Rows of paths (d, u, paths) with the texts; up to ``BROADCAST_IDS`` documents are picked before the shuffle."""
+    ids = paths.select(F.col("d").alias("_d"))
+    if _few(ids):
+        docs = docs.join(F.broadcast(ids.distinct()), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
     return docs.join(paths, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("u"))).select("doc_id", "t", "text", "paths")
 
 
@@ -165,8 +170,19 @@ def removed(docs: DataFrame, size: int = WINDOW, k: int = K) -> DataFrame:
     keyed = _key(docs)
     found = repeats(keyed, size, k).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n") + size - 1).alias("end")))).alias("spans"))
     found = stored(found.withColumnsRenamed({"doc_id": "d", "t": "u"}), "spans")
-    joined = docs.withColumn("_t", F.xxhash64(F.coalesce("text", F.lit("")))).join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_t") == F.col("u")), "left")
-    return joined.select(*docs.columns, F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    same = F.col("doc_id").eqNullSafe(F.col("d"))
+
+    def joined(part: DataFrame) -> DataFrame:
+        part = part.withColumn("_t", F.xxhash64(F.coalesce("text", F.lit(""))))
+        return part.join(found, same & (F.col("_t") == F.col("u")), "left").select(*docs.columns, F.coalesce("spans", none).alias("spans"))
+
+    ids = found.select("d")
+    if not _few(ids):
+        return joined(docs)
+    # texts that lose nothing stay where they are
+    ids = F.broadcast(ids.distinct())
+    return joined(docs.join(ids, same, "left_semi")).unionByName(docs.join(ids, same, "left_anti").withColumn("spans", none))
 
 
 RESULT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
