@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +31,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers that see this folder import the package, wherever the session was started from. Where they don't, ship it with --py-files."""
+    root = str(Path(__file__).resolve().parent.parent)
+    held = spark.sparkContext.environment
+    if root not in held.get("PYTHONPATH", "").split(os.pathsep):
+        held["PYTHONPATH"] = os.pathsep.join(filter(None, [root, held.get("PYTHONPATH", "")]))
+    return spark
