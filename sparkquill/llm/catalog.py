@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from sparkquill.llm import bpe, decontaminate, html_text, near_dup, pii, quality, secrets, substring_dup, urls, warc
+from sparkquill.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_warc": warc.query,
@@ -16,4 +19,3 @@ QUERIES = {
     "op9_decontamination": decontaminate.query,
     "op10_secret_scans": secrets.query,
 }
-ORACLES: dict[str, str] = {}
