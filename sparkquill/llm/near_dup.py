@@ -7,10 +7,12 @@ probability of ``MISS`` at most. Every link is confirmed on the full shingle set
 
 Groups are never expanded into pairs. Texts of one shingle set are one class, aggregated before the shuffle. In each
 bucket every class is compared with one leader, the class that meets most others in its buckets; links become
-components. Buckets that still hold several components are searched for the rest exactly, with one set C as a ruler, the
-highest leader that any of the bucket's classes has met, so that a group of near copies has few rulers: sets x and y share at most min(|x & C|, |y & C|) of C, so a linked pair either reaches the threshold by that
-bound alone (an equi-join on the set sizes that allow it) or shares a shingle outside C (an equi-join on those
-shingles). Neither join meets the pairs of a group of copies. Pairs whose sizes do not allow a link are left out, and so
+components. Buckets that still hold several components are searched for the rest exactly. Their classes get one ruler,
+the set C of the highest leader that any of them has met, and H, the shingles outside C that more than ``HOT`` classes of
+that ruler hold. Sets x and y share at most min(|x & C|, |y & C|) + min(|x & H|, |y & H|) of C and H, so a linked pair
+either reaches the threshold by that bound alone (an equi-join on the set sizes that allow it) or shares a shingle outside
+both (an equi-join on those shingles, which makes ``HOT`` rows at most for each of its input's). Neither join meets all
+pairs of a group of copies. Pairs whose sizes do not allow a link are left out, and so
 are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
 
 Defined results: a text without words, or null, has the empty set, is linked with nothing and is its own component; a
@@ -39,6 +41,7 @@ from sparkquill.shared import stored
 UNIVERSE = 1 << 20
 ROWS = 5
 MISS = 1e-9
+HOT = 64
 #: Ids of texts to fetch that are broadcast at most, 8 bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -178,24 +181,33 @@ def _across(met: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     both = met.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(rulers, "lead")
     measured = both.select(
         "lead", "rep", "component", (F.col("component") != F.col("lead_component")).alias("apart"), F.size("shingles").alias("n"),
-        F.size(F.array_intersect("shingles", "c")).alias("on"), F.array_except("shingles", "c").alias("off"),
+        F.size(F.array_intersect("shingles", "c")).alias("c"), F.array_except("shingles", "c").alias("off"),
     )
     measured = stored(measured, "measured")
+    off = measured.select("lead", "rep", "apart", F.explode("off").alias("s"))
+    # a pair has a class apart, so only shingles that such a class shares with another count
+    counts = off.groupBy("lead", "s").agg(F.count("*").alias("k"), F.bool_or("apart").alias("any")).filter("k > 1 and any").select("lead", "s", (F.col("k") > HOT).alias("hot"))
+    held = stored(off.select("lead", "rep", "s").join(counts, ["lead", "s"]), "shared")
+    in_h = held.filter("hot").groupBy("lead", "rep").agg(F.count("*").cast("int").alias("h"))
+    rows = measured.drop("off").join(in_h, ["lead", "rep"], "left").withColumn("h", F.coalesce("h", F.lit(0)))
+    rows = stored(rows, "rulers")
     t = params.least
 
-    def side(name: str, *more: str) -> DataFrame:
-        return measured.select("lead", *[F.col(c).alias(f"{c}_{name}") for c in ("rep", "component", "apart", "n", "on")], *more)
+    def side(name: str, df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed({c: f"{c}_{name}" for c in ("rep", "component", "apart", "n", "c", "h")})
 
     # two classes of the leader's component are linked already, so one of a pair lies apart; if both do, each pair counts once
     other = (F.col("component_x") != F.col("component_y")) & (~F.col("apart_y") | (F.col("rep_x") < F.col("rep_y")))
     reaches = lambda common: common * (100 + t) >= (F.col("n_x") + F.col("n_y")) * t
-    bound = F.least("on_x", "on_y")
-    # reaching by the bound means n_y <= on_x * 100 / t - (n_x - on_x)
-    low, high = F.ceil(F.col("n_x") * t / 100).cast("int"), F.floor(F.col("on_x") * 100 / t - (F.col("n_x") - F.col("on_x")) + 1e-6).cast("int")
-    sizes = side("x").filter("apart_x").filter(high >= low).withColumn("n_y", F.explode(F.sequence(low, high)))
-    near = sizes.join(side("y"), ["lead", "n_y"]).filter(other & reaches(bound)).select("rep_x", "rep_y")
-    outside = side("x", F.explode("off").alias("s")).filter("apart_x").join(side("y", F.explode("off").alias("s")), ["lead", "s"]).filter(other)
-    shared = outside.groupBy("lead", "rep_x", "rep_y").agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "on_x", "on_y")])
+    bound = F.least("c_x", "c_y") + F.least("h_x", "h_y")
+    # reaching by the bound means n_y <= on * 100 / t - (n_x - on), where on is what x has of the ruler
+    on = F.col("c_x") + F.col("h_x")
+    low, high = F.ceil(F.col("n_x") * t / 100).cast("int"), F.floor(on * 100 / t - (F.col("n_x") - on) + 1e-6).cast("int")
+    sizes = side("x", rows).filter("apart_x").filter(high >= low).withColumn("n_y", F.explode(F.sequence(low, high)))
+    near = sizes.join(side("y", rows), ["lead", "n_y"]).filter(other & reaches(bound)).select("rep_x", "rep_y")
+    rare = held.filter("not hot").select("lead", "rep", "s").join(rows, ["lead", "rep"])
+    outside = side("x", rare).filter("apart_x").join(side("y", rare), ["lead", "s"]).filter(other)
+    shared = outside.groupBy("lead", "rep_x", "rep_y").agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "c_x", "c_y", "h_x", "h_y")])
     more = shared.filter(reaches(bound + F.col("k"))).select("rep_x", "rep_y")
     return near.unionByName(more).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
@@ -241,7 +253,7 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
         more = stored(_across(met, sets, params).join(pairs, ["a", "b"], "left_anti"), "across")
         if not more.isEmpty():
             found = stored(confirmed(more, sets, params), "links")
-            near = components(found if near is None else links.unionByName(found))
+            near = components(found if near is None else found.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     found = classes.select("key", "rep", F.col("rep").alias("component"))
     if near is not None:
         found = found.drop("component").join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
