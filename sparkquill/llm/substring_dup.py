@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -197,17 +198,28 @@ def cut(docs: DataFrame, into: str = "cut", text: str = "text") -> DataFrame:
             data, offsets = words.text_bytes(block.column(text))
             starts, ends = words.runs(data, offsets, words.NOT_SPACE)
             first = np.searchsorted(starts, offsets)
-            out = []
-            for i, spans in enumerate(block.column("spans").to_pylist()):
-                a, b = int(first[i]), int(first[i + 1])
-                gone = np.zeros(b - a + 1, np.int64)
-                for s in spans or ():
-                    gone[s["start"]] += 1
-                    gone[s["end"]] -= 1
-                stays = np.flatnonzero(np.cumsum(gone)[:-1] == 0) + a
-                own = [data[x:y].tobytes() for x, y in zip(starts[stays].tolist(), ends[stays].tolist(), strict=True)]
-                out.append({"n_words": b - a, "n_removed": b - a - len(own), "kept": b" ".join(own).decode("utf-8", "replace")})
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(out, kind)], names=[*block.schema.names, into])
+            spans = block.column("spans")
+            base, values = first[pc.list_parent_indices(spans).to_numpy()], spans.flatten()
+            edge = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(edge, base + values.field("start").to_numpy(), 1)
+            np.add.at(edge, base + values.field("end").to_numpy(), -1)
+            stays = np.cumsum(edge[:-1]) == 0
+            upto = np.concatenate([[0], np.cumsum(stays)])[first]  # kept words before each text
+            a, b = starts[stays], ends[stays]
+            last = np.zeros(len(a), bool)
+            last[upto[1:][np.diff(upto) > 0] - 1] = True
+            # a kept word takes the byte of white space that follows it along, unless it ends the text
+            stop = b + ~last
+            mark = np.zeros(len(data) + 1, np.int8)
+            mark[a] += 1
+            mark[stop] -= 1
+            spaced = data.copy()
+            spaced[b[~last]] = 0x20
+            size = np.concatenate([[0], np.cumsum(stop - a)])[upto].astype(np.int32)
+            kept = pa.Array.from_buffers(pa.string(), len(block), [None, pa.py_buffer(size), pa.py_buffer(spaced[np.cumsum(mark[:-1], dtype=np.int8) > 0])])
+            n = np.diff(first)
+            out = pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(n - np.diff(upto), pa.int64()), kept], fields=list(kind))
+            yield pa.RecordBatch.from_arrays([*block.columns, out], names=[*block.schema.names, into])
 
     return docs.mapInArrow(each, T.StructType([*docs.schema.fields, T.StructField(into, RESULT)]))
 
