@@ -134,7 +134,8 @@ def _gathered(hashes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 def repeats(docs: DataFrame, size: int = WINDOW, k: int = K) -> DataFrame:
     """(doc_id, t, start, n): n windows from word ``start`` on that start earlier elsewhere too; docs: (doc_id, text, t)."""
     edges = _edges(docs, size, k)  # read twice: cheaper than a stored copy of every run
-    many = edges.groupBy("kmer").agg(F.count("*").alias("c")).filter("c > 1").select("kmer")
+    # aggregates are stored before they are joined: then both sides of the join come from a shuffle of their own, and a hot k-mer may be split
+    many = stored(edges.groupBy("kmer").agg(F.count("*").alias("c")).filter("c > 1").select("kmer"), "many")
     repeated = edges.join(many, "kmer")
     paths = repeated.groupBy("doc_id", "t").agg(F.collect_list(F.struct("kmer", "start", "n")).alias("paths"))
     paths = stored(paths.withColumnsRenamed({"doc_id": "d", "t": "u"}), "paths")
@@ -142,14 +143,14 @@ def repeats(docs: DataFrame, size: int = WINDOW, k: int = K) -> DataFrame:
     place = F.struct("doc_id", "t", "start")
     # the hash of a path covers its length, and is only compared with those of the same k-mer
     plain = found.groupBy("kmer").agg(F.min("h").alias("h0"), F.max("h").alias("h1"), F.min(place).alias("first"), F.count("*").alias("c"))
-    plain = plain.filter("c > 1").select("kmer", "first", F.expr("h0 = h1").alias("straight"))
+    plain = stored(plain.filter("c > 1").select("kmer", "first", F.expr("h0 = h1").alias("straight")), "plain")
     judged = stored(found.join(plain, "kmer"), "judged")
     straight = judged.filter("straight").filter(place != F.col("first")).select("doc_id", "t", "start", "n")
     # a run whose words no other run of its k-mer has may still share windows with them
     branching = judged.filter("not straight").groupBy("doc_id", "t").agg(F.collect_list(F.struct("kmer", "start", "n")).alias("paths"))
     branching = stored(branching.withColumnsRenamed({"doc_id": "d", "t": "u"}), "branches")
     single = stored(_read(_with_text(docs, branching), size, single=True), "windows")
-    first = single.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").select("h", "g", "first")
+    first = stored(single.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1").select("h", "g", "first"), "first")
     later = single.join(first, ["h", "g"]).filter(place != F.col("first")).select("doc_id", "t", "start", F.lit(1).alias("n"))
     return straight.unionByName(later)
 
