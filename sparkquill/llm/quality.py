@@ -143,7 +143,9 @@ def compiled(rules: tuple[Rule, ...] = RULES, signals_in: str = "_q") -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the struct column ``_q`` of all signals."""
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SPACE), lambda w: w != "")
-    counted = docs.withColumn("_c", let(words, lambda w: F.struct(*[c.alias(k) for k, c in counts(F.col(text), w).items()])))
+    counted = let(words, lambda w: F.struct(*[c.alias(k) for k, c in counts(F.col(text), w).items()]))
+    # explode of one element ends the expression: a filter on a verdict is not pushed below it, which would repeat the counts for each signal
+    counted = docs.drop("_c").select("*", F.explode(F.array(counted)).alias("_c"))
     return counted.withColumn("_q", F.struct(*[c.alias(k) for k, c in ratios().items()])).drop("_c")
 
 
