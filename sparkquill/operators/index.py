@@ -88,7 +88,8 @@ def build_provider(name: str, **options) -> Provider:
 
 
 def embedded(df: DataFrame, text: str, provider: str = "hash", prefix: str = "", max_tokens: int = 0, into: str = "embedding", **options) -> DataFrame:
-    """``df`` with vectors of prefix + text, the text cut to ``max_tokens`` words first. The provider is built once a task."""
+    """``df`` with vectors of prefix + text. The provider is built once a task. Texts are whole, unless ``max_tokens`` cuts
+    them to so many words first, for a provider whose input is limited."""
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = build_provider(provider, **options)
         for texts in batches:

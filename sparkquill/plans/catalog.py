@@ -487,7 +487,7 @@ def length_batches(spark, d):
 
 @query("q_embed_hash")
 def embed_hash(spark, d):
-    return index.embedded(read(spark, d, "documents").select("doc_id", "text"), "text", prefix="passage: ", max_tokens=256).select("doc_id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
+    return index.embedded(read(spark, d, "documents").select("doc_id", "text"), "text", prefix="passage: ").select("doc_id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
 
 
 @query("q_finqa_item")

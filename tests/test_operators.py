@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import hashlib
 import json
+import math
 
 from pyspark.sql import functions as F
 
 from sparkquill import schemas
 from sparkquill.operators import evidence, export, generation, grading, html_blocks, index, relational, review, sections
+from sparkquill.plans import catalog
 from sparkquill.sources import files
 from sparkquill.streaming.incremental import store_new
 
@@ -94,6 +97,23 @@ def test_index(spark):
     assert [(r.n_tokens, r.batch) for r in sorted(batches, key=lambda r: r.n_tokens)] == [(1, 0), (2, 0), (3, 1), (50, 1), (200, 2)]
 
 
+def test_embed_hash_reads_whole_texts(spark, tmp_path):
+    def brute(text):
+        out = [0.0] * 64
+        for w in f"passage: {text or ''}".lower().split():
+            h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "big")
+            out[h % 64] += 1 if h >= 1 << 63 else -1
+        return [x / math.sqrt(sum(y * y for y in out)) for x in out]
+
+    same = " ".join(f"w{i}" for i in range(300))
+    held = [(1, f"{same} apple"), (2, f"{same} pear plum"), (3, " ".join(f"v{i % 977}" for i in range(20_000))), (4, "short"), (5, ""), (6, None)]
+    spark.createDataFrame(held, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.embedding for r in catalog.QUERIES["q_embed_hash"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(held) and got[1] != got[2]
+    for i, text in held:
+        assert all(abs(a - b) < 2e-6 for a, b in zip(got[i], brute(text), strict=True)), i
+
+
 def test_review(spark):
     items = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "ord int, id string")
     actions = spark.createDataFrame([(0, "t0", "a", "accept", None), (1, "t1", "a", "discard", "dup"), (2, "t2", "b", "EDIT", "x")], "ord int, ts string, id string, action string, note string")
