@@ -3,7 +3,9 @@
 Each page is parsed into containers, and each container is scored by the text it holds outside menus, adverts and the
 like, its tag and class, and its share of links. A page votes for the generalised path (tags and classes from the root,
 digits and positions left out) of its best container; votes are summed per host in Spark, and every page of the host is
-extracted again from the container at the winning path. A page without that path uses its own best container.
+extracted again from all containers at the winning path, in page order. A page without that path uses the path of its
+own best container. So does, besides the winning one, a page of another template: one whose own containers hold
+``CLEAR_CHARS`` characters more or over, of which those at the winning path are less than ``CLEAR_SHARE``.
 
 Votes pre-aggregate before the shuffle, so a host with a third of all pages costs no more than others. The table of
 winners has a row per host: it is broadcast up to ``BROADCAST_HOSTS`` rows and joined by shuffle beyond.
@@ -29,6 +31,10 @@ from sparkquill.llm.urls import host_of
 from sparkquill.shared import stored
 
 BROADCAST_HOSTS = 200_000
+#: A page's own containers are added to those that its host voted for if these hold less than this share of the text, ...
+CLEAR_SHARE = 0.5
+#: ... and so many characters less. Smaller differences are what the vote is for.
+CLEAR_CHARS = 250
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -218,29 +224,40 @@ def scores(containers: list[Node]) -> list[float]:
     return [t * (1 + c.bonus) * (1 - k / t) if t else 0.0 for c, t, k in zip(containers, text, links, strict=True)]
 
 
-def best(containers: list[Node]) -> tuple[Node, float]:
+def best(containers: list[Node], found: list[float] | None = None) -> tuple[Node, float]:
     """The container of the highest score, of equals the outermost."""
-    found = scores(containers)
+    found = scores(containers) if found is None else found
     k = max(range(len(found)), key=lambda i: (found[i], -i))
     return containers[k], found[k]
 
 
+def within(containers: list[Node], path: str) -> list[bool]:
+    """For each container, whether it is at ``path`` or inside of one that is."""
+    inside: list[bool] = []
+    for c in containers:
+        inside.append(c.path == path or (c.parent is not None and inside[c.parent.order]))
+    return inside
+
+
 def extract(html: str | None, path: str | None = None) -> tuple[str, str]:
-    """The text and the path that it is from: the best container at ``path``, or else of the page."""
+    """The text and the path that it is from: all containers at ``path``, or else at the path of the page's best one.
+
+    Where the page's own hold clearly more than those at ``path``, the text is of both, and the path is the page's own."""
     if not html:
         return "", ""
     containers, blocks = parse(html)
-    node = None
-    if path is not None:
-        found = scores(containers)
-        at = [c for c in containers if c.path == path and found[c.order] > 0]
-        node = max(at, key=lambda c: (found[c.order], -c.order), default=None)
-    node = node or best(containers)[0]
-    inside = [False] * len(containers)
-    inside[node.order] = True
-    for c in containers[node.order + 1 :]:
-        inside[c.order] = inside[c.parent.order]
-    return "\n".join(t for c, t in blocks if inside[c.order]), node.path
+    found = scores(containers)
+    own = best(containers, found)[0].path
+    inside = within(containers, own)
+    if path is not None and path != own and any(found[c.order] > 0 for c in containers if c.path == path):
+        voted = within(containers, path)
+        more = sum(len(t) for c, t in blocks if inside[c.order])
+        less = sum(len(t) for c, t in blocks if voted[c.order])
+        if less < more * CLEAR_SHARE and more - less >= CLEAR_CHARS:
+            inside = [a or b for a, b in zip(inside, voted, strict=True)]
+        else:
+            own, inside = path, voted
+    return "\n".join(t for c, t in blocks if inside[c.order]), own
 
 
 def votes(pages: DataFrame) -> DataFrame:

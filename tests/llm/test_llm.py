@@ -271,6 +271,26 @@ def test_html_text(spark):
     assert html_text.texts(pages.limit(0)).count() == 0
 
 
+def test_html_split_text(spark):
+    a, b, c = "long words " * 80, "more words " * 30, "short words " * 3
+    split = f"<body><article><p>{a}</p><div><article>inner one</article></div></article><p>between</p><article><p>{b}</p></article></body>"
+    numbered = f"<body><div class=content1>{a}</div><div class=content2>{c}</div></body>"
+    held = [(1, "http://a.com/1", split), (2, "http://a.com/2", split), (3, "http://b.com/1", numbered)]
+    got = {r.page_id: (r.text, r.path) for r in html_text.texts(spark.createDataFrame(held, "page_id long, url string, html string")).collect()}
+    assert got[1] == got[2] == (f"{a.strip()}\ninner one\n{b.strip()}", "/body/article")  # what lies in both counts once
+    assert got[3] == (f"{a.strip()}\n{c.strip()}", "/body/div.content")
+
+
+@pytest.mark.parametrize("box", ["<div class=content>%s</div>", "<div>%s</div>"])
+def test_html_two_templates(spark, box):
+    a, b, teaser = "long words " * 80, "more words " * 80, "A teaser."
+    first = f"<body><article><p>{a}</p></article><div class=rest>rest</div></body>"
+    second = f"<body><article><p>{teaser}</p></article>{box % b}</body>"
+    held = [(i, f"http://a.com/{i}", first) for i in range(3)] + [(9, "http://a.com/9", second)]
+    got = {r.page_id: r.text for r in html_text.texts(spark.createDataFrame(held, "page_id long, url string, html string")).collect()}
+    assert got[0] == a.strip() and got[9] == f"{teaser}\n{b.strip()}"
+
+
 @pytest.mark.parametrize(("html", "text"), [("plain", "plain"), ("<p>a<p>b", "a\nb"), ("<div><p>x <b>y", "x y"), ("a < b", "a < b"), ("<p title='a>b'>x</p>", "x"), ("<p>x</p></div></div>y", "x\ny"), ("<div>" * 3000 + "deep", "deep"), ("&lt;p&gt; &#233;", "<p> é")])
 def test_html_odd(html, text):
     assert html_text.extract(html)[0] == text
