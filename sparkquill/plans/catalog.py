@@ -349,6 +349,21 @@ def evidence_rank(spark, d):
     return evidence.ranked(union.drop("rank"), "g", 2, 5).select("g", "chunk_id", "seed", "rank")
 
 
+@query(
+    "q_evidence_rank_by_label",
+    f"""with hits as (select q.label, h.question_id as seed, h.rank, h.chunk_id, h.distance from ({_topk_sql('true', 8)}) h join embeddings q on q.vec_id = h.question_id),
+    u as (select * from hits qualify row_number() over (partition by label, chunk_id order by seed, rank) = 1),
+    r as (select *, count(*) over (partition by label) as n, row_number() over (partition by label order by chunk_id % 2 = 0 desc, distance, seed * 100 + rank)::int as place from u)
+    select label, chunk_id, seed, place as rank from r where n >= 2 and place <= 5""",
+)
+def evidence_rank_by_label(spark, d):
+    """As q_evidence_rank, of all questions instead of two: those of a label are the seeds of a group."""
+    questions = _questions(spark, d)
+    hits = index.top_k(questions.drop("label"), _chunks(spark, d).drop("label"), 8, []).join(questions.select("question_id", "label"), "question_id").withColumnRenamed("question_id", "seed")
+    union = evidence.first_seen(hits, "label").withColumns({"has_table": F.col("chunk_id") % 2 == 0, "ord": F.col("seed") * 100 + F.col("rank")})
+    return evidence.ranked(union.drop("rank"), "label", 2, 5).select("label", "chunk_id", "seed", "rank")
+
+
 @query("q_footnote_filter", r"select doc_id, regexp_matches(text, '\(주\s*[0-9]\)|주[0-9]\)|\*[^*]') as has_footnote from documents")
 def footnote_filter(spark, d):
     return read(spark, d, "documents").select("doc_id", S.has_footnote(F.col("text")).alias("has_footnote"))

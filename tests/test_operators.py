@@ -114,6 +114,15 @@ def test_embed_hash_reads_whole_texts(spark, tmp_path):
         assert all(abs(a - b) < 2e-6 for a, b in zip(got[i], brute(text), strict=True)), i
 
 
+def test_evidence_rank_takes_all_questions(spark, tmp_path):
+    # far from each other by label, so a label's rows can come from its own questions only
+    held = [(i, [float(100 * (i // 100)), float(i % 100)], i // 100) for i in range(300)]
+    spark.createDataFrame(held, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = catalog.QUERIES["q_evidence_rank_by_label"](spark, str(tmp_path)).collect()
+    assert {(r.label, r.rank) for r in got} == {(g, k) for g in range(3) for k in range(1, 6)}
+    assert {r.seed for r in got} == {0, 50, 100, 150, 200, 250}
+
+
 def test_review(spark):
     items = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "ord int, id string")
     actions = spark.createDataFrame([(0, "t0", "a", "accept", None), (1, "t1", "a", "discard", "dup"), (2, "t2", "b", "EDIT", "x")], "ord int, ts string, id string, action string, note string")
