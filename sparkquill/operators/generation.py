@@ -1,4 +1,4 @@
-"""Filling quotas of questions by type: the exact round-robin, and a form in two windows for large pools."""
+"""Filling quotas of questions by type: the exact round-robin, and forms in windows for large pools."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkquill.shared import stored
+
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """A fixed order by a hash of a key and a seed, as the column ``ord_key``."""
@@ -39,13 +41,42 @@ def filled(pool: Iterable[tuple], quotas: dict[str, int], draw: Callable, cap: i
 
 
 def filled_by_windows(candidates: DataFrame, kind: str, source: str, order: str, quotas: DataFrame, cap: int = 5) -> DataFrame:
-    """An approximation of ``filled`` for many candidates: first the cap within a source, then the quota within a type."""
+    """An approximation of ``filled`` for many candidates: first the cap within a source, then the quota within a type.
+
+    Candidates beyond the cap are lost even where quotas stay open; ``filled_by_rounds`` goes on with them."""
     within = F.row_number().over(Window.partitionBy(source).orderBy(order))
     capped = candidates.withColumn("_c", within).filter(F.col("_c") <= cap)
     slot = F.row_number().over(Window.partitionBy(kind).orderBy(order))
     return capped.withColumn("slot", slot).join(F.broadcast(quotas), kind).filter(F.col("slot") <= F.col("quota")).drop("_c", "quota")
 
 
+def filled_by_rounds(candidates: DataFrame, kind: str, source: str, order: str, quotas: DataFrame, cap: int = 5) -> DataFrame:
+    """As ``filled_by_windows``, repeated with the candidates left over until none fits: in the end each of them has a full
+    type or a full source. Which types a source's places go to is not optimised. quotas: (kind, quota), a row a kind.
+
+    Either all that the caps allow is taken, which ends it, or a type is full: so there is a round more than types at most.
+    A source gives ``cap`` rows of a type at most, its first ones, so the rounds work on these only."""
+    first = F.row_number().over(Window.partitionBy(source, kind).orderBy(order))
+    rows = candidates.withColumn("_f", first).filter(F.col("_f") <= cap).drop("_f").join(F.broadcast(quotas.withColumnRenamed("quota", "_need")), kind)
+    rows = stored(rows.withColumns({"_left": F.lit(cap).cast("long"), "_need": F.col("_need").cast("long"), "_row": F.monotonically_increasing_id()}), "candidates")
+    picks = rows.limit(0)
+    while True:
+        within = F.row_number().over(Window.partitionBy(source).orderBy(order, "_row"))
+        capped = rows.withColumn("_c", within).filter((F.col("_c") <= F.col("_left")) & (F.col("_c") <= cap))
+        place = F.row_number().over(Window.partitionBy(kind).orderBy(order, "_row"))
+        taken = stored(capped.withColumn("_p", place).filter(F.col("_p") <= F.col("_need")).drop("_c", "_p"), "picks")
+        if taken.isEmpty():
+            break
+        picks = picks.unionByName(taken)
+        of_source = taken.groupBy(F.col(source).alias("_source")).agg(F.count("*").alias("_gave"))
+        of_kind = taken.groupBy(F.col(kind).alias("_kind")).agg(F.count("*").alias("_got"))
+        rest = rows.join(taken.select("_row"), "_row", "left_anti").join(of_source, F.col(source).eqNullSafe(F.col("_source")), "left").join(of_kind, F.col(kind) == F.col("_kind"), "left")
+        rest = rest.withColumns({"_left": F.col("_left") - F.coalesce("_gave", F.lit(0)), "_need": F.col("_need") - F.coalesce("_got", F.lit(0))})
+        rows = stored(rest.filter("_left > 0 and _need > 0").select(*rows.columns), "candidates")
+    slot = F.row_number().over(Window.partitionBy(kind).orderBy(order, "_row"))
+    return picks.withColumn("slot", slot).select(*candidates.columns, "slot")
+
+
 def first_ok(attempts: DataFrame) -> DataFrame:
     """attempts (id, attempt, verdict, ...) -> the first that passed for each id; discards are counted by ``attempt_stats``."""
     rank = F.row_number().over(Window.partitionBy("id").orderBy("attempt"))

@@ -449,6 +449,13 @@ def quota_fill_batch(spark, d):
     return generation.filled_by_windows(docs, "lang", "source", "doc_id", quotas)
 
 
+@query("q_quota_fill_rounds")
+def quota_fill_rounds(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "lang", "source")
+    quotas = docs.select("lang").distinct().withColumn("quota", F.lit(10))
+    return generation.filled_by_rounds(docs, "lang", "source", "doc_id", quotas)
+
+
 @query(
     "q_fixed_windows",
     f"""with w as (select doc_id, list_filter(string_split({COLLAPSED}, ' '), lambda x: x <> '') as w from documents),

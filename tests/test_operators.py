@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -171,6 +173,41 @@ def test_quota():
     assert drawn == [("T1", 1, "a"), ("T1", 2, "b"), ("T1", 3, "a")]
 
 
+def rounds_brute(rows, quotas, cap):
+    left, need, rest, out = Counter({s: cap for _, _, s in rows}), Counter(quotas), sorted(rows), []
+    while True:
+        seen, got, taken = Counter(), Counter(), []
+        for i, k, s in rest:
+            if need[k] > 0 and seen[s] < left[s]:
+                seen[s] += 1
+                if got[k] < need[k]:
+                    got[k] += 1
+                    taken.append((i, k, s))
+        if not taken:
+            return out
+        out += taken
+        left.subtract(s for _, _, s in taken)
+        need.subtract(k for _, k, _ in taken)
+        rest = [r for r in rest if r not in taken]
+
+
+def test_quota_by_rounds(spark):
+    rng = random.Random(3)
+    skewed = [(i, "a", "s%d" % (i % 3)) for i in range(30)] + [(100 + i, "b", "s%d" % (i % 3)) for i in range(30)]
+    mixed = [(i, rng.choice("aaaabbc"), rng.choice(["s1", "s2", "s2", "s3", None])) for i in range(80)]
+    for rows, quotas, cap in [(skewed, {"a": 4, "b": 8}, 5), (mixed, {"a": 3, "b": 5, "c": 6, "d": 2}, 4), ([], {"a": 1}, 5)]:
+        found = generation.filled_by_rounds(spark.createDataFrame(rows, "id int, k string, s string"), "k", "s", "id", spark.createDataFrame(list(quotas.items()), "k string, quota int"), cap)
+        got = found.collect()
+        want = rounds_brute(rows, quotas, cap)
+        assert sorted((r.id, r.k, r.s) for r in got) == sorted(want)
+        by_kind, by_source = Counter(r.k for r in got), Counter(r.s for r in got)
+        assert all(n <= quotas[k] for k, n in by_kind.items()) and all(n <= cap for n in by_source.values())
+        assert all(by_kind[k] == quotas.get(k, 0) or by_source[s] == cap for i, k, s in rows if (i, k, s) not in want)
+        assert all([r.slot for r in sorted(got, key=lambda r: r.id) if r.k == k] == list(range(1, n + 1)) for k, n in by_kind.items())
+        if rows is skewed:
+            assert by_kind == quotas
+
+
 def test_files(spark, tmp_path):
     item = json.dumps(_item(), ensure_ascii=False)
     for name, text in {"a": f"[{item}]", "b": f'{{"items": [{item}]}}', "c": f'{{"states": [{{"item": {item}, "status": "edited"}}, {{"item": {item}, "status": "discarded"}}]}}'}.items():
