@@ -16,8 +16,8 @@ pairs of a group of copies. Pairs whose sizes do not allow a link are left out,
 are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
 
 Defined results: a text without words, or null, has the empty set, is linked with nothing and is its own component; a
-text of fewer words than a shingle is one shingle; rows that repeat a doc_id and its text get the same answer; of rows
-that share a doc_id only, each is judged by its own text; a row without a doc_id is linked with nothing and kept; an empty table gives an empty
+text of fewer words than a shingle is one shingle; rows that repeat a doc_id and its text get the same answer, and one of
+them stays at most; of rows that share a doc_id only, each is judged by its own text; a row without a doc_id is linked with nothing and kept; an empty table gives an empty
 result; extra columns are kept.
 """
 
@@ -115,8 +115,8 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def signatures(docs: DataFrame, params: Params) -> DataFrame:
-    """(doc_id, n, key, bands, bits) of docs (doc_id, text): set size, digest of the set, band hashes and one-bit signature
-    (both null if the set is too small to be linked with another)."""
+    """(doc_id, t, n, key, bands, bits) of docs (doc_id, text): hash of the text, set size, digest of the set, band hashes
+    and one-bit signature (both null if the set is too small to be linked with another)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in words.blocks(batches, "text"):
@@ -129,6 +129,7 @@ def signatures(docs: DataFrame, params: Params) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": block.column("doc_id"),
+                    "t": block.column("t"),
                     "n": pa.array(sizes, pa.int64()),
                     "key": pa.array(keys, pa.binary()),
                     "bands": pa.array([r[0] for r in rows], pa.list_(pa.int64())),
@@ -136,7 +137,7 @@ def signatures(docs: DataFrame, params: Params) -> DataFrame:
                 }
             )
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id long, n long, key binary, bands array<long>, bits array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t")).mapInArrow(each, "doc_id long, t long, n long, key binary, bands array<long>, bits array<long>")
 
 
 def full_sets(docs: DataFrame, params: Params) -> DataFrame:
@@ -158,11 +159,16 @@ def _may_link(a: str, b: str, params: Params) -> Column:
     return (n * 100 >= m * params.least) & (m * 100 >= n * params.least) & (differ <= params.most_bits)
 
 
-def _fetched(ids: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
-    """The full sets of the texts with these doc_ids. Up to ``BROADCAST_IDS`` ids go to the texts, so those are not shuffled; beyond, both are."""
-    ids = stored(ids, "ids")
+def _fetched(ids: DataFrame, texts: DataFrame, params: Params, owners: DataFrame | None) -> DataFrame:
+    """The full sets of the texts with these doc_ids. Up to ``BROADCAST_IDS`` ids go to the texts, so those are not shuffled; beyond, both are.
+
+    With owners (doc_id, of, t), the ids are numbers of classes: each stands for the text of hash t at the doc_id ``of``."""
+    ids = stored(ids if owners is None else ids.join(owners, "doc_id"), "ids")
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return stored(full_sets(texts.join(F.broadcast(ids) if few else ids, "doc_id"), params), "sets")
+    on: str | list[str] = "doc_id"
+    if owners is not None:
+        texts, on = texts.select(F.col("doc_id").alias("of"), F.xxhash64("text").alias("t"), "text"), ["of", "t"]
+    return stored(full_sets(texts.join(F.broadcast(ids) if few else ids, on), params), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
@@ -212,14 +218,24 @@ def _across(met: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     return near.unionByName(more).select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
 
 
-def linked(docs: DataFrame, params: Params) -> DataFrame:
-    """(doc_id, n, component) of each row of docs (doc_id, text)."""
+def _judged(docs: DataFrame, params: Params) -> DataFrame:
+    """(doc_id, t, n, node, component) of each row of docs (doc_id, text): ``node`` tells components apart and is null for
+    the empty set, ``component`` is the smallest doc_id of it.
+
+    A class goes by its smallest doc_id. If a doc_id has several sets, by a number in the order of doc_id and digest."""
     signed = stored(signatures(docs, params), "signatures")
     alive = signed.filter("key is not null and doc_id is not null")
     classes = stored(
-        alive.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes"
+        alive.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes"
     )
-    texts = docs.select("doc_id", "text")
+    texts, owners = docs.select("doc_id", "text"), None
+    if alive.groupBy("doc_id").agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a != b").isEmpty():
+        classes = classes.withColumn("rep", F.col("id"))
+    else:
+        numbers = stored(classes.select("id", "key").orderBy("id", "key").withColumn("rep", F.monotonically_increasing_id()), "numbers")
+        classes = stored(classes.join(numbers, ["id", "key"]), "classes")
+        owned = alive.select("key", F.col("doc_id").alias("id"), "t").join(classes.select("key", "id", "rep"), ["key", "id"])
+        owners = stored(owned.groupBy(F.col("rep").alias("doc_id")).agg(F.first("id").alias("of"), F.min("t").alias("t")), "owners")
     rows = classes.filter("bands is not null").select("rep", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     members = stored(rows.join(shared, "band"), "buckets")  # classes that share a bucket with another
@@ -232,7 +248,7 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
     near = None
     known = stars.select("band", F.col("x.rep").alias("rep"), F.struct("y.rank", "y.order", "y.rep").alias("lead"))
     if not pairs.isEmpty():
-        sets = _fetched(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), texts, params)
+        sets = _fetched(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), texts, params, owners)
         links = stored(confirmed(pairs, sets, params), "links")
         near = components(links)
         known = known.join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -249,7 +265,7 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
         met = met.withColumn("lead_component", F.col("lead"))
     met = stored(met, "met")
     if not met.isEmpty():
-        sets = _fetched(met.select(F.explode(F.array("rep", "lead")).alias("doc_id")).distinct(), texts, params)
+        sets = _fetched(met.select(F.explode(F.array("rep", "lead")).alias("doc_id")).distinct(), texts, params, owners)
         more = stored(_across(met, sets, params).join(pairs, ["a", "b"], "left_anti"), "across")
         if not more.isEmpty():
             found = stored(confirmed(more, sets, params), "links")
@@ -257,15 +273,34 @@ def linked(docs: DataFrame, params: Params) -> DataFrame:
     found = classes.select("key", "rep", F.col("rep").alias("component"))
     if near is not None:
         found = found.drop("component").join(near.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    found = found.select("key", "component")
-    return signed.select("doc_id", "n", "key").join(found, "key", "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component"))
+    named = classes.select(F.col("rep").alias("component"), F.col("id").alias("least"))
+    found = found.join(named, "component") if owners is not None else found.withColumn("least", F.col("component"))
+    found = found.select("key", F.col("component").alias("node"), "least")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component")
+    return signed.select("doc_id", "t", "n", "key").join(found, "key", "left").select("doc_id", "t", "n", "node", component)
+
+
+def linked(docs: DataFrame, params: Params) -> DataFrame:
+    """(doc_id, n, component) of each row of docs (doc_id, text)."""
+    return _judged(docs, params).select("doc_id", "n", "component")
 
 
 def kept(docs: DataFrame, params: Params = Params()) -> DataFrame:  # noqa: B008
     """Those rows of ``docs`` that stay when one document of each component does, the one of the smallest doc_id. Only
-    the doc_ids that go are joined with the texts."""
-    gone = stored(linked(docs, params).filter("component < doc_id").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti")
+    the doc_ids that go are joined with the texts, with a hash of the text, as others may share the doc_id."""
+    judged = stored(_judged(docs, params).filter("doc_id is not null").drop("n"), "judged")
+    ends = judged.filter("component = doc_id")
+    several = ends.filter("node is not null").groupBy("node").agg(F.min("t").alias("a"), F.max("t").alias("b")).filter("a != b")
+    also = ends.join(several, "node").filter("t != a")  # other texts of the component with the same doc_id
+    gone = stored(judged.filter("component < doc_id").select("doc_id", "t").unionByName(also.select("doc_id", "t")).distinct(), "gone")
+    repeated = stored(ends.groupBy("doc_id", "t").agg(F.count("*").alias("k")).filter("k > 1").drop("k"), "repeated")
+    hashed = docs.withColumn("_t", F.xxhash64("text"))
+    rows = hashed.join(gone.withColumnRenamed("t", "_t"), ["doc_id", "_t"], "left_anti")
+    if not repeated.isEmpty():
+        twice = repeated.withColumnRenamed("t", "_t")
+        one = rows.join(twice, ["doc_id", "_t"], "left_semi").dropDuplicates(["doc_id", "_t"])
+        rows = rows.join(twice, ["doc_id", "_t"], "left_anti").unionByName(one)
+    return rows.select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,6 +252,28 @@ def test_near_duplicate_edges(spark, docs):
     assert sorted((r.doc_id for r in near_dup.kept(same).collect()), key=str) == [0, None]
 
 
+def test_near_duplicates_that_share_ids(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    near_y = y.replace("y59", "other")
+    rows = [(1, x), (5, x), (5, y), (7, near_y), (7, z), (8, z), (8, z), (9, near_y), (9, y), (3, ""), (3, ""), (3, None), (4, "lone words"), (4, "lone words"), (None, x), (None, x)]
+    found = sorted(((r.doc_id, r.text) for r in near_dup.kept(docs_of(spark, rows)).collect()), key=str)
+    assert found == sorted([(1, x), (5, y), (7, z), (3, ""), (3, None), (4, "lone words"), (None, x), (None, x)], key=str)
+    linked = {(r.doc_id, r.n, r.component) for r in near_dup.linked(docs_of(spark, [r for r in rows if r[0] in (1, 5, 7)]), near_dup.Params()).collect()}
+    assert linked == {(1, 56, 1), (5, 56, 1), (5, 56, 5), (7, 56, 5), (7, 56, 7)}
+    both = near_dup.kept(docs_of(spark, [(2, y), (2, near_y), (2, z)])).collect()
+    assert len(both) == 2 and {r.text for r in both} > {z}
+    # groups around several texts, all rows of which share ids with those of another group
+    every = texts(4, 60)
+    mixed = [(i % 20, t) for i, t in enumerate(every)]
+    own = near_brute(list(enumerate(every)), 5, 80)
+    groups = {c: {i for i in own if own[i][1] == c} for _, c in own.values()}
+    got = Counter((r.doc_id, r.text) for r in near_dup.kept(docs_of(spark, mixed)).collect())
+    assert max(got.values()) == 1
+    for members in groups.values():
+        kept = {(i % 20, every[i]) for i in members} & set(got)
+        assert len(kept) == 1 and min(kept)[0] == min(i % 20 for i in members)
+
+
 # 5
 
 
