@@ -3,9 +3,10 @@
 Seeds are the spans of four fixed patterns. Every identifier-like token (letters, digits and joining marks with at least
 one digit, ``LEAST`` characters or more) is a candidate, and the two words before it are its context. Seeds and
 candidates give a bipartite graph of lexical patterns (contexts) and instances (identifiers), aggregated in Spark and
-scored in rounds: a pattern is as good as the mean score of its distinct instances, and an instance as good as the best
-of the trusted patterns that hold it, seeds being certain. A pattern is trusted with a score of ``TRUST`` and ``SUPPORT``
-distinct instances of that score or more, so what one round discovers supports further patterns in the next. Candidates
+judged in rounds: a pattern is as good as the share of its distinct instances that are good, seeds and the instances of
+trusted patterns. A pattern is trusted with a share of ``TRUST`` and ``SUPPORT`` good instances, so what one round discovers
+supports further patterns in the next, until no pattern is added. (Scores that are means of scores only rise, and end at
+these same shares: where they stand still, the instances of trusted patterns have the score of the seeds.) Candidates
 of patterns that are trusted at last become spans of kind ``context``.
 
 Whole texts are read once; only contexts and spans are shuffled, keyed by document and a hash of its text, and a context
@@ -31,7 +32,7 @@ from sparkquill.shared import stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST = 5
-SUPPORT, TRUST, ROUNDS = 3, 0.6, 3
+SUPPORT, TRUST, ROUNDS = 3, 0.6, 100
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -82,7 +83,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def context(text: str, start: int) -> str | None:
     """The two words before a position, in lower case; None at the start of a text."""
-    before = WORD.findall(text[max(0, start - 80) : start])
+    size = 80
+    # the first word of a piece may be cut, the two last of three are whole
+    while len(before := WORD.findall(text[max(0, start - size) : start])) < 3 and size < start:
+        size *= 2
     return " ".join(before[-2:]).lower() or None
 
 
@@ -126,16 +130,18 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def trusted(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The patterns of a graph (pattern, instance, seed) that are trusted after so many rounds of scoring."""
-    graph = graph.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0))
-    patterns = None
+    """The patterns of a graph (pattern, instance, seed) that are trusted when a round adds none."""
+    graph = graph.withColumn("good", F.col("seed"))
+    known = 0
     for _ in range(rounds):
-        patterns = graph.groupBy("pattern").agg(F.avg("score").alias("goodness"), F.sum((F.col("score") >= TRUST).cast("int")).alias("support"))
-        patterns = stored(patterns.filter((F.col("support") >= SUPPORT) & (F.col("goodness") >= TRUST)), "patterns")
-        best = graph.join(patterns.select("pattern", "goodness"), "pattern").groupBy("instance").agg(F.max("goodness").alias("best"))
-        scored = graph.drop("score").join(best, "instance", "left")
-        graph = stored(scored.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("best", F.lit(0.0)))).drop("best"), "graph")
-    return patterns.select("pattern")
+        patterns = graph.groupBy("pattern").agg(F.avg(F.col("good").cast("int")).alias("goodness"), F.count_if("good").alias("support"))
+        patterns = stored(patterns.filter((F.col("support") >= SUPPORT) & (F.col("goodness") >= TRUST)).select("pattern"), "patterns")
+        if (n := patterns.count()) == known:  # patterns stay trusted, so as many are the same ones
+            return patterns
+        known = n
+        held = graph.join(patterns, "pattern").select("instance").distinct().withColumn("_held", F.lit(True))
+        graph = stored(graph.join(held, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("_held", F.lit(False))).alias("good")), "graph")
+    raise RuntimeError(f"no fixed point after {rounds} rounds")
 
 
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", into: str = "pii") -> DataFrame:

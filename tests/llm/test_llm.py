@@ -137,6 +137,27 @@ def test_pii_patterns():
         assert pii.base_spans(text) == pii_brute(text), text
 
 
+def test_pii_contexts_of_long_chains(spark):
+    rows = [("p0", f"s{k}", True) for k in range(3)] + [("bad", "s0", True), ("bad", "z1", False), ("bad", "z2", False)]
+    rows += [("p0", f"i0_{j}", False) for j in range(2)]
+    for k in range(1, 8):  # each pattern has a seed, both new instances of the one before it, and two of its own
+        rows += [(f"p{k}", "s0", True), *[(f"p{k}", f"i{m}_{j}", False) for m in (k - 1, k) for j in range(2)]]
+    graph = spark.createDataFrame(rows, "pattern string, instance string, seed boolean")
+    good, patterns = {i for _, i, seed in rows if seed}, set()
+    while True:
+        now = {p for p in {r[0] for r in rows} if (own := [i in good for q, i, _ in rows if q == p]) and sum(own) >= 3 and sum(own) >= 0.6 * len(own)}
+        if now == patterns:
+            break
+        patterns, good = now, good | {i for p, i, _ in rows if p in now}
+    assert patterns == {f"p{k}" for k in range(8)}
+    assert {r.pattern for r in pii.trusted(graph).collect()} == patterns
+
+
+@pytest.mark.parametrize(("text", "want"), [(f"call {'x' * 90} at ", f"{'x' * 90} at"), (f"my number{' ' * 300}", "my number"), ("one two three ", "two three"), (f"{'y' * 500} ", "y" * 500), ("  ", None)])
+def test_pii_context_is_two_whole_words(text, want):
+    assert pii.context(text, len(text)) == want
+
+
 def test_pii_contexts(spark):
     held = [(i, f"write to id number u{i}@x{i}.example.com now") for i in range(6)] + [(6 + i, f"é the id number EMP-9981{i} is, staff code EMP-9981{i} too") for i in range(3)]
     held += [(20, "staff code QX-1234567"), (21, "plain 12345 text"), (22, None), (23, ""), (20, "staff code QX-1234567")]
