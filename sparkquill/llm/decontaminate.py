@@ -152,18 +152,20 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, text: str =
     all_hits = hits[0]
     for more in hits[1:]:
         all_hits = all_hits.unionByName(more)
-    words_hit = F.array_distinct(F.flatten(F.transform(F.flatten(F.collect_list(f"{into}.spans")), lambda s: F.sequence(s[0], s[1] - 1))))
+    words_hit = F.array_sort(F.array_distinct(F.flatten(F.transform(F.flatten(F.collect_list(f"{into}.spans")), lambda s: F.sequence(s[0], s[1] - 1)))))
     joined = all_hits.groupBy(*key, "_t").agg(words_hit.alias("_w"), F.array_sort(F.array_distinct(F.flatten(F.collect_list(f"{into}.items")))).alias("_i"))
     joined = joined.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(key)}).withColumnRenamed("_t", "_th")
     empty = _scan(docs, send([]), text, into).withColumn("_t", F.sha2(F.coalesce(text, F.lit("")), 256))
     on = F.col("_t") == F.col("_th")
     for i, k in enumerate(key):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    firsts = F.filter("_w", lambda w, i: (i == 0) | (w - F.get("_w", i - 1) > 1))
+    lasts = F.filter("_w", lambda w, i: F.coalesce(F.get("_w", i + 1) - w > 1, F.lit(True)))
     whole = F.struct(
         F.col(f"{into}.n_words").alias("n_words"),
         F.coalesce(F.size("_w"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("_i", F.array().cast("array<bigint>")).alias("items"),
-        F.coalesce(F.transform(F.array_sort("_w"), lambda w: F.array(w, w + 1)), F.array().cast("array<array<int>>")).alias("spans"),
+        F.coalesce(F.zip_with(firsts, lasts, lambda a, b: F.array(a, b + 1)), F.array().cast("array<array<int>>")).alias("spans"),
     )
     return empty.join(joined, on, "left").withColumn(into, whole).select(*docs.columns, into)
 

@@ -454,6 +454,12 @@ def test_decontamination(spark, rows, most):
     assert all(sum(b - a for a, b in r.hits.spans) == r.hits.n_hit for r in got)
 
 
+def test_decontamination_spans_of_blocks(spark, rows):
+    items = spark.createDataFrame([(i, t) for i, t in rows[:12] if t], "item_id long, text string").coalesce(1)
+    one, several = (sorted(((r.doc_id, r.hits.spans) for r in decontaminate.find(docs_of(spark, rows), items, most=most).collect()), key=repr) for most in (decontaminate.MOST_WORDS, 40))
+    assert one == several and any(len(s) > 1 for _, s in one) and any(b - a > 1 for _, s in one for a, b in s)
+
+
 def test_decontamination_of_nothing(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.removed(docs, none).count() == docs.count()
