@@ -375,12 +375,9 @@ def test_quality_is_native(docs):
 # 7
 
 
-@pytest.mark.parametrize("limit", [substring_dup.BROADCAST_IDS, 0])
-def test_substrings(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(substring_dup, "BROADCAST_IDS", limit)
-    more = rows + [(500, "x y z " * 30 + "q " + "x y z " * 30), (501, "a " * 19), (502, "a " * 20), (503, " ".join("k%d" % i for i in range(45))), (504, "p " + " ".join("k%d" % i for i in range(3, 40)) + " s")]
+def substrings_brute(rows):
     seen, want = set(), {}
-    for i, t in sorted({k: v for k, v in more}.items()):
+    for i, t in sorted(dict(rows).items()):
         w = WORD.findall(t or "")
         gone = set()
         for k in range(len(w) - 19):
@@ -388,9 +385,49 @@ def test_substrings(spark, rows, monkeypatch, limit):
             gone.update(range(k, k + 20) if key in seen else ())
             seen.add(key)
         want[i] = len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)
-    got = substring_dup.cut(substring_dup.removed(docs_of(spark, more))).collect()
+    return want
+
+
+def passages(seed, n=60):
+    """Texts made of shared passages and own words: paths that branch, end within texts and repeat inside of one."""
+    rng = random.Random(seed)
+    shared = [["s%d_%d" % (j, k) for k in range(rng.choice((25, 40, 70)))] for j in range(6)]
+    out = []
+    for i in range(n):
+        own = []
+        for _ in range(rng.randint(1, 5)):
+            part = rng.choice(shared)
+            a, b = rng.choice((0, 0, 5)), rng.choice((len(part), len(part), len(part) - 3))
+            own += part[a:b] if rng.random() < 0.7 else ["o%d_%d" % (i, rng.randrange(999)) for _ in range(rng.choice((0, 1, 30)))]
+        out.append((1000 + i, rng.choice((" ", "\n", "  ")).join(own)))
+    return out
+
+
+@pytest.mark.parametrize(("limit", "hashed"), [(substring_dup.BROADCAST_IDS, 64), (0, 64), (substring_dup.BROADCAST_IDS, 6), (0, 3)])
+def test_substrings(spark, rows, monkeypatch, limit, hashed):
+    monkeypatch.setattr(substring_dup, "BROADCAST_IDS", limit)
+    more = rows + [(500, "x y z " * 30 + "q " + "x y z " * 30), (501, "a " * 19), (502, "a " * 20), (503, " ".join("k%d" % i for i in range(45))), (504, "p " + " ".join("k%d" % i for i in range(3, 40)) + " s")]
+    more += [(505, more[-1][1]), (506, more[-3][1]), (507, " ".join("k%d" % i for i in range(44, 2, -1))), *passages(limit + hashed)]
+    got = substring_dup.cut(substring_dup.removed(docs_of(spark, more), hashed=hashed)).collect()
     assert len(got) == len(more)
-    assert {r.doc_id: tuple(r.cut) for r in got} == want
+    assert {r.doc_id: tuple(r.cut) for r in got} == substrings_brute(more)
+
+
+def test_substrings_of_repeated_rows(spark):
+    """Thousands of equal rows, copies and a common passage cost what they hold, not its square."""
+    text, line = " ".join("t%d" % i for i in range(400)), " ".join("l%d" % i for i in range(60))
+    held = [(7, text)] * 2000 + [(8 + i, text) for i in range(2000)] + [(5000 + i, "a%d %s b%d" % (i, line, i)) for i in range(2000)] + [(None, line), (None, None)]
+    found = substring_dup.cut(substring_dup.removed(docs_of(spark, held).repartition(4))).groupBy(F.when(F.col("doc_id") < 5000, F.least("doc_id", F.lit(8))).alias("d"), "cut.n_words", "cut.n_removed").count()
+    assert {tuple(r) for r in found.collect()} == {(7, 400, 0, 2000), (8, 400, 400, 2000), (None, 62, 60, 2000), (None, 60, 0, 1), (None, 0, 0, 1)}
+
+
+def test_substrings_keep_columns(spark):
+    names = ["i", "t", "s", "found", "d", "u", "_t", "kmer", "runs", "at", "node"]
+    held = [(1, "w " * 30), (2, "w " * 30), (3, "x")]
+    docs = docs_of(spark, held).withColumns({c: F.lit(f"own {c}") for c in names} | {"spans": F.lit(1), "cut": F.lit(2)})
+    got = substring_dup.cut(substring_dup.removed(docs)).collect()
+    assert {r.doc_id: tuple(r.cut) for r in got} == substrings_brute(held)
+    assert all(r[c] == f"own {c}" for r in got for c in names)
 
 
 def test_substrings_empty(docs):
