@@ -1,20 +1,25 @@
 """Personal data by patterns, and by contexts that are bootstrapped from what the patterns find.
 
 Seeds are the spans of four fixed patterns. Every identifier-like token (letters, digits and joining marks with at least
-one digit, ``LEAST`` characters or more) is a candidate, and the two words before it are its context. Seeds and
-candidates give a bipartite graph of lexical patterns (contexts) and instances (identifiers), aggregated in Spark and
-judged in rounds: a pattern is as good as the share of its distinct instances that are good, seeds and the instances of
-trusted patterns. A pattern is trusted with a share of ``TRUST`` and ``SUPPORT`` good instances, so what one round discovers
-supports further patterns in the next, until no pattern is added. (Scores that are means of scores only rise, and end at
-these same shares: where they stand still, the instances of trusted patterns have the score of the seeds.) Candidates
-of patterns that are trusted at last become spans of kind ``context``.
-
-Whole texts are read once; only contexts and spans are shuffled, keyed by document and a hash of its text, and a context
-that a third of all texts share is counted by partial aggregation and joined under skew handling.
-
-Defined results: a null text counts as empty; rows that repeat a doc_id and its text get equal spans; spans count code
-points, end exclusive; an added span never overlaps one of a fixed pattern; an empty table gives an empty result; extra
-columns are kept.
+one digit, ``LEAST`` characters or more) is a candidate. Each mention has a lexical pattern of its own context, the two
+words before it, and general ones: the word before, the word after, both, and the word before with the mention's shape.
+Mentions give a bipartite graph of patterns and instances (identifiers), aggregated in Spark and judged in rounds: a
+pattern is as good as the share of its distinct instances that are good, seeds and the instances of trusted patterns. A
+pattern is trusted with a share of ``TRUST`` and ``SUPPORT`` good instances. A general one needs more: the lower bound of
+its share (at ``Z`` standard errors) must reach ``TRUST`` and the share of seeds among all instances, so that frequent
+words that stand before anything are not trusted. What one round discovers supports further patterns in the next, until
+no pattern is added. (Scores that are means of scores only rise, and end at these same shares: where they stand still,
+the instances of trusted patterns have the score of the seeds.) Candidates of patterns that are trusted at last become
+spans of kind ``context``.
+
+Texts are matched in one scan, which shuffles only contexts and spans, keyed by document and a hash of its text; a context
+that a third of all texts share is counted by partial aggregation and joined under skew handling. The spans are joined to
+the documents at the end, with the columns that the caller goes on to use.
+
+Defined results: a null text counts as empty; very long texts are matched whole, in a batch of their own; rows that repeat
+a doc_id and its text get equal spans; spans count code points, end exclusive; an added span never overlaps one of a fixed
+pattern; an empty table gives an empty result; extra columns are kept, whatever their names, but a column named as the
+output (``into``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,11 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkquill.llm import words
+from sparkquill.llm.columns import fresh, own
 from sparkquill.shared import stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST = 5
-SUPPORT, TRUST, ROUNDS = 3, 0.6, 100
+SUPPORT, TRUST, Z, ROUNDS = 3, 0.6, 2.6, 100
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,6 +49,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 CANDIDATE = re.compile(r"[^\W_](?:[\w.:/@-]*[^\W_])?")
 WORD = re.compile(r"\w+")
+SHAPES = re.compile(r"[0-9]+|[A-Z]+|[^\W\d_A-Z]+")
 
 
 def luhn(digits: str) -> bool:
@@ -90,6 +97,27 @@ def context(text: str, start: int) -> str | None:
     return " ".join(before[-2:]).lower() or None
 
 
+def shape(token: str) -> str:
+    """Runs of capitals, small letters and digits as A, a and 9 with their length; marks as they are."""
+    return SHAPES.sub(lambda m: f"{'9' if m[0][0].isdigit() else 'A' if m[0][0].isupper() else 'a'}{len(m[0])}", token)
+
+
+def patterns(text: str, start: int, end: int) -> list[str]:
+    """The lexical patterns of a mention. General ones hold <>, which no word does, and come after its own."""
+    before = context(text, start)
+    size = 40
+    # the first word of a piece is whole if the piece goes on behind it
+    while not ((m := WORD.search(text, end, end + size)) and m.end() < end + size) and end + size < len(text):
+        size *= 2
+    after = m[0].lower() if m else None
+    own = [before] if before else []
+    if before:
+        last = before.rpartition(" ")[2]
+        own += [f"{last} <>", f"{last} <{shape(text[start:end])}>"]
+        own += [f"{last} <> {after}"] if after else []
+    return own + ([f"<> {after}"] if after else [])
+
+
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Identifier-like tokens that no base span overlaps."""
     taken = sorted((a, b) for _, a, b in base)
@@ -106,58 +134,65 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, i
 
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-SEEN = T.StructType([*SPAN.fields, T.StructField("pattern", T.StringType()), T.StructField("instance", T.StringType())])
-ARROW_SEEN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("pattern", pa.string()), ("instance", pa.string())]))
+SEEN = T.StructType([*SPAN.fields, T.StructField("patterns", T.ArrayType(T.StringType())), T.StructField("instance", T.StringType())])
+ARROW_SEEN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("patterns", pa.list_(pa.string())), ("instance", pa.string())]))
 
 
-def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, t, seen): base spans, and candidates with kind null, each with its context and its own text in lower case."""
+def mentions(rows: DataFrame) -> DataFrame:
+    """(key, t, seen) of rows (key, text, t): base spans, and candidates with kind null, each with its patterns and its own text in lower case."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in words.blocks(batches, text):
+        for block in words.blocks(batches, "text"):
             out = []
-            for x in block.column(text).to_pylist():
+            for x in block.column("text").to_pylist():
                 x = x or ""
                 base = base_spans(x) if "@" in x or DIGIT.search(x) else []
                 spans = base + ([(None, a, b) for a, b in candidates(x, base)] if DIGIT.search(x) else [])
-                out.append([{"kind": k, "start": a, "end": b, "pattern": context(x, a), "instance": x[a:b].lower()} for k, a, b in spans])
-            yield pa.RecordBatch.from_arrays([block.column(key), block.column("t"), pa.array(out, ARROW_SEEN)], names=[key, "t", "seen"])
+                out.append([{"kind": k, "start": a, "end": b, "patterns": patterns(x, a, b), "instance": x[a:b].lower()} for k, a, b in spans])
+            yield pa.RecordBatch.from_arrays([block.column("key"), block.column("t"), pa.array(out, ARROW_SEEN)], names=["key", "t", "seen"])
 
-    kind = docs.schema[key].dataType
-    return docs.select(key, text).withColumn("t", F.xxhash64(F.coalesce(text, F.lit("")))).mapInArrow(
-        each, T.StructType([T.StructField(key, kind), T.StructField("t", T.LongType()), T.StructField("seen", T.ArrayType(SEEN))])
-    )
+    return rows.mapInArrow(each, T.StructType([rows.schema["key"], T.StructField("t", T.LongType()), T.StructField("seen", T.ArrayType(SEEN))]))
 
 
 def trusted(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The patterns of a graph (pattern, instance, seed) that are trusted when a round adds none."""
+    base = graph.groupBy("instance").agg(F.bool_or("seed").cast("int").alias("seed")).agg(F.avg("seed")).first()[0] or 0.0
     graph = graph.withColumn("good", F.col("seed"))
+    share, n = F.col("support") / F.col("n"), F.col("n")
+    lower = (share + Z * Z / (2 * n) - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+    enough = F.when(F.col("pattern").contains("<"), lower >= max(TRUST, base)).otherwise((F.col("support") >= SUPPORT) & (share >= TRUST))
     known = 0
     for _ in range(rounds):
-        patterns = graph.groupBy("pattern").agg(F.avg(F.col("good").cast("int")).alias("goodness"), F.count_if("good").alias("support"))
-        patterns = stored(patterns.filter((F.col("support") >= SUPPORT) & (F.col("goodness") >= TRUST)).select("pattern"), "patterns")
-        if (n := patterns.count()) == known:  # patterns stay trusted, so as many are the same ones
+        patterns = stored(graph.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("good").alias("support")).filter(enough).select("pattern"), "patterns")
+        if (found := patterns.count()) == known:  # patterns stay trusted, so as many are the same ones
             return patterns
-        known = n
-        held = graph.join(patterns, "pattern").select("instance").distinct().withColumn("_held", F.lit(True))
-        graph = stored(graph.join(held, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("_held", F.lit(False))).alias("good")), "graph")
+        known = found
+        held = graph.join(patterns, "pattern").select("instance").distinct().withColumn("held", F.lit(True))
+        graph = stored(graph.join(held, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("held", F.lit(False))).alias("good")), "graph")
     raise RuntimeError(f"no fixed point after {rounds} rounds")
 
 
 def find(docs: DataFrame, text: str = "text", key: str = "doc_id", into: str = "pii") -> DataFrame:
     """``docs`` with the array ``into`` of (kind, start, end), by kind as listed, context last, then start."""
-    seen = stored(mentions(docs, key, text).filter(F.size("seen") > 0), "mentions")
-    each = seen.select(key, "t", F.explode("seen").alias("s")).select(key, "t", "s.*")
-    graph = each.filter("pattern is not null").groupBy("pattern", "instance").agg(F.bool_or(F.col("kind").isNotNull()).alias("seed"))
+    docs = docs.drop(into)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("t"))
+    seen = stored(mentions(rows).filter(F.size("seen") > 0), "mentions")
+    each = seen.select("key", "t", F.explode("seen").alias("s")).select("key", "t", "s.*")
+    own_patterns = each.select(F.explode("patterns").alias("pattern"), "instance", "kind")
+    graph = own_patterns.groupBy("pattern", "instance").agg(F.bool_or(F.col("kind").isNotNull()).alias("seed"))
     good = trusted(stored(graph, "graph"))
-    added = each.filter("kind is null").join(good, "pattern", "left_semi").select(key, "t", F.struct(F.lit("context").alias("kind"), "start", "end").alias("s"))
-    base = each.filter("kind is not null").select(key, "t", F.struct("kind", "start", "end").alias("s"))
+    hits = each.filter("kind is null").select("key", "t", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern", "left_semi")
+    added = hits.select("key", "t", F.struct(F.lit("context").alias("kind"), "start", "end").alias("s"))
+    base = each.filter("kind is not null").select("key", "t", F.struct("kind", "start", "end").alias("s"))
     order = F.create_map(*[F.lit(x) for i, k in enumerate((*KINDS, "context")) for x in (k, i)])
     spans = base.unionByName(added).withColumn("s", F.struct(order[F.col("s.kind")].alias("o"), F.col("s.start").alias("start"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end")))
-    spans = spans.groupBy(key, "t").agg(F.array_sort(F.collect_set("s")).alias("_s"))
-    spans = stored(spans.select(F.col(key).alias("_k"), F.col("t").alias("_t"), F.transform("_s", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("_s")), "spans")
-    joined = docs.withColumn("_h", F.xxhash64(F.coalesce(text, F.lit("")))).join(spans, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_t")), "left")
-    return joined.select(*docs.columns, F.coalesce("_s", F.array().cast(T.ArrayType(SPAN))).alias(into))
+    spans = spans.groupBy("key", "t").agg(F.array_sort(F.collect_set("s")).alias("s"))
+    spans = spans.select("key", "t", F.transform("s", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("s"))
+    k, t, s = fresh(docs, "k", "t", "s")
+    spans = stored(spans.toDF(k, t, s), "spans")
+    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
+    joined = docs.join(spans, F.col(key).eqNullSafe(F.col(k)) & (hashed == F.col(t)), "left")
+    return joined.select(*own(docs), F.coalesce(s, F.array().cast(T.ArrayType(SPAN))).alias(into))
 
 
 def joined(spans: Column) -> Column:
