@@ -2,14 +2,17 @@
 
 The field tags each token of a text as begin (B), inside (I) or outside (O) of a secret. Its features are the token's
 shape, the words and marks next to it, and features of the file (the whole text). It is fitted on the driver by gradient
-ascent on the exact log-likelihood, over at most ``TRAIN_ROWS`` documents and ``TRAIN_BYTES`` of them: their tokens are
-labelled by the patterns, and secrets of known formats, drawn from a fixed seed, are set into copies of their lines.
-Tagging covers every token of every text. Decoding is Viterbi; tokens that must be outside whatever their neighbours are
+ascent on the exact log-likelihood, over pieces of at most ``TRAIN_ROWS`` texts, of ``TRAIN_PIECE`` characters each (at a
+place that the text's hash draws, so that texts of any length are in the sample) and ``TRAIN_CHARS`` together: their
+tokens are labelled by the patterns, and secrets of known formats, drawn from a fixed seed, are set into copies of their
+lines. The sample is of distinct texts, chosen by hash in Spark, so that the driver gets some ``TRAIN_ROWS`` pieces
+however large the table is. Tagging covers every token of every text. Decoding is Viterbi; tokens that must be outside whatever their neighbours are
 (their margin beats any change of transitions) cut the chain first, which leaves the best path as it is.
 
 Rows are independent, so the scan has no shuffle. Defined results: a null or empty text has no secrets; equal texts get
-equal spans within a run; spans count code points, end exclusive; an added span never overlaps one of a pattern; an
-empty table is tagged with a field fitted on the drawn secrets alone; extra columns are kept.
+equal spans within a run; very long texts are tagged whole, in a batch of their own; spans count code points, end
+exclusive; an added span never overlaps one of a pattern; an empty table is tagged with a field fitted on the drawn
+secrets alone; extra columns are kept, whatever their names, but a column named as the output (``into``) is replaced.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkquill.llm import words
+from sparkquill.llm.columns import fresh
 
-TRAIN_ROWS, TRAIN_BYTES = 200, 1 << 18
+TRAIN_ROWS, TRAIN_PIECE, TRAIN_CHARS = 200, 1300, 1 << 18
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -244,7 +248,7 @@ def training_set(texts: list[str], seed: int = 11) -> tuple[list[str], list[list
     out, spans = list(texts), [[(s, e) for _, s, e in _values(t)] for t in texts]
     for k in range(max(400, len(texts))):
         lines = [x for x in texts[k % len(texts)].split("\n") if x.strip() and not base_spans(x)] or ["plain words"]
-        parts = rng.choice(lines)[:2000].split(" ")
+        parts = rng.choice(lines).split(" ")
         at = rng.randint(0, len(parts))
         secret, lead = _drawn(rng)
         head = " ".join(parts[:at]) + (" " if at else "") + lead
@@ -297,21 +301,26 @@ def scan(field: Field, column: pa.Array) -> list[list[tuple[str, int, int]]]:
     return [sorted(x, key=lambda s: (s[1], order[s[0]])) for x in found]
 
 
-def sample(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> list[str]:
-    """At most ``rows`` texts, the same for the same table, of ``size`` characters together at most."""
-    picked = docs.select(text).filter(F.length(text).between(1, 4000)).orderBy(F.xxhash64(text), text).limit(rows).collect()
+def sample(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, piece: int = TRAIN_PIECE, chars: int = TRAIN_CHARS) -> list[str]:
+    """Pieces of at most ``rows`` distinct texts of any length, the same for the same table, of ``chars`` characters together
+    at most. Texts are chosen by the least hashes; a bound on the hash, from the number of rows, keeps the others in Spark."""
+    share = min(1.0, 4 * rows / max(1, docs.count()))
+    h = F.xxhash64(text)
+    place = F.pmod(h, F.greatest(F.lit(1), F.char_length(text) - piece + 1)).cast("int")
+    few = docs.filter((F.length(text) > 0) & (F.pmod(h, F.lit(1 << 31)) < int(share * (1 << 31)))).select(h.alias("h"), F.substring(F.col(text), place + 1, F.lit(piece)).alias("piece"))
+    picked = few.groupBy("h").agg(F.min("piece").alias("piece")).orderBy("h").limit(rows).collect()
     out, total = [], 0
     for row in picked:
-        total += len(row[0])
-        if total > size:
+        total += len(row.piece)
+        if total > chars:
             break
-        out.append(row[0])
+        out.append(row.piece)
     return out
 
 
 def find(docs: DataFrame, text: str = "text", into: str = "secrets", field: Field | None = None) -> DataFrame:
     """``docs`` with the array ``into`` of (kind, start, end)."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop(into)
     shared = spark.sparkContext.broadcast(field or fit(sample(docs, text)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,20 +333,23 @@ def find(docs: DataFrame, text: str = "text", into: str = "secrets", field: Fiel
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: Field | None = None) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans are one."""
-    found = find(docs, text, "_s", field)
-    merged = F.aggregate(
-        "_s",
+    spans, merged = fresh(docs, "spans", "merged")
+    found = find(docs, text, spans, field)
+    last = lambda out: F.element_at(out, -1)
+    one = F.aggregate(
+        spans,
         F.array().cast("array<struct<a:int,b:int>>"),
         lambda out, s: F.when(
-            (F.size(out) > 0) & (F.element_at(out, -1)["b"] > s["start"]),
-            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["a"].alias("a"), F.greatest(F.element_at(out, -1)["b"], s["end"]).alias("b")))),
+            (F.size(out) > 0) & (last(out)["b"] > s["start"]),
+            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last(out)["a"].alias("a"), F.greatest(last(out)["b"], s["end"]).alias("b")))),
         ).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("a"), s["end"].alias("b"))))),
     )
-    found = found.withColumn("_m", merged)
-    kept = F.transform("_m", lambda m, i: F.substring(F.col(text), F.when(i == 0, F.lit(1)).otherwise(F.get("_m", i - 1)["b"] + 1), m["a"] - F.when(i == 0, F.lit(0)).otherwise(F.get("_m", i - 1)["b"])))
-    rest = F.substring(F.col(text), F.element_at("_m", -1)["b"] + 1, F.char_length(text))
-    clean = F.when(F.size("_s") == 0, F.col(text)).otherwise(F.array_join(F.concat(kept, F.array(rest)), mark))
-    return found.withColumn(text, clean).drop("_s", "_m")
+    found = found.withColumn(merged, one)
+    end = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(merged, i - 1)["b"])
+    kept = F.transform(merged, lambda m, i: F.substring(F.col(text), end(i) + 1, m["a"] - end(i)))
+    rest = F.substring(F.col(text), last(F.col(merged))["b"] + 1, F.char_length(text))
+    clean = F.when(F.size(spans) == 0, F.col(text)).otherwise(F.array_join(F.concat(kept, F.array(rest)), mark))
+    return found.withColumn(text, clean).drop(spans, merged)
 
 
 def joined(spans: Column) -> Column:
