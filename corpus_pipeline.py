@@ -6,8 +6,9 @@
 4. secret scans: secrets are replaced by a mark, and n_chars is counted again
 5. byte-level BPE: texts become token ids, with the columns of a document but its text
 
-Nulls, repeated rows and empty tables have the results that the operators' modules define; a null text has no words, so
-the first stage rejects it. Extra columns of the input are carried through.
+Nulls, empty and very long texts, ties, repeated rows and empty tables have the results that the operators' modules
+define; a null text has no words, so the first stage rejects it. Extra columns of the input are carried through, whatever
+their names, but the last stage's ``ids`` and ``n_tokens`` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkquill.llm import bpe, decontaminate, near_dup, quality, secrets
+from sparkquill.llm.columns import fresh
 from sparkquill.shared import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.judge(docs).filter("quality.kept").drop("quality")
+    (verdict,) = fresh(docs, "verdict")
+    return quality.judge(docs, into=verdict).filter(f"{verdict}.kept").drop(verdict)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.kept(docs).select(*docs.columns)
+    return near_dup.kept(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

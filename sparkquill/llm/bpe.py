@@ -7,8 +7,10 @@ misses, kept as a linked list, in the order of a heap of ranked pairs.
 The vocabulary is a fixed file of some 50,000 entries; its size bounds what is broadcast. Rows are independent: there is
 no shuffle, and a lost executor costs its tasks only.
 
-Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; repeated rows are encoded
-alike; extra columns are kept; an empty table gives an empty result; special tokens are ordinary text.
+Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; very long texts are encoded
+whole, in a batch of their own; repeated rows are encoded alike; extra columns are kept, whatever their names, but a
+column named as the output (``into``) is replaced by it; an empty table gives an empty result; special tokens are
+ordinary text.
 """
 
 from __future__ import annotations
@@ -190,6 +192,7 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
 
 def encode(docs: DataFrame, text: str = "text", into: str = "ids", path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``docs`` with the token ids of ``text`` as an array column."""
+    docs = docs.drop(into)
     shared = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(path or public_tokenizers.path(VOCABULARY)), pattern))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +205,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", path: str | N
 
 def decode(docs: DataFrame, ids: str = "ids", into: str = "decoded", path: str | None = None) -> DataFrame:
     """``docs`` with the bytes that the token ids stand for."""
+    docs = docs.drop(into)
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path or public_tokenizers.path(VOCABULARY)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

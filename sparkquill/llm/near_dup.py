@@ -16,9 +16,10 @@ pairs of a group of copies. Pairs whose sizes do not allow a link are left out,
 are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
 
 Defined results: a text without words, or null, has the empty set, is linked with nothing and is its own component; a
-text of fewer words than a shingle is one shingle; rows that repeat a doc_id and its text get the same answer, and one of
-them stays at most; of rows that share a doc_id only, each is judged by its own text; a row without a doc_id is linked with nothing and kept; an empty table gives an empty
-result; extra columns are kept.
+text of fewer words than a shingle is one shingle; very long texts are read whole, in a batch of their own; rows that
+repeat a doc_id and its text get the same answer, and one of them stays at most; of rows that share a doc_id only, each is
+judged by its own text; a row without a doc_id is linked with nothing and kept; an empty table gives an empty result; extra
+columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkquill.llm import words
+from sparkquill.llm.columns import fresh, own
 from sparkquill.llm.components import components
 from sparkquill.shared import stored
 
@@ -62,7 +64,6 @@ class Params:
         """The least set size that can be linked with another set."""
         return math.ceil(self.least / max(1, 100 - self.least) - 1e-9)
 
-
     @property
     def most_bits(self) -> int:
         """One-bit coordinates that may differ: at the threshold more do with a probability of MISS at most."""
@@ -294,13 +295,13 @@ def kept(docs: DataFrame, params: Params = Params()) -> DataFrame:  # noqa: B008
     also = ends.join(several, "node").filter("t != a")  # other texts of the component with the same doc_id
     gone = stored(judged.filter("component < doc_id").select("doc_id", "t").unionByName(also.select("doc_id", "t")).distinct(), "gone")
     repeated = stored(ends.groupBy("doc_id", "t").agg(F.count("*").alias("k")).filter("k > 1").drop("k"), "repeated")
-    hashed = docs.withColumn("_t", F.xxhash64("text"))
-    rows = hashed.join(gone.withColumnRenamed("t", "_t"), ["doc_id", "_t"], "left_anti")
+    (t,) = fresh(docs, "t")
+    rows = docs.withColumn(t, F.xxhash64("text")).join(gone.withColumnRenamed("t", t), ["doc_id", t], "left_anti")
     if not repeated.isEmpty():
-        twice = repeated.withColumnRenamed("t", "_t")
-        one = rows.join(twice, ["doc_id", "_t"], "left_semi").dropDuplicates(["doc_id", "_t"])
-        rows = rows.join(twice, ["doc_id", "_t"], "left_anti").unionByName(one)
-    return rows.select(*docs.columns)
+        twice = repeated.withColumnRenamed("t", t)
+        one = rows.join(twice, ["doc_id", t], "left_semi").dropDuplicates(["doc_id", t])
+        rows = rows.join(twice, ["doc_id", t], "left_anti").unionByName(one)
+    return rows.select(*own(docs))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

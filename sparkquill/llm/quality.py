@@ -3,7 +3,9 @@
 Every signal is a column expression over one row, so the rules add no shuffle and run inside the scan stage.
 
 Defined results: a null text has no words; a text without words has ratio 0 everywhere and fails the length rule;
-repeated rows and equal texts get equal verdicts; extra columns are kept; an empty table gives an empty result.
+repeated rows and equal texts get equal verdicts; very long texts are measured whole, as any other; extra columns are
+kept, whatever their names, but a column named as the output (``quality``) is replaced by it; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkquill.llm.columns import fresh
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -110,9 +114,9 @@ def counts(text: Column, words: Column) -> dict[str, Column]:
     return {k: c.cast("long") for k, c in found.items()} | {"lines": of_lines}
 
 
-def ratios() -> dict[str, Column]:
-    """Signals of the columns that ``counts`` names, under ``_c``."""
-    c = lambda name: F.col(f"_c.{name}")
+def ratios(counted: str) -> dict[str, Column]:
+    """Signals of the columns that ``counts`` names, in the struct ``counted``."""
+    c = lambda name: F.col(f"{counted}.{name}")
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     return {
         "n_words": c("n_words"),
@@ -129,7 +133,7 @@ def ratios() -> dict[str, Column]:
     }
 
 
-def compiled(rules: tuple[Rule, ...] = RULES, signals_in: str = "_q") -> Column:
+def compiled(rules: tuple[Rule, ...], signals_in: str) -> Column:
     """The threshold table as one expression: the names of the rules that a row breaks."""
     broken = []
     for rule in rules:
@@ -140,22 +144,25 @@ def compiled(rules: tuple[Rule, ...] = RULES, signals_in: str = "_q") -> Column:
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
 
-def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the struct column ``_q`` of all signals."""
+def measure(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
+    """``docs`` with the struct column ``into`` of all signals."""
+    (counted,) = fresh(docs, "counted")
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), SPACE), lambda w: w != "")
-    counted = let(words, lambda w: F.struct(*[c.alias(k) for k, c in counts(F.col(text), w).items()]))
+    every = let(words, lambda w: F.struct(*[c.alias(k) for k, c in counts(F.col(text), w).items()]))
     # explode of one element ends the expression: a filter on a verdict is not pushed below it, which would repeat the counts for each signal
-    counted = docs.drop("_c").select("*", F.explode(F.array(counted)).alias("_c"))
-    return counted.withColumn("_q", F.struct(*[c.alias(k) for k, c in ratios().items()])).drop("_c")
-
-
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``docs`` with ``quality``: a struct of the signals, ``base_failed``, the names of ``broken`` rules, and ``kept``."""
-    base_failed = (F.col("_q.n_words") < 20) | (100 * F.col("_q.n_repeat_words") > 30 * F.col("_q.n_words"))
-    found = measure(docs, text).withColumn("_broken", compiled(rules)).withColumn("_base", base_failed)
-    kept = ~F.col("_base") & (F.size("_broken") == 0)
-    verdict = F.struct("_q.*", F.col("_base").alias("base_failed"), F.col("_broken").alias("broken"), kept.alias("kept"))
-    return found.withColumn("quality", verdict).drop("_q", "_broken", "_base")
+    found = docs.select("*", F.explode(F.array(every)).alias(counted))
+    return found.withColumn(into, F.struct(*[c.alias(k) for k, c in ratios(counted).items()])).drop(counted)
+
+
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", into: str = "quality") -> DataFrame:
+    """``docs`` with ``into``: a struct of the signals, ``base_failed``, the names of ``broken`` rules, and ``kept``."""
+    docs = docs.drop(into)
+    signals, broken, base = fresh(docs, "signals", "broken", "base")
+    base_failed = (F.col(f"{signals}.n_words") < 20) | (100 * F.col(f"{signals}.n_repeat_words") > 30 * F.col(f"{signals}.n_words"))
+    found = measure(docs, signals, text).withColumns({broken: compiled(rules, signals), base: base_failed})
+    kept = ~F.col(base) & (F.size(broken) == 0)
+    verdict = F.struct(f"{signals}.*", F.col(base).alias("base_failed"), F.col(broken).alias("broken"), kept.alias("kept"))
+    return found.withColumn(into, verdict).drop(signals, broken, base)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
