@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -170,6 +171,69 @@ def test_pii_contexts(spark):
     assert pii.find(empty(docs_of(spark, held))).count() == 0
 
 
+def contexts_table(seed=12, n=600):
+    """Texts with seeds and unseen identifiers after "at" or before "today", and with numbers that are none."""
+    rng = random.Random(seed)
+    held, planted = [], {}
+    for i in range(n):
+        kind = i % 6
+        own = [rng.choice(("red", "blue", "green", "stone", "river", "cloud")) for _ in range(12)]
+        mark = {0: f"u{i}@x{i}.example.com", 1: f"+1 (555) 010-{1000 + i}", 2: f"10.0.{i % 250}.{i // 250}", 3: f"QX-{100000 + i}", 4: f"{10000 + i}", 5: f"a{i}bc{i}"}[kind]
+        lead, follow = ("reach " + rng.choice(("me", "us", "him", "them")) + " at", "today") if kind < 4 else (rng.choice(own) + " " + rng.choice(("page", "number", "at" if i % 40 == 4 else "lot")), rng.choice(own))
+        head = " ".join(own[:5]) + f" {lead} "
+        held.append((i, f"{head}{mark} {follow} " + " ".join(own[5:])))
+        if kind == 3:
+            planted[i] = ("context", len(head), len(head) + len(mark))
+    return held, planted
+
+
+def graph_brute(held):
+    """Trusted patterns, by the definition: shares of distinct instances, over all texts."""
+    seen = []
+    for _, text in held:
+        base = pii.base_spans(text)
+        seen += [(p, text[a:b].lower(), True) for _, a, b in base for p in pii.patterns(text, a, b)]
+        seen += [(p, text[a:b].lower(), False) for a, b in pii.candidates(text, base) for p in pii.patterns(text, a, b)]
+    seeds = {i for _, i, s in seen if s}
+    base = len(seeds) / len({i for _, i, _ in seen})
+    known: dict[str, set] = {}
+    for p, i, _ in seen:
+        known.setdefault(p, set()).add(i)
+    good, trusted = set(seeds), set()
+    while True:
+        now = set()
+        for p, instances in known.items():
+            n, k = len(instances), len(instances & good)
+            share, z = k / n, 2.6
+            lower = (share + z * z / (2 * n) - z * (share * (1 - share) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+            if lower >= max(0.6, base) if "<" in p else k >= 3 and share >= 0.6:
+                now.add(p)
+        if now == trusted:
+            return trusted
+        trusted = now
+        good |= {i for p in trusted for i in known[p]}
+
+
+def test_pii_general_contexts(spark):
+    held, planted = contexts_table()
+    got = {r.doc_id: [tuple(s) for s in r.pii if s.kind == "context"] for r in pii.find(docs_of(spark, held)).collect()}
+    trusted = graph_brute(held)
+    want = {}
+    for i, text in held:
+        base = pii.base_spans(text)
+        want[i] = [("context", a, b) for a, b in pii.candidates(text, base) if trusted.intersection(pii.patterns(text, a, b))]
+    assert got == want
+    found = {i for i, s in got.items() if s}
+    assert set(planted) <= found and all(got[i] == [s] for i, s in planted.items())  # whole recall
+    assert len(found - set(planted)) <= 0.1 * len(planted)  # the numbers behind "at" that are none
+
+
+@pytest.mark.parametrize(("text", "want"), [("a " * 3 + "X-12345" + " " * 300 + "end", "end"), ("q X-12345 " + "y" * 500 + " z", "y" * 500), ("X-12345", None), ("one X-12345 !?", None)])
+def test_pii_word_after_is_whole(text, want):
+    at = text.index("X-12345")
+    assert [p[3:] for p in pii.patterns(text, at, at + 7) if p.startswith("<> ")] == ([want] if want else [])
+
+
 # 3
 
 
@@ -339,6 +403,69 @@ def test_html_odd(html, text):
     assert html_text.extract(html)[0] == text
 
 
+def hosts_table(seed=3):
+    """Pages of three hosts. On most the body scores more than the story, as a box stands beside it; the hosts' long stories vote it down."""
+    rng = random.Random(seed)
+    held, story = [], {}
+    for i in range(150):
+        host = ("one.org", "two.org", "three.org")[i % 3]
+        long = i % 10 < 3
+        own = " ".join(rng.choice(("stone", "river", "cloud", "light")) for _ in range(200 if long else 45)) + f" story {i}"
+        other = " ".join(rng.choice(("other", "words")) for _ in range(10 if long else 40))
+        box = f"<div class=box-{'abcdefghij'[i % 10]}{i}>{other}</div>"
+        held.append((i, f"http://{host}/{i}", f"<html><body><nav>menu</nav>{box}<div class='tale-{i}'><p>{own}</p></div><footer>x</footer></body></html>"))
+        story[i] = own
+    return held, story
+
+
+@pytest.mark.parametrize("limit", [html_text.BROADCAST_HOSTS, 0])
+def test_html_consensus(spark, monkeypatch, limit):
+    monkeypatch.setattr(html_text, "BROADCAST_HOSTS", limit)
+    held, story = hosts_table()
+    counts: dict[str, Counter] = {}
+    for _, url, html in held:
+        path, value = html_text.vote(html)
+        counts.setdefault(url.split("/")[2], Counter())[path] += value
+    chosen = {h: min(c, key=lambda p: (-c[p], p)) for h, c in counts.items()}
+    pages = spark.createDataFrame(held, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: (r.text, r.path) for r in html_text.texts(pages).collect()}
+    assert got == {i: html_text.extract(html, chosen[url.split("/")[2]]) for i, url, html in held}
+    assert {i: t for i, (t, _) in got.items()} == story
+    assert sum(html_text.extract(html)[0] != story[i] for i, _, html in held) > 100  # alone, most pages take the box too
+
+
+LONG = "a sentence that is long enough to be text of the article, " * 6
+
+
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ("<article class=comment>A reader says something.</article>", ""),
+        (f"<section class=social><p>{LONG}</p></section>", LONG.strip()),
+        (f"<div class=form><p>{LONG}</p></div>", LONG.strip()),
+        (f"<div class=form><p>{LONG}</p><input name=q></div>", ""),
+        (f"<div class=related><a href=x>{LONG}</a></div>", ""),
+        ("<div class=share>share me</div>", ""),
+        ("<label>of a figure</label>", "of a figure"),
+        (f"<div class=notice><p>{LONG}</p></div>", ""),
+        ("<header><h2>Head <i>line</i></h2><p>by a writer</p></header>", "Head line"),
+        ("<div class=article-header><h2>Head</h2><nav><h3>x</h3></nav></div>", "Head"),
+    ],
+)
+def test_html_names_and_what_is_inside(inner, text):
+    body = "The body of the article goes on and on. " * 9
+    got = html_text.extract(f"<body><article><p>{body}</p>{inner}</article></body>")[0]
+    assert got == "\n".join(filter(None, (body.strip(), text)))
+
+
+def test_html_of_half_a_megabyte_of_nested_tags():
+    tracemalloc.start()
+    assert html_text.extract("<div class=a>" * 40_000 + "deep")[0] == "deep"
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
 # 6
 
 
@@ -358,7 +485,7 @@ def quality_brute(text):
 
 def test_quality(spark, rows, docs):
     more = rows + [(900, "x\n\nx\n \nx\ny"), (901, "# a|b <c>   d"), (902, " ".join(["q"] * 15)), (903, "s t u v w x y z " * 2 + "é ü")]
-    got = {r.doc_id: r.quality for r in quality.judge(docs_of(spark, more, quality="clash").drop("quality")).collect()}
+    got = {r.doc_id: r.quality for r in quality.judge(docs_of(spark, more, quality="clash", counted="own", _c="own", _q="own")).collect()}
     for i, t in more:
         q = got[i]
         assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words, q.base_failed) == quality_brute(t), t
@@ -497,6 +624,32 @@ def test_decontamination_spans_of_blocks(spark, rows):
     assert one == several and any(len(s) > 1 for _, s in one) and any(b - a > 1 for _, s in one for a, b in s)
 
 
+def test_decontamination_index_is_small():
+    rng = np.random.default_rng(2)
+    items = [(k, " ".join(map(str, rng.integers(0, 50_000, 500)))) for k in range(400)]
+    tracemalloc.start()
+    index = decontaminate.Index(items, 10)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 200_000 * 100 and len(index.by_length[10][0]) > 190_000  # bytes of 200,000 words
+
+
+def test_decontamination_verifies_words(monkeypatch):
+    real = words.windows
+    monkeypatch.setattr(words, "windows", lambda h, n: real(h, n) & np.uint64(0xC000000000000001))  # all but 8 hashes collide
+    items = [(k, " ".join(f"w{(k * 7 + j) % 31}" for j in range(14))) for k in range(20)]
+    index = decontaminate.Index(items, 10)
+    texts_ = [t for _, t in items[:5]] + ["w1 w2 w3 w4 w5 w6 w7 w8 w9 w11 w12", "x " + items[7][1] + " y"]
+    split = words.split(pa.array(texts_, pa.large_string()), words.ALNUM, lower=True)
+    got = {(i, index.ids[k]) for at, n, windows in index.scan(split) for i, w in zip(at.tolist(), windows, strict=True) for k in index.items(n, np.array([w]))}
+    flat = [(k, i - int(split.first[k])) for k in range(len(texts_)) for i in range(int(split.first[k]), int(split.first[k + 1]))]
+    want = set()
+    for i, (k, p) in enumerate(flat):
+        w = texts_[k].split(" ")[p : p + 10]
+        want |= {(i, item) for item, t in items if len(w) == 10 and f" {' '.join(w)} " in f" {t} "}
+    assert got == want
+
+
 def test_decontamination_of_nothing(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.removed(docs, none).count() == docs.count()
@@ -568,6 +721,90 @@ def test_secrets(spark, rows, field):
     assert secrets.find(docs_of(spark, more).limit(0)).count() == 0
 
 
+def viterbi(field, scores, a, b):
+    """The best path of one whole text, nothing cut."""
+    best, back = field.open + scores[a], []
+    for t in range(a + 1, b):
+        options = best[:, None] + field.move
+        back.append(options.argmax(axis=0))
+        best = options.max(axis=0) + scores[t]
+    path = [int(best.argmax())]
+    for step in reversed(back):
+        path.append(int(step[path[-1]]))
+    return path[::-1]
+
+
+def test_secrets_of_a_table(spark, field):
+    """A whole generated table: spans as an independent decoder finds them, and how many of the drawn secrets they catch."""
+    held, planted = secrets.training_set([t for t in texts(31, 150) if t], seed=5)
+    got = {r.doc_id: [tuple(s) for s in r.secrets] for r in secrets.find(docs_of(spark, list(enumerate(held))), field=field).collect()}
+    caught = wrong = 0
+    for i, text in enumerate(held):
+        tokens = secrets.Tokens(pa.array([text], pa.large_string()))
+        path = viterbi(field, field.scores(tokens.active), 0, len(tokens.starts)) if len(tokens.starts) else []
+        spans, base = [], secrets_brute(text)
+        for t, tag in enumerate(path):
+            a, b = (len(tokens.data[: x].tobytes().decode()) for x in (tokens.starts[t], tokens.ends[t]))
+            if tag == secrets.I and t and path[t - 1] != secrets.O:
+                spans[-1][1] = b
+            elif tag != secrets.O:
+                spans.append([a, b])
+        for span in spans:
+            while text[span[1] : span[1] + 1] == "=":
+                span[1] += 1
+        added = [("crf", a, b) for a, b in spans if not any(s < b and a < e for _, s, e in base)]
+        assert sorted(got[i]) == sorted(base + added)
+        caught += sum(any(a <= s + 2 and b >= e - 2 for _, a, b in got[i]) for s, e in planted[i])
+        wrong += sum(not any(a < e and s < b for s, e in planted[i]) for _, a, b in added)
+    total = sum(map(len, planted))
+    assert caught >= 0.95 * total and wrong <= 0.02 * total
+
+
+def test_secret_sample_covers_long_texts(spark):
+    held = [(i, f"text {i} " + "word " * (20 if i % 2 else 3000)) for i in range(900)] + [(1000, "same text")] * 600 + [(1, None), (2, "")]
+    pieces = secrets.sample(docs_of(spark, held))
+    assert 100 < len(pieces) <= secrets.TRAIN_ROWS and len(set(pieces)) > 2
+    assert sum(len(p) == secrets.TRAIN_PIECE for p in pieces) > 40 and pieces.count("same text") <= 1
+    assert secrets.sample(docs_of(spark, held)) == pieces and secrets.sample(docs_of(spark, held).limit(0)) == []
+
+
+# all of them
+
+
+CLASHES = "i t s k d u n h n_words spans cut hits secrets _s _m _t _h _k _c _q _i _w ids text_ counted signals broken base quality merged pii path voted host _path _host verdict found key node runs rule digest decoded".split()
+
+
+def test_extra_columns_of_any_name(spark, tmp_path):
+    held = [(1, "the w of x and " * 12), (2, "the w of x and " * 12 + "mail a@b.org"), (3, None), (4, "")]
+    names = [c for c in CLASHES if c != "text_"]
+    docs = spark.createDataFrame(held, "doc_id long, text string").withColumns({c: F.lit(f"own {c}") for c in names})
+    pages = docs.withColumnsRenamed({"doc_id": "page_id", "text": "html"}).withColumn("url", F.lit("http://a.com/x"))
+    bench = spark.createDataFrame([(1, "nothing of these words at all is in any of the texts")], "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    runs = {
+        "pii": (pii.find(docs), {"pii"}),
+        "near_dup": (near_dup.kept(docs), set()),
+        "html_text": (html_text.texts(pages), {"path"}),
+        "quality": (quality.judge(docs), {"quality"}),
+        "substring_dup": (substring_dup.cut(substring_dup.removed(docs)), {"spans", "cut"}),
+        "bpe": (bpe.decode(bpe.encode(docs)), {"ids", "decoded"}),
+        "decontaminate": (decontaminate.find(docs, bench), {"hits"}),
+        "decontaminate in blocks": (decontaminate.find(docs, bench.unionByName(bench), most=5), {"hits"}),
+        "decontaminate removed": (decontaminate.removed(docs, bench), set()),
+        "secrets": (secrets.find(docs), {"secrets"}),
+        "secrets redacted": (secrets.redact(docs), set()),
+    }
+    for name, (found, replaced) in runs.items():
+        assert len(found.columns) == len(set(found.columns)) and set(names) <= set(found.columns), name
+        rows = found.collect()
+        assert rows and all(r[c] == f"own {c}" for r in rows for c in names if c not in replaced), name
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(tmp_path))
+        gone = {"text"} if name == "byte_bpe" else set()
+        assert set(docs.columns) - gone <= set(found.columns) and len(found.columns) == len(set(found.columns)), name
+        assert all(r[c] == f"own {c}" for r in found.collect() for c in names if c not in ({"ids", "n_tokens"} if gone else ())), name
+
+
 # pipeline
 
 
