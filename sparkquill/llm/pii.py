@@ -188,10 +188,10 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", into: str = "
     spans = base.unionByName(added).withColumn("s", F.struct(order[F.col("s.kind")].alias("o"), F.col("s.start").alias("start"), F.col("s.kind").alias("kind"), F.col("s.end").alias("end")))
     spans = spans.groupBy("key", "t").agg(F.array_sort(F.collect_set("s")).alias("s"))
     spans = spans.select("key", "t", F.transform("s", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("s"))
-    k, t, s = fresh(docs, "k", "t", "s")
+    k, t, s, hashed = fresh(docs, "k", "t", "s", "hashed")
     spans = stored(spans.toDF(k, t, s), "spans")
-    hashed = F.xxhash64(F.coalesce(text, F.lit("")))
-    joined = docs.join(spans, F.col(key).eqNullSafe(F.col(k)) & (hashed == F.col(t)), "left")
+    # the hash is a column of its own, so that a text which the caller does not use is not shuffled for it
+    joined = docs.withColumn(hashed, F.xxhash64(F.coalesce(text, F.lit("")))).join(spans, F.col(key).eqNullSafe(F.col(k)) & (F.col(hashed) == F.col(t)), "left")
     return joined.select(*own(docs), F.coalesce(s, F.array().cast(T.ArrayType(SPAN))).alias(into))
 
 
