@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"-?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?"
 FULL_WIDTH, ASCII_DIGITS = "０１２３４５６７８９", "0123456789"
 #: White space as Unicode has it, with the four information separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
 
-# Heading patterns, roman numerals, footnote marks and the answer mark of the domain's documents.
+# Numbers, heading patterns, roman numerals, footnote marks, the answer mark and the ids of the domain's documents.
+NUMBER = r"-?[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?"
 TOP_HEADING = r"^\s*[IVX]{1,5}\s*[.．]\s*.{1,40}$"
 SUB_HEADING = r"^\s*[0-9]{1,2}\s*[.．]\s*.{1,40}$"
 ROMAN = {
     "Ⅰ": "I", "Ⅱ": "II", "Ⅲ": "III", "Ⅳ": "IV", "Ⅴ": "V", "Ⅵ": "VI", "Ⅶ": "VII", "Ⅷ": "VIII", "Ⅸ": "IX", "Ⅹ": "X",
-    "ⅰ": "i", "ⅱ": "ii", "ⅲ": "iii", "ⅳ": "iv", "ⅴ": "v",
+    "ⅰ": "I", "ⅱ": "II", "ⅲ": "III", "ⅳ": "IV", "ⅴ": "V",
 }
 FOOTNOTE = r"\(주\s*[0-9]\)|주[0-9]\)|\*[^*]"
 ANSWER = r"(?md)최종답\s*[:：]\s*(.+?)\s*$"
+ITEM_ID, CHUNK_ID = "DART_%s_%03d", "%s_%d_%s_%03d"
+# End of the fixed values.
+
+#: Where a text is cut into lines.
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def zfill(value: Column, width: int) -> Column:
@@ -37,6 +42,16 @@ def normalize_text(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, SPACE, ""))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at the ends."""
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+
+
+def lines(text: Column) -> Column:
+    """The lines of a text, at any sign that ends one; null has none."""
+    return F.split(F.coalesce(text, F.lit("")), LINE_END)
+
+
 def collapse(text: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
@@ -60,8 +75,8 @@ def final_answer(text: Column) -> Column:
 
 
 def last_line(text: Column) -> Column:
-    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, rf"^{SPACE[4:]}+|{SPACE[4:]}+$", "")), lambda x: x != "")
-    return F.try_element_at(lines, F.lit(-1))
+    found = F.filter(F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, rf"^{SPACE[4:]}+|{SPACE[4:]}+$", "")), lambda x: x != "")
+    return F.try_element_at(found, F.lit(-1))
 
 
 def classify(n_correct: Column, n_attempts: Column) -> Column:
@@ -98,7 +113,7 @@ def clean_cell(cell: Column) -> Column:
 
 
 def is_table_line(line: Column) -> Column:
-    return F.ltrim(line).startswith("|")
+    return F.regexp_replace(line, rf"^{SPACE}+", "").startswith("|")
 
 
 def has_footnote(text: Column) -> Column:
@@ -127,15 +142,16 @@ def report_year(report: Column) -> Column:
 
 
 def item_id(code: Column, slot: Column) -> Column:
-    return F.format_string("DART_%s_%03d", code, slot)
+    return F.format_string(ITEM_ID, code, slot)
 
 
 def chunk_id(company: Column, year: Column, section: Column, position: Column) -> Column:
-    return F.format_string("%s_%d_%s_%03d", company, year, section, position)
+    return F.format_string(CHUNK_ID, company, year, section, position)
 
 
 def percent(share: Column) -> Column:
-    return F.format_string("%.1f%%", share * 100)
+    """In per cent with one digit, halves to the even one."""
+    return F.format_string("%.1f%%", F.bround(share * 100, 1))
 
 
 def need_map(spec: Column) -> Column:
@@ -144,6 +160,23 @@ def need_map(spec: Column) -> Column:
     return F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.split_part(x, F.lit(":"), F.lit(1))), F.trim(F.split_part(x, F.lit(":"), F.lit(2))).cast("int"))))
 
 
+def percent_of(part: Column, whole: Column) -> Column:
+    """A share in per cent with one digit; of nothing it is 0."""
+    return percent(F.when(whole > 0, part / whole).otherwise(F.lit(0.0)))
+
+
+def quote_spans(text: Column, quotes: Column) -> Column:
+    """(start, end) of every place where one of the quotes stands in a text, from the left and not overlapping within a quote;
+    blank quotes stand nowhere. Ends are exclusive."""
+    def of(quote: Column) -> Column:
+        parts = F.split(text, F.regexp_replace(quote, r"([^\w\s])", r"\\$1"))
+        before = lambda i: F.char_length(F.array_join(F.slice(parts, 1, i + 1), "")) + i * F.char_length(quote)
+        spans = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda _, i: F.struct(before(i).alias("start"), (before(i) + F.char_length(quote)).alias("end")))
+        return F.when((quote == "") | (F.size(parts) < 2), F.array().cast("array<struct<start:int,end:int>>")).otherwise(spans)
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(quotes, of))))
+
+
 def changed_fields(old: dict[str, Column], new: dict[str, Column]) -> Column:
     """Names of the fields that differ, in order; a missing field is null."""
     names = sorted(old.keys() | new.keys())

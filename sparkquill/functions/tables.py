@@ -7,16 +7,20 @@ from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
 
+#: Fixed value: a cell of the row that parts a table's head from its body.
+SEPARATOR = r"^:?-{2,}:?$"
+
 
 def parse_markdown_table(text: Column) -> Column:
     """The rows of the lines that begin with a pipe, padded to one width; separator rows are left out."""
-    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x.startswith("|"))
-    inner = F.transform(lines, lambda x: F.regexp_replace(F.regexp_replace(x, r"^\|+", ""), r"\|+$", ""))
-    rows = F.transform(inner, lambda x: F.transform(F.split(x, r"\|"), lambda c: F.trim(c)))
+    lines = F.filter(F.transform(S.lines(text), S.stripped), lambda x: x.startswith("|"))
+    # one pipe at either end frames the row, any more are empty cells
+    inner = F.transform(lines, lambda x: F.regexp_replace(F.regexp_replace(x, r"^\|", ""), r"\|$", ""))
+    rows = F.transform(inner, lambda x: F.transform(F.split(x, r"\|"), S.stripped))
 
     def separator(row: Column) -> Column:
         filled = F.filter(row, lambda c: c != "")
-        return (F.size(filled) > 0) & F.forall(filled, lambda c: c.rlike(r"^:?-{2,}:?$"))
+        return (F.size(filled) > 0) & F.forall(filled, lambda c: F.replace(c, F.lit(" "), F.lit("")).rlike(SEPARATOR))
 
     body = F.filter(rows, lambda r: ~separator(r))
     width = F.coalesce(F.array_max(F.transform(body, lambda r: F.size(r))), F.lit(0))
@@ -25,7 +29,7 @@ def parse_markdown_table(text: Column) -> Column:
 
 def blocks(text: Column) -> Column:
     """(kind, text) of each stretch of lines of one kind, table or text; blank lines end no block."""
-    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x) != "")
+    lines = F.filter(S.lines(text), lambda x: S.stripped(x) != "")
     tagged = F.transform(lines, lambda x: F.struct(F.when(S.is_table_line(x), "table").otherwise("text").alias("kind"), x.alias("text")))
     empty = F.array().cast("array<struct<kind:string,text:string>>")
 
@@ -36,7 +40,8 @@ def blocks(text: Column) -> Column:
         )
         return F.when((F.size(out) > 0) & (last["kind"] == line["kind"]), grown).otherwise(F.concat(out, F.array(line)))
 
-    return F.aggregate(tagged, empty, add)
+    whole = F.aggregate(tagged, empty, add)
+    return F.transform(whole, lambda b: F.struct(b["kind"].alias("kind"), S.stripped(b["text"]).alias("text")))
 
 
 def assemble(found: Column) -> Column:

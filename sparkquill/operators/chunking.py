@@ -1,58 +1,46 @@
 """Packing text and table blocks into chunks of a token budget.
 
-Packing is a running fold over the blocks of one section, so a section is one group; sections are many and each is
-bounded by its document.
+Packing is a running fold over the blocks of one section; sections are many and each is bounded by its document. A section
+that is a row (its HTML, or an array of its blocks) is packed where it is; blocks that are rows are grouped first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
+from sparkquill.operators import html_blocks
 
-#: After the last of these a text may be cut.
+#: After the last of these a text may be cut. the last of these a text may be cut.
 TERMINATORS = ".!?。…\n"
 SCHEMA = "chunk_id string, text string, company string, year int, section string, report_code string, has_table boolean, token_count int, block_kinds array<string>"
 
 
+TOKEN = re.compile(r"\s*\S+|\s+")
+
+
 def word_spans(text: str) -> list[tuple[int, int]]:
     """The default tokenizer: each token is a word with the white space before it, so that tokens join to the text."""
-    out, at, n = [], 0, len(text)
-    while at < n:
-        end = at
-        while end < n and text[end].isspace():
-            end += 1
-        while end < n and not text[end].isspace():
-            end += 1
-        out.append((at, end))
-        at = end
-    return out
+    return [m.span() for m in TOKEN.finditer(text)]
 
 
 TOKENIZERS: dict[str, Callable[[str], list[tuple[int, int]]]] = {"words": word_spans}
 
 
 class Packer:
+    """A text is split into tokens once. A token that a cut goes through counts in both parts."""
+
     def __init__(self, size: int = 512, overlap: int = 50, tokenizer: str = "words", compat: bool = False):
         self.size, self.overlap, self.spans, self.compat = size, overlap, TOKENIZERS[tokenizer], compat
 
     def count(self, text: str) -> int:
         return len(self.spans(text))
 
-    def head(self, text: str, budget: int) -> tuple[str, str]:
-        """The longest start of a text within the budget, cut after its last terminator if it has one, and the rest."""
-        spans = self.spans(text)
-        if len(spans) <= budget:
-            return text, ""
-        part = text[: spans[budget - 1][1]] if budget > 0 else text[: spans[0][1]]
-        at = max(part.rfind(c) for c in TERMINATORS)
-        part = part[: at + 1] if at > 0 else part
-        return part, text[len(part) :].lstrip()
-
     def tail(self, text: str) -> str:
         """The last tokens of a text, to begin the next chunk with."""
         if self.overlap <= 0:
@@ -60,7 +48,7 @@ class Packer:
         spans = self.spans(text)
         return text if len(spans) <= self.overlap else text[spans[-self.overlap][0] :].lstrip()
 
-    def pack(self, blocks: list[tuple[str, str]]) -> Iterator[tuple[str, list[str]]]:
+    def pack(self, blocks: Iterable[tuple[str, str]]) -> Iterator[tuple[str, list[str]]]:
         """(text, kinds) of each chunk; tables stay whole, and one that fits nowhere is a chunk of its own."""
         parts: list[tuple[str, str]] = []
         used = 0
@@ -78,7 +66,8 @@ class Packer:
         for kind, payload in blocks:
             if not payload or not payload.strip():
                 continue
-            n = self.count(payload)
+            spans = self.spans(payload)
+            n = len(spans)
             if kind == "table":
                 if used + n > self.size and parts:
                     yield from flushed()
@@ -92,35 +81,71 @@ class Packer:
                     parts.append((kind, payload))
                     used += n
                 continue
-            rest = payload
-            while rest:
-                room = self.size - used
-                if room <= 0:
+            at = token = 0  # where the rest of the text begins, and its first token
+            while at < len(payload):
+                if self.size <= used:
                     yield from flushed()
-                    room = self.size - used
-                part, rest = self.head(rest, max(room, 1))
-                parts.append((kind, part))
-                used += self.count(part)
-                if rest:
+                room = max(self.size - used, 1)
+                if n - token <= room:
+                    end = len(payload)
+                else:
+                    end = spans[token + room - 1][1]
+                    # the longest start within the budget, cut after its last terminator if it has one
+                    cut = max(payload.rfind(c, at, end) for c in TERMINATORS)
+                    end = cut + 1 if cut > at else end
+                parts.append((kind, payload[at:end]))
+                first = token
+                while token < n and spans[token][1] <= end:
+                    token += 1
+                used += token - first + (token < n and spans[token][0] < end)
+                at = end
+                while at < len(payload) and payload[at].isspace():
+                    at += 1
+                while token < n and spans[token][1] <= at:
+                    token += 1
+                if at < len(payload):
                     yield from flushed()
         yield from flushed(seed=False)
 
 
+def _records(packer: Packer, company, year, section, report_code, blocks) -> Iterator[tuple]:
+    for i, (text, kinds) in enumerate(packer.pack(blocks)):
+        yield f"{company}_{year}_{section}_{i:03d}", text, company, year, section, report_code, "table" in kinds, packer.count(text), kinds
+
+
+COLUMNS = ["chunk_id", "text", "company", "year", "section", "report_code", "has_table", "token_count", "block_kinds"]
+
+
 def chunks(blocks: DataFrame, size: int = 512, overlap: int = 50, tokenizer: str = "words", compat: bool = False) -> DataFrame:
     """blocks (company, year, section, report_code, pos, kind, payload) -> chunks, numbered within company, year and section."""
 
     def each(frame: pd.DataFrame) -> pd.DataFrame:
-        packer = Packer(size, overlap, tokenizer, compat)
         frame = frame.sort_values("pos", kind="stable")
         one = frame.iloc[0]
-        rows = []
-        for i, (text, kinds) in enumerate(packer.pack(list(zip(frame["kind"], frame["payload"], strict=True)))):
-            rows.append((f"{one.company}_{one.year}_{one.section}_{i:03d}", text, one.company, one.year, one.section, one.report_code, "table" in kinds, packer.count(text), kinds))
-        return pd.DataFrame(rows, columns=["chunk_id", "text", "company", "year", "section", "report_code", "has_table", "token_count", "block_kinds"])
+        held = zip(frame["kind"], frame["payload"], strict=True)
+        return pd.DataFrame(_records(Packer(size, overlap, tokenizer, compat), one.company, one.year, one.section, one.report_code, held), columns=COLUMNS)
 
     return blocks.groupBy("company", "year", "section").applyInPandas(each, SCHEMA)
 
 
+def section_chunks(sections: DataFrame, content: str, size: int = 512, overlap: int = 50, tokenizer: str = "words", compat: bool = False) -> DataFrame:
+    """sections (company, year, section, report_code, ...) -> chunks, a section a row, so that nothing is shuffled.
+
+    ``content`` names a column of HTML, or one of blocks, array<struct<kind, text>>."""
+    html = sections.schema[content].dataType.typeName() == "string"
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = Packer(size, overlap, tokenizer, compat)
+        for frame in frames:
+            rows: list[tuple] = []
+            for r in frame.itertuples(index=False):
+                found = html_blocks.blocks(r.content) if html else [(b["kind"], b["text"]) for b in (r.content if r.content is not None else ())]
+                rows += _records(packer, r.company, r.year, r.section, r.report_code, found)
+            yield pd.DataFrame(rows, columns=COLUMNS)
+
+    return sections.select("company", "year", "section", "report_code", F.col(content).alias("content")).mapInPandas(each, SCHEMA)
+
+
 def windows(df: DataFrame, key: str, text: str, stride: int = 400, size: int = 450) -> DataFrame:
     """(key, pos, n_tokens, window): fixed windows of words with an overlap of size - stride, without Python."""
     words = S.tokens(F.col(text))

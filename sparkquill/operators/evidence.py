@@ -3,14 +3,26 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
 
+import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from sparkquill.functions import scalars as S
 
-REQUIRED = ("question", "gold_answer", "evidence_chunk_ids", "evidence_quotes", "reasoning_steps", "reasoning_hops")
+REQUIRED = ("question", "gold_answer", "gold_answer_unit", "evidence_chunks", "evidence_quotes", "reasoning_steps", "reasoning_hops")
+PAYLOAD = (
+    "question string, gold_answer string, gold_answer_unit string, evidence_chunks array<string>, evidence_quotes array<string>, "
+    "reasoning_steps array<string>, reasoning_hops string, generation_notes string"
+)
+#: Characters of quotes that one pass looks for, at most.
+MOST_QUOTE_CHARS = 2_000_000
 
 
 def first_seen(hits: DataFrame, group: str) -> DataFrame:
@@ -45,22 +57,36 @@ def joined(df: DataFrame, keys: list[str], order: str, text: str, mark: str = "\
     return df.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), mark).alias(into))
 
 
+def block(chunks: Column) -> Column:
+    """The evidence part of a prompt, of an array of (chunk_id, text, section, has_table): each text under a line that names it."""
+    yes = lambda c: F.when(c["has_table"].isNull(), "None").when(c["has_table"], "True").otherwise("False")
+    head = lambda c: F.concat(F.lit("--- chunk_id="), c["chunk_id"], F.lit(" | section="), F.coalesce(c["section"], F.lit("None")), F.lit(" | has_table="), yes(c), F.lit(" ---"))
+    return F.array_join(F.transform(chunks, lambda c: F.concat(head(c), F.lit("\n"), c["text"], F.lit("\n"))), "\n")
+
+
+def prompt(template: str, **fields: Column) -> Column:
+    """A template with each {name} replaced; texts that are put in are not searched for names again."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.lit(p) if i % 2 == 0 else F.coalesce(fields[p].cast("string"), F.lit("")) for i, p in enumerate(parts)])
+
+
 def outermost_json(text: str | None) -> str | None:
     """The first balanced object of a reply, code fences aside; null if it is no JSON."""
     if not text:
         return None
     start, depth = -1, 0
-    for i, c in enumerate(text):
-        if c == "{":
-            start, depth = (i if not depth else start), depth + 1
-        elif c == "}" and depth:
+    for m in re.finditer(r"[{}]", text):
+        if m[0] == "{":
+            start, depth = (m.start() if not depth else start), depth + 1
+        elif depth:
             depth -= 1
             if not depth:
+                part = text[start : m.end()]
                 try:
-                    json.loads(text[start : i + 1])
+                    json.loads(part)
                 except ValueError:
                     return None
-                return text[start : i + 1]
+                return part
     return None
 
 
@@ -71,59 +97,75 @@ def extract_json(text: Column) -> Column:
     return F.pandas_udf(each, "string")(text)
 
 
-def verified(payload: Column, evidence: Column) -> Column:
+def payload(text: Column) -> Column:
+    """The fields of a drafted question, of the JSON text of one object; null if it is none."""
+    return F.from_json(text, PAYLOAD)
+
+
+def verified(text: Column, evidence: Column) -> Column:
     """The first rule that a drafted question breaks, or ok.
 
-    payload: struct of strings question, gold_answer and reasoning_hops, and arrays evidence_chunk_ids, evidence_quotes
-    and reasoning_steps; evidence: map of the chunk texts that were shown, by id."""
-    field = lambda name: payload[name]
-    known = F.transform(field("evidence_chunk_ids"), lambda i: F.try_element_at(evidence, i))
-    bare = lambda c: S.collapse(c)
-    shown = bare(F.array_join(known, " "))
-    hops = field("reasoning_hops").try_cast("int")
-    absent = [payload.isNull()] + [field(n).isNull() for n in REQUIRED]
+    text: JSON of one object as ``extract_json`` gives it; evidence: map of the chunk texts that were shown, by id."""
+    fields, variant = payload(text), F.try_parse_json(text)
+    kind = lambda name: F.coalesce(F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant")), F.lit("VOID"))
+    known = F.transform(fields["evidence_chunks"], lambda i: F.try_element_at(evidence, i))
+    shown = S.collapse(F.array_join(known, " \n"))
+    quotes = F.try_variant_get(variant, "$.evidence_quotes", "array<variant>")
+    hops = F.floor(F.abs(fields["reasoning_hops"].try_cast("double"))) * F.signum(fields["reasoning_hops"].try_cast("double"))
+    none = lambda c: F.coalesce(F.size(c), F.lit(0)) <= 0
     return (
-        F.when(_any(absent), "missing_fields")
-        .when(F.size(field("reasoning_steps")) == 0, "no_steps")
+        F.when(F.coalesce(F.size(F.array_except(F.array(*map(F.lit, REQUIRED)), F.json_object_keys(text))), F.lit(1)) > 0, "missing_fields")
+        .when(none(fields["reasoning_steps"]), "no_steps")
         .when(hops.isNull(), "hops_not_a_number")
-        .when(hops != F.size(field("reasoning_steps")), "hops_differ_from_steps")
-        .when(F.size(field("evidence_quotes")) == 0, "no_quotes")
+        .when(hops != F.size(fields["reasoning_steps"]), "hops_differ_from_steps")
+        .when(none(fields["evidence_quotes"]), "no_quotes")
         .when(F.exists(known, lambda t: t.isNull()), "unknown_evidence")
-        .when(F.exists(field("evidence_quotes"), lambda q: F.coalesce(bare(q), F.lit("")) == ""), "blank_quote")
-        .when(F.exists(field("evidence_quotes"), lambda q: ~F.contains(shown, bare(q))), "quote_not_in_evidence")
+        .when(F.exists(quotes, lambda q: F.schema_of_variant(q) != "STRING") | F.exists(fields["evidence_quotes"], lambda q: S.collapse(q) == ""), "blank_quote")
+        .when(F.exists(fields["evidence_quotes"], lambda q: ~F.contains(shown, S.collapse(q))), "quote_not_in_evidence")
+        .when(kind("gold_answer").rlike("^(VOID|ARRAY|OBJECT)"), "gold_not_a_single_value")
         .otherwise("ok")
     )
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
-def quotes_found(quotes: DataFrame, docs: DataFrame, width: int = 3) -> DataFrame:
-    """(item_id, doc_id) where the normalised quote is part of the normalised text.
-
-    Quotes meet only texts that share a rare word run: both sides are cut into runs of ``width`` words, each quote keeps
-    the run that the fewest texts hold (runs at its ends may be cut within a word, so inner runs are used), and the
-    equi-join on it is followed by the exact test. Quotes too short for an inner run are tested against all texts, broadcast."""
-    q = quotes.select("item_id", S.collapse(F.lower("text")).alias("quote")).filter("quote != ''")
-    d = docs.select("doc_id", S.collapse(F.lower("text")).alias("body"))
-
-    def runs(words: Column) -> Column:
-        # the array is bound first, as an expression within a lambda is evaluated for each element
-        cut = lambda w: F.transform(w, lambda x, i: F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, width)]))
-        return F.transform(F.array(words), lambda w: F.slice(cut(w), 1, F.greatest(F.size(w) - (width - 1), F.lit(1))))[0]
-
-    words = F.split("quote", " ")
-    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
-    long = q.withColumn("inner", inner).filter(F.size("inner") >= width)
-    keys = d.select("doc_id", F.explode(F.array_distinct(runs(F.split("body", " ")))).alias("run"))
-    asked = long.select("item_id", F.explode(F.array_distinct(runs(F.col("inner")))).alias("run"))
-    common = keys.join(asked.select("run").distinct(), "run").groupBy("run").agg(F.count("*").alias("n"))
-    rarest = asked.join(common, "run", "left").groupBy("item_id").agg(F.min_by("run", F.struct(F.coalesce("n", F.lit(0)), "run")).alias("run"))
-    pairs = keys.join(rarest, "run").select("item_id", "doc_id").distinct()
-    found = pairs.join(q, "item_id").join(d, "doc_id").filter(F.contains("body", F.col("quote"))).select("item_id", "doc_id")
-    short = q.withColumn("inner", inner).filter(F.size("inner") < width).select("item_id", "quote")
-    return found.unionByName(d.join(short, F.contains(F.col("body"), F.col("quote"))).select("item_id", "doc_id"))
+def quotes_found(quotes: DataFrame, docs: DataFrame, most: int = MOST_QUOTE_CHARS) -> DataFrame:
+    """(item_id, doc_id) where the normalised quote is part of the normalised text; blank quotes are part of none.
+
+    The quotes are a stated set, which each task holds as one automaton: a text is read once, whatever the number of
+    quotes, and nothing but the pairs found leaves the scan. Quotes of more than ``most`` characters go in passes of so many."""
+    asked = quotes.select("item_id", S.collapse(F.lower("text")).alias("quote")).filter("quote != ''")
+    bodies = docs.select("doc_id", S.collapse(F.lower("text")).alias("body")).filter("body is not null")
+    spark, key, doc = docs.sparkSession, quotes.schema["item_id"].dataType, docs.schema["doc_id"].dataType
+    schema = StructType([StructField("item_id", key), StructField("doc_id", doc)])
+
+    def scan(held: list[tuple]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(held)
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value
+            find = ahocorasick.Automaton()
+            of: dict[str, list[int]] = {}
+            for i, (_, quote) in enumerate(own):
+                of.setdefault(quote, []).append(i)
+            for quote, items in of.items():
+                find.add_word(quote, items)
+            find.make_automaton()
+            ids = pa.array([i for i, _ in own], to_arrow_type(key))
+            for batch in batches:
+                rows, items = [], []
+                for row, body in enumerate(batch.column("body").to_pylist()):
+                    found = {i for _, mine in find.iter(body) for i in mine}
+                    rows += [row] * len(found)
+                    items += sorted(found)
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(items, pa.int64())), batch.column("doc_id").take(pa.array(rows, pa.int64()))], names=["item_id", "doc_id"])
+
+        return bodies.mapInArrow(each, schema)
+
+    out = spark.createDataFrame([], schema)
+    held: list[tuple] = []
+    chars = 0
+    for row in asked.toLocalIterator():
+        if held and chars + len(row.quote) > most:
+            out, held, chars = out.unionByName(scan(held)), [], 0
+        held.append((row.item_id, row.quote))
+        chars += len(row.quote)
+    return out.unionByName(scan(held)) if held else out

@@ -66,6 +66,18 @@ def issues(converted: DataFrame) -> DataFrame:
     return converted.select("id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()]))).alias("issue"))
 
 
+def sampled(found: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows in an order, for a report."""
+    return found.orderBy(*order).limit(n)
+
+
+def output_name(path: str, tag: str = "finqa", only: str = "") -> str:
+    """The name of a derived file beside its input: tag, and what the rows were narrowed to, before the ending."""
+    stem, dot, ending = path.rpartition(".")
+    base = stem if dot and "/" not in ending else path
+    return f"{base}_{tag}{f'_{only}' if only else ''}{f'.{ending}' if base == stem and dot else ''}"
+
+
 def statistics(items: DataFrame, sets: list[list[str]]) -> DataFrame:
     """Counts by each of several sets of keys in one job, as (grouping, key..., n), in order."""
     keys = list(dict.fromkeys(k for s in sets for k in s))

@@ -8,12 +8,15 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkquill.functions import scalars as S
+from sparkquill.operators import evidence
+from sparkquill.operators.relational import first_by
 from sparkquill.shared import stored
 
 
 def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     """A fixed order by a hash of a key and a seed, as the column ``ord_key``."""
-    return df.withColumn("ord_key", F.xxhash64(F.col(key), F.lit(seed)))
+    return df.withColumn("ord_key", F.md5(F.concat_ws("#", F.lit(str(seed)), F.col(key).cast("string"))))
 
 
 def filled(pool: Iterable[tuple], quotas: dict[str, int], draw: Callable, cap: int = 5, extra: int = 5) -> list:
@@ -83,6 +86,32 @@ def first_ok(attempts: DataFrame) -> DataFrame:
     return attempts.filter(F.col("verdict") == "ok").withColumn("_r", rank).filter("_r = 1").drop("_r")
 
 
+def drafted(replies: DataFrame) -> DataFrame:
+    """Items of the first reply of each slot that passes all rules, and of the others why their last reply does not.
+
+    replies: (task_type, slot, attempt, reply, error, company, report, section, shown), where ``shown`` maps the ids of the
+    evidence to its texts; an ``error`` is a call that gave no reply. Returns (task_type, slot, verdict, item)."""
+    shown = F.coalesce("shown", F.create_map().cast("map<string,string>"))
+    judged = replies.withColumn("_json", evidence.extract_json(F.col("reply")))
+    verdict = F.when(F.size(shown) == 0, "no_evidence").when(F.col("error").isNotNull(), "api_error").when(F.col("_json").isNull(), "json_parse_failed")
+    judged = judged.withColumn("verdict", verdict.otherwise(evidence.verified(F.col("_json"), shown))).withColumn("_p", evidence.payload(F.col("_json")))
+    text = lambda name: F.col(f"_p.{name}").alias(name)
+    item = F.struct(
+        S.item_id(F.col("task_type"), F.col("slot")).alias("id"), text("question"), text("gold_answer"), text("gold_answer_unit"), text("evidence_chunks"), text("evidence_quotes"), text("reasoning_steps"),
+        F.size("_p.reasoning_steps").alias("reasoning_hops"), F.col("task_type"), F.col("company").alias("source_company"), F.col("report").alias("source_report"),
+        F.col("section").alias("source_section"), F.lit(None).cast("string").alias("source_pages"), F.coalesce("_p.generation_notes", F.lit("")).alias("generation_notes"),
+    )
+    ok = F.col("verdict") == "ok"
+    one = judged.withColumn("item", F.when(ok, item))
+    # a passing reply comes first, the earliest of them; of slots without one the last reply says why
+    return first_by(one, ["task_type", "slot"], F.when(ok, F.col("attempt")).asc_nulls_last(), F.col("attempt").desc()).select("task_type", "slot", "verdict", "item")
+
+
+def discard_reasons(drafts: DataFrame) -> DataFrame:
+    """How often each rule was the reason of a discard, by type."""
+    return drafts.filter("verdict != 'ok'").groupBy("task_type", F.col("verdict").alias("reason")).agg(F.count("*").alias("n"))
+
+
 def attempt_stats(attempts: DataFrame) -> DataFrame:
     """Per type: tries, passes and discards."""
     ok = F.col("verdict") == "ok"

@@ -23,6 +23,11 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count("*").alias("n"))
 
 
+def counted(chunks: DataFrame) -> DataFrame:
+    """Chunks and their tokens by company and year."""
+    return chunks.groupBy("company", "year").agg(F.count("*").alias("n_chunks"), F.coalesce(F.sum("token_count"), F.lit(0)).cast("long").alias("n_tokens"))
+
+
 def usage(attempts: DataFrame, price_in: float, price_out: float) -> DataFrame:
     """Tokens and dollars of all attempts."""
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
@@ -41,12 +46,13 @@ def embedding_cost(chunks: DataFrame, price: float, count: str = "token_count")
     return chunks.agg(F.count("*").alias("n_chunks"), total.alias("total_tokens"), F.round(total / F.lit(1e6) * F.lit(price), 6).alias("estimated_usd"))
 
 
-def calibrated(items: DataFrame, evidence: DataFrame, provider, n_attempts: int = 3, workers: int = 4, tolerance: float = 0.01) -> DataFrame:
+def calibrated(items: DataFrame, evidence: DataFrame, provider, n_attempts: int = 3, workers: int | None = None, tolerance: float = 0.01) -> DataFrame:
     """Ask a provider for each item's answers and grade them.
 
     items: (ord, id, task_type, question, gold_answer), evidence: (id, evidence). ``provider(question, evidence) -> (raw,
-    input tokens, output tokens)`` runs in Python workers, over ``workers`` partitions at a time; an error is an empty attempt."""
-    schema = "ord long, id string, task_type string, gold string, attempt int, raw string, input_tokens int, output_tokens int"
+    input tokens, output tokens)`` runs in Python workers, over ``workers`` partitions where a service bounds the calls at a
+    time, else over all there are; an error is an empty attempt, with its message in ``error``."""
+    schema = "ord long, id string, task_type string, gold string, attempt int, raw string, input_tokens int, output_tokens int, error string"
 
     def each(frames):
         import pandas as pd
@@ -55,16 +61,17 @@ def calibrated(items: DataFrame, evidence: DataFrame, provider, n_attempts: int
             rows = []
             for r in frame.itertuples(index=False):
                 for k in range(n_attempts):
+                    error = None
                     try:
                         raw, used_in, used_out = provider(r.question, r.evidence or "")
-                    except Exception:  # noqa: BLE001  the run goes on, as one failed call is one wrong attempt
-                        raw, used_in, used_out = "", 0, 0
-                    rows.append((r.ord, r.id, r.task_type, r.gold_answer, k, raw, used_in, used_out))
-            yield pd.DataFrame(rows, columns=["ord", "id", "task_type", "gold", "attempt", "raw", "input_tokens", "output_tokens"])
+                    except Exception as e:  # noqa: BLE001  the run goes on, as one failed call is one wrong attempt
+                        raw, used_in, used_out, error = "", 0, 0, f"{type(e).__name__}: {e}"
+                    rows.append((r.ord, r.id, r.task_type, r.gold_answer, k, raw, used_in, used_out, error))
+            yield pd.DataFrame(rows, columns=["ord", "id", "task_type", "gold", "attempt", "raw", "input_tokens", "output_tokens", "error"])
 
     asked = items.join(evidence, "id", "left").select("ord", "id", "task_type", "question", "gold_answer", "evidence")
-    attempts = graded(asked.repartition(workers).mapInPandas(each, schema), tolerance)
-    record = F.struct("attempt", "raw", "predicted", "correct", "input_tokens", "output_tokens")
+    attempts = graded((asked.repartition(workers) if workers else asked).mapInPandas(each, schema), tolerance)
+    record = F.struct("attempt", "raw", "predicted", "correct", "input_tokens", "output_tokens", "error")
     out = attempts.groupBy("ord", "id", "task_type").agg(F.array_sort(F.collect_list(record)).alias("attempts"))
     n_correct = F.size(F.filter("attempts", lambda a: a["correct"]))
     return out.withColumn("classification", S.classify(n_correct, F.size("attempts"))).orderBy("ord")

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset({"script", "style"})
 SPACE = re.compile(r"\s+")
+#: The HTML standard clamps the colspan attribute to so many columns.
+MOST_COLUMNS = 1000
 
 
 class Element:
@@ -41,9 +43,22 @@ class Element:
 
     def html(self) -> str:
         """The element and what is inside as markup."""
-        inner = "".join(c if isinstance(c, str) else c.html() for c in self.children)
-        attrs = "".join(f' {k}="{v or ""}"' for k, v in self.attrs.items())
-        return f"<{self.tag}{attrs}>" if self.tag in VOID else f"<{self.tag}{attrs}>{inner}</{self.tag}>"
+        out: list[str] = []
+        stack: list[Element | str] = [self]
+        ends: list[str] = []  # None in the stack closes the last of these
+        while stack:
+            node = stack.pop()
+            if node is None:
+                out.append(ends.pop())
+            elif isinstance(node, str):
+                out.append(node)
+            else:
+                attrs = "".join(f' {k}="{v or ""}"' for k, v in node.attrs.items())
+                out.append(f"<{node.tag}{attrs}>")
+                if node.tag not in VOID:
+                    ends.append(f"</{node.tag}>")
+                    stack += [None, *reversed(node.children)]
+        return "".join(out)
 
 
 class Tree(HTMLParser):
@@ -91,19 +106,18 @@ def cell_text(node: Element) -> str:
 
 def grid(table: Element) -> list[list[str]]:
     """Rows of cells with spans expanded, padded to one width. Rows of inner tables are theirs."""
+    own_rows: list[Element] = []
+    stack = list(reversed(table.children))
+    while stack:
+        node = stack.pop()
+        if isinstance(node, Element) and node.tag == "tr":
+            own_rows.append(node)
+        elif isinstance(node, Element) and node.tag != "table":
+            stack += reversed(node.children)
     rows: list[dict[int, str]] = []
     held: dict[tuple[int, int], str] = {}
-
-    def own_rows(node: Element) -> Iterator[Element]:
-        for c in node.children:
-            if isinstance(c, Element):
-                if c.tag == "tr":
-                    yield c
-                elif c.tag != "table":
-                    yield from own_rows(c)
-
     number = lambda v: int(v) if v and v.isdigit() and int(v) > 0 else 1
-    for r, tr in enumerate(own_rows(table)):
+    for r, tr in enumerate(own_rows):
         row: dict[int, str] = {}
         at = 0
         for cell in (c for c in tr.children if isinstance(c, Element) and c.tag in ("td", "th")):
@@ -111,7 +125,8 @@ def grid(table: Element) -> list[list[str]]:
                 row[at] = held[r, at]
                 at += 1
             text = cell_text(cell)
-            wide, high = min(number(cell.attrs.get("colspan")), 1000), min(number(cell.attrs.get("rowspan")), 10_000)
+            # no cell reaches below the last row
+            wide, high = min(number(cell.attrs.get("colspan")), MOST_COLUMNS), min(number(cell.attrs.get("rowspan")), len(own_rows) - r)
             for k in range(wide):
                 row[at] = text
                 for below in range(1, high):
@@ -167,6 +182,19 @@ def blocks(html: str | None) -> list[tuple[str, str]]:
     return out
 
 
+def plain(html: str | None) -> str:
+    """All text of a document, stripped pieces on lines of their own."""
+    out: list[str] = []
+    stack: list = [soup(html)]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, str):
+            out += [node.strip()] if node.strip() else []
+        elif node.tag not in SKIPPED:
+            stack += reversed(node.children)
+    return "\n".join(out)
+
+
 def split(docs: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, pos, kind, payload) of each document's blocks."""
 

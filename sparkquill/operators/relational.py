@@ -60,6 +60,29 @@ def resolve_codes(companies: DataFrame, corp_map: DataFrame, width: int = 8) ->
     return joined.select("name", "stock", resolved.alias("corp_code"), F.coalesce(configured != resolved, F.lit(False)).alias("mismatch"))
 
 
+def with_report_codes(sections: DataFrame, manifest: DataFrame, order: str) -> DataFrame:
+    """sections (company, year, ...) with the report code of the manifest (company, year, report_code), of several rows the last in order."""
+    codes = last_wins(manifest.filter("report_code is not null").select("company", "year", "report_code", order), ["company", "year"], order).drop(order)
+    return sections.join(codes, ["company", "year"], "left")
+
+
+def with_receipts(items: DataFrame, manifest: DataFrame, order: str, viewer: str = "%s") -> DataFrame:
+    """items (source_company, source_report, ...) with ``rcept_no``, by company and the year that the report's name begins with,
+    and ``link``: the number set into the viewer's address."""
+    numbers = last_wins(manifest.filter("rcept_no is not null").select("company", "year", "rcept_no", order), ["company", "year"], order)
+    numbers = numbers.select(F.col("company").alias("_c"), F.col("year").alias("_y"), "rcept_no")
+    on = (F.col("source_company") == F.col("_c")) & (S.report_year(F.col("source_report")) == F.col("_y"))
+    return items.join(numbers, on, "left").drop("_c", "_y").withColumn("link", F.format_string(viewer, "rcept_no"))
+
+
+def wanted_reports(companies: DataFrame, years: DataFrame, codes: list[str]) -> DataFrame:
+    """(name, corp_code, year, report_code, preference): what is to be fetched, the report codes of each company and year in order
+    of preference. Companies and years are configuration, so the years go along as one array."""
+    all_years = years.agg(F.array_sort(F.collect_set("year")).alias("_years"))
+    each = companies.join(F.broadcast(all_years)).withColumn("year", F.explode("_years")).drop("_years")
+    return each.select("name", "corp_code", "year", F.posexplode(F.array(*map(F.lit, codes))).alias("preference", "report_code"))
+
+
 def next_slot(ids: DataFrame, column: str, prefix: str) -> DataFrame:
     """One more than the largest number behind a prefix, 1 without any."""
     number = F.when(F.col(column).startswith(prefix), F.substring(column, len(prefix) + 1, 20).try_cast("long"))

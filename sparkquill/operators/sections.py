@@ -51,7 +51,8 @@ def structured(root: Element, spec: Spec) -> str | None:
         for inner in (x for x in outer.walk() if x.tag == "section-2"):
             own = inner.first("title")
             if own is not None and matches(own.text(), spec.titles):
-                return "".join(c if isinstance(c, str) else c.html() for c in inner.children if not (isinstance(c, Element) and c.tag == "title"))
+                parts = (c.strip() if isinstance(c, str) else c.html() for c in inner.children if isinstance(c, str) or c.tag != "title")
+                return "\n".join(p for p in parts if p)
     return None
 
 
@@ -66,9 +67,10 @@ def flat_blocks(root: Element) -> Iterator[tuple[str, str, str]]:
             yield ("table" if node.tag == "table" else "image"), "", node.html()
             continue
         if node.tag == "p" or node.tag in HEADINGS:
-            text = normalized(node.text())
+            text = normalized(node.text(" "))
             top, sub = re.match(TOP_HEADING, text), re.match(SUB_HEADING, text)
-            yield ("top" if top else "sub" if sub else "para"), text, node.html()
+            if text:
+                yield ("top" if top else "sub" if sub else "para"), text, node.html()
             if node.tag != "p":
                 continue
             stack += [c for c in reversed(node.children) if isinstance(c, Element) and c.tag in ("table", "image", "img")]
@@ -77,22 +79,24 @@ def flat_blocks(root: Element) -> Iterator[tuple[str, str, str]]:
 
 
 def textual(root: Element, spec: Spec) -> str | None:
-    """What stands between the wanted sub-heading, under a wanted top heading, and the next heading of either kind."""
+    """What stands under the wanted sub-headings of the wanted top headings, headings left out; None if that is nothing.
+
+    Either heading may be repeated, as on the pages that follow: the capture goes on under the same sub-heading, and begins
+    again under it after the top heading. It ends with another heading."""
     inside = capturing = False
-    found: list[str] | None = None
+    found: list[str] = []
     for kind, text, markup in flat_blocks(root):
+        if kind not in ("top", "sub"):
+            found += [markup] if capturing else []
+            continue
+        wanted = matches(text, spec.parents if kind == "top" else spec.titles)
+        if capturing and not wanted:
+            break
         if kind == "top":
-            if capturing:
-                break
-            inside = matches(text, spec.parents)
-        elif kind == "sub" and inside:
-            if capturing:
-                break
-            if matches(text, spec.titles):
-                capturing, found = True, []
-        elif capturing:
-            found.append(markup)
-    return None if found is None else "\n".join(found)
+            inside, capturing = wanted, False
+        elif inside:
+            capturing = wanted
+    return "\n".join(found) or None
 
 
 def members(content: bytes | None) -> Iterator[tuple[str, str]]:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
 from sparkquill.functions import tables as MD
-from sparkquill.operators import chunking, evidence, export, generation, grading, html_blocks, index, relational, review
+from sparkquill.operators import chunking, evidence, export, generation, grading, html_blocks, index, relational, review, sections
+from sparkquill.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -262,6 +263,10 @@ def review_states(spark, d):
     from a full join b on a.id = b.id""",
 )
 def second_pass_diff(spark, d):
+    return _passes(spark, d).select("id", "status_changed", F.array_join("changed", ",").alias("changed"))
+
+
+def _passes(spark, d):
     docs = read(spark, d, "documents")
     first = docs.filter("doc_id % 3 != 0").select(F.col("doc_id").alias("id"), F.col("lang").alias("status"), "source", "n_chars")
     second = docs.filter("doc_id % 4 != 0").select(
@@ -270,7 +275,7 @@ def second_pass_diff(spark, d):
         F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("source"),
         (F.col("n_chars") + F.col("doc_id") % 2).alias("n_chars"),
     )
-    return review.second_pass(first, second, ["source", "n_chars"]).withColumn("changed", F.array_join("changed", ","))
+    return review.second_pass(first, second, ["source", "n_chars"])
 
 
 @query(
@@ -483,7 +488,7 @@ def index_upsert(spark, d):
     return index.upsert(rows, rows.filter("chunk_id % 3 = 0").withColumn("version", F.lit(2)))
 
 
-@query("q_seeded_order")
+@query("q_seeded_order", "select doc_id, md5('42#' || doc_id::varchar) as ord_key from documents")
 def seeded_order(spark, d):
     return generation.shuffled(read(spark, d, "documents").select("doc_id"), "doc_id", 42)
 
@@ -496,10 +501,17 @@ def html_block_rows(spark, d):
 @query("q_chunks")
 def chunk_rows(spark, d):
     docs = read(spark, d, "documents")
-    blocks = docs.select(
-        F.col("source").alias("company"), F.lit(2024).alias("year"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("section"), F.lit(None).cast("string").alias("report_code"), F.posexplode(MD.blocks(F.col("text"))).alias("pos", "b")
+    sections = docs.select(
+        F.col("source").alias("company"), F.lit(2024).alias("year"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("section"), F.lit(None).cast("string").alias("report_code"), MD.blocks(F.col("text")).alias("blocks")
     )
-    return chunking.chunks(blocks.select("company", "year", "section", "report_code", "pos", "b.kind", F.col("b.text").alias("payload")))
+    return chunking.section_chunks(sections, "blocks")
+
+
+@query("q_html_chunks")
+def html_chunks(spark, d):
+    """From markup to chunks: blocks are cut and packed where the page is."""
+    pages = read(spark, d, "pages").select(F.lit("web").alias("company"), F.lit(2024).alias("year"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("section"), F.lit(None).cast("string").alias("report_code"), "html")
+    return chunking.section_chunks(pages, "html", 256, 32)
 
 
 @query("q_length_batches")
@@ -512,7 +524,12 @@ def embed_hash(spark, d):
     return index.embedded(read(spark, d, "documents").select("doc_id", "text"), "text", prefix="passage: ").select("doc_id", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"))
 
 
-@query("q_finqa_item")
+@query(
+    "q_finqa_item",
+    f"""with t as (select conv_id, turn, text, list_filter(string_split(regexp_replace({COLLAPSED}, '([.!?。]) +', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') as s from conversations),
+    p as (select conv_id, sum(len(s)) filter (trim(text) <> '')::int as n_pre, arg_min(text, turn) as question, arg_max(text, turn) as answer from t group by conv_id)
+    select 'c' || conv_id::varchar as id, coalesce(n_pre, 0) as n_pre, 0 as n_post, '2024_A001' as filename, question, answer, try_cast(replace(regexp_extract(replace(answer, ' ', ''), '{NUM}', 0), ',', '') as double) as exe_ans_num from p""",
+)
 def finqa_item(spark, d):
     turns = read(spark, d, "conversations")
     items = turns.groupBy(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("id")).agg(
@@ -536,6 +553,254 @@ def finqa_item(spark, d):
     return found.select("id", F.size("pre_text").alias("n_pre"), F.size("post_text").alias("n_post"), "filename", "qa.question", "qa.answer", "qa.exe_ans_num")
 
 
+SIGNS = ("Ⅰ", "ⅱ", "Ⅲ", "IV", "5", "x")
+
+
+@query(
+    "q_headings",
+    f"""with h as (select o_orderkey, ['{"', '".join(SIGNS)}'][o_custkey % 6 + 1] || '．  ' || o_orderpriority as h from orders),
+    n as (select o_orderkey, trim(regexp_replace(replace(replace(replace(replace(h, 'Ⅰ', 'I'), 'ⅱ', 'II'), 'Ⅲ', 'III'), '．', '.'), ' +', ' ', 'g')) as heading from h)
+    select o_orderkey, heading, case when regexp_matches(heading, '^[IVX]') then 'top' when regexp_matches(heading, '^[0-9]') then 'sub' end as kind, contains(replace(heading, ' ', ''), '.2-H') or contains(replace(heading, ' ', ''), 'II.1') as wanted from n""",
+)
+def headings(spark, d):
+    signs = F.array(*map(F.lit, SIGNS))
+    text = F.concat(F.get(signs, (F.col("o_custkey") % 6).cast("int")), F.lit("．  "), F.col("o_orderpriority"))
+    heading = S.normalize_heading(text)
+    return read(spark, d, "orders").select("o_orderkey", heading.alias("heading"), S.heading_kind(heading).alias("kind"), S.heading_matches(text, F.array(F.lit(". 2-H"), F.lit("II.1"))).alias("wanted"))
+
+
+@query("q_clean_cells", "select p_partkey, trim(regexp_replace(p_name || ' / ' || p_type || ' ' || p_brand, ' +', ' ', 'g')) as cell from part")
+def clean_cells(spark, d):
+    cell = F.concat(F.lit("\n "), "p_name", F.lit(" | "), "p_type", F.lit(" \r\n"), "p_brand")
+    return read(spark, d, "part").select("p_partkey", S.clean_cell(cell).alias("cell"))
+
+
+@query(
+    "q_markdown_cells",
+    """with l as (select l_orderkey, l_linenumber, l_returnflag, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_returnflag = 'N', l_returnflag) as r from lineitem),
+    w as (select l_orderkey, bool_or(l_returnflag = 'N') as wide from l group by l_orderkey),
+    c as (select l_orderkey, r, case when l_returnflag = 'N' then ['', l_linenumber::varchar, '', ''] else [l_linenumber::varchar, l_returnflag] end as c from l),
+    p as (select l_orderkey, r, case when wide and len(c) = 2 then list_concat(c, ['', '']) else c end as c from c join w using (l_orderkey))
+    select l_orderkey, (r - 1)::int as r, (generate_subscripts(c, 1) - 1)::int as c, unnest(c) as cell from p""",
+)
+def markdown_cells(spark, d):
+    """Tables of an order's lines as Markdown, with empty outer cells, a separator row and any line ends, taken apart into cells."""
+    line = F.when(F.col("l_returnflag") == "N", F.concat(F.lit("||"), F.col("l_linenumber").cast("string"), F.lit("|||"))).otherwise(F.concat(F.lit("  | "), F.col("l_linenumber").cast("string"), F.lit(" | "), "l_returnflag", F.lit("|")))
+    lines = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", line.alias("line")))), lambda x: x["line"]).alias("lines"))
+    text = F.concat(F.get("lines", 0), F.lit("\r\n| --- | :--: |\nno line of it\r"), F.array_join(F.slice("lines", 2, 1000), "\n"))
+    rows = lines.select("l_orderkey", F.posexplode(MD.parse_markdown_table(text)).alias("r", "cells"))
+    return rows.select("l_orderkey", "r", F.posexplode("cells").alias("c", "cell"))
+
+
+@query(
+    "q_verify_drafts",
+    """select conv_id, turn, case when turn % 4 = 3 then 'missing_fields' when turn % 3 = 2 then 'no_steps' when length(role) > 6 and turn % 2 = 0 then 'hops_differ_from_steps' when conv_id % 5 = 4 then 'unknown_evidence'
+    when conv_id % 7 = 6 then 'blank_quote' when conv_id % 11 = 10 then 'quote_not_in_evidence' when conv_id % 3 = 2 then 'gold_not_a_single_value' else 'ok' end as verdict from conversations""",
+)
+def verify_drafts(spark, d):
+    """Drafts whose faults come from their numbers, each with those that come after it in the order of the rules."""
+    n, turn, chunk = F.col("conv_id"), F.col("turn"), F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    quote = F.when(n % 7 == 6, " ").when(n % 11 == 10, "no such words in any turn").otherwise(F.regexp_replace(F.substring("text", 1, 12), " ", "  "))
+    fields = {
+        "question": F.col("text"), "gold_answer_unit": F.lit("%"), "evidence_chunks": F.array(F.when(n % 5 == 4, "none").otherwise(chunk)), "evidence_quotes": F.array(quote),
+        "reasoning_steps": F.array_repeat(F.lit("step"), F.when(turn % 3 == 2, 0).otherwise(2).cast("int")), "reasoning_hops": F.when((F.length("role") > 6) & (turn % 2 == 0), 3).otherwise(2),
+    }
+    body = F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()]))
+    gold = F.when(n % 3 == 2, '["a", "b"]').otherwise('"a"')
+    whole = F.concat(F.lit('{"gold_answer": '), gold, F.lit(", "), F.substring(body, 2, 1_000_000_000))
+    reply = F.when(turn % 4 == 3, body).otherwise(whole)
+    return read(spark, d, "conversations").select("conv_id", "turn", evidence.verified(reply, F.create_map(chunk, F.col("text"))).alias("verdict"))
+
+
+@query(
+    "q_report_codes",
+    """with m as (select o_custkey as company, year(o_orderdate)::int as year, arg_max(o_orderpriority, o_orderkey) as report_code from orders where o_orderstatus <> 'P' group by all)
+    select o_orderkey, o.o_custkey as company, year(o_orderdate)::int as year, report_code from orders o left join m on m.company = o.o_custkey and m.year = year(o_orderdate)::int""",
+)
+def report_codes(spark, d):
+    rows = read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("company"), F.year("o_orderdate").alias("year"), "o_orderstatus", F.col("o_orderpriority").alias("report_code"))
+    return relational.with_report_codes(rows.drop("o_orderstatus", "report_code"), rows.filter("o_orderstatus != 'P'"), "o_orderkey")
+
+
+@query(
+    "q_receipts",
+    """with m as (select o_custkey as company, year(o_orderdate)::int as year, max(o_orderkey)::varchar as rcept_no from orders group by all),
+    i as (select event_id, user_id, (1992 + event_id % 8)::int as year from events)
+    select event_id, rcept_no, 'https://viewer/' || rcept_no as link from i left join m on m.company = user_id and m.year = i.year""",
+)
+def receipts(spark, d):
+    items = read(spark, d, "events").select("event_id", F.col("user_id").alias("source_company"), F.concat((F.col("event_id") % 8 + 1992).cast("string"), F.lit("_A001")).alias("source_report"))
+    manifest = read(spark, d, "orders").select(F.col("o_custkey").alias("company"), F.year("o_orderdate").alias("year"), F.col("o_orderkey").cast("string").alias("rcept_no"), "o_orderkey")
+    return relational.with_receipts(items, manifest, "o_orderkey", "https://viewer/%s").select("event_id", "rcept_no", F.when(F.col("rcept_no").isNotNull(), F.col("link")).alias("link"))
+
+
+@query(
+    "q_wanted_reports",
+    """select c_name as name, c_custkey::varchar as corp_code, y.year, t.code as report_code, t.i::int as preference from customer, (select distinct year(o_orderdate)::int as year from orders) y,
+    (values ('A', 0), ('B', 1)) t(code, i)""",
+)
+def wanted_reports(spark, d):
+    companies = read(spark, d, "customer").select(F.col("c_name").alias("name"), F.col("c_custkey").cast("string").alias("corp_code"))
+    return relational.wanted_reports(companies, read(spark, d, "orders").select(F.year("o_orderdate").alias("year")).distinct(), ["A", "B"])
+
+
+@query("q_last_wins", "select user_id, event_id, event_type from events qualify row_number() over (partition by user_id order by event_id desc) = 1")
+def last_wins(spark, d):
+    return relational.last_wins(read(spark, d, "events").select("user_id", "event_id", "event_type"), ["user_id"], "event_id")
+
+
+@query("q_subset", "select p_partkey, p_brand from part where p_brand in (select min(p_brand) from part union all select max(p_brand) from part)")
+def subset(spark, d):
+    rows = read(spark, d, "part").select("p_partkey", "p_brand")
+    ends = rows.agg(F.min("p_brand").alias("a"), F.max("p_brand").alias("b")).first()
+    return relational.subset(rows, "p_brand", [ends.a, ends.b])
+
+
+@query(
+    "q_first_success",
+    """select o_custkey as report, o_orderpriority as spec_id, o_orderstatus as strategy, o_orderkey as member_ord from orders where o_totalprice > 1e5
+    qualify row_number() over (partition by o_custkey, o_orderpriority order by o_orderkey) = 1""",
+)
+def first_success(spark, d):
+    hits = read(spark, d, "orders").filter("o_totalprice > 1e5").select(F.col("o_custkey").alias("report"), F.col("o_orderpriority").alias("spec_id"), F.col("o_orderstatus").alias("strategy"), F.col("o_orderkey").alias("member_ord"))
+    return relational.first_by(hits, ["report", "spec_id"], F.col("member_ord"))
+
+
+@query(
+    "q_extraction_success",
+    "select o_orderstatus as strategy, count(*) as n, (select greatest(count(*), 1) from orders) as total, round(count(*) * 1e0 / (select greatest(count(*), 1) from orders), 6) as share from orders where o_totalprice > 1e5 group by 1",
+)
+def extraction_success(spark, d):
+    return sections.success(read(spark, d, "orders").select(F.col("o_orderstatus").alias("strategy"), (F.col("o_totalprice") > 1e5).alias("found")))
+
+
+@query(
+    "q_missed_gold",
+    GOLD.rpartition(",\n    j as")[0] + " select question_id, list_sort(list_filter(gold, lambda x: not list_contains(found, x))) as missed from gold join hits using (question_id) where len(list_filter(gold, lambda x: not list_contains(found, x))) > 0",
+)
+def missed_gold(spark, d):
+    questions, chunks = _questions(spark, d), _chunks(spark, d)
+    gold = index.top_k(questions, chunks, 3, ["label"]).groupBy("question_id").agg(F.collect_list("chunk_id").alias("gold"))
+    return index.missed(gold, index.top_k(questions.drop("label"), chunks.drop("label"), 15, []))
+
+
+@query(
+    "q_second_pass_counts",
+    f"""with d as ({ORACLES["q_second_pass_diff"]}),
+    h as (select d.*, id % 3 <> 0 as a, id % 4 <> 0 as b from d)
+    select count(*) filter (not (a and b)) as only_in_one, count(*) filter (a and b and status_changed) as status_changed, count(*) filter (a and b and changed <> '') as fields_changed,
+    count(*) filter (not (a and b)) + count(*) filter (a and b and status_changed) + count(*) filter (a and b and changed <> '') as n_diff from h""",
+)
+def second_pass_counts(spark, d):
+    return review.second_pass_counts(_passes(spark, d))
+
+
+@query(
+    "q_validation",
+    """with r as (select l_orderkey, count(distinct l_returnflag) as kinds from lineitem group by 1)
+    select count(*) as n, count(*) filter (kinds is not null) as with_table, count(*) filter (kinds > 1) as non_rectangular_tables, count(*) filter (o_orderstatus = 'P') as missing_exe_ans from orders left join r on l_orderkey = o_orderkey""",
+)
+def validation(spark, d):
+    row = F.array_repeat(F.lit("cell"), F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3).cast("int"))
+    tables = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(row).alias("table"))
+    items = read(spark, d, "orders").join(tables, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    qa = F.struct(F.when(F.col("o_orderstatus") == "F", F.lit(1.0)).alias("exe_ans_num"), F.when(F.col("o_orderstatus") == "O", "text").otherwise("").alias("exe_ans_text"))
+    return export.validated(items.select(F.coalesce("table", F.array().cast("array<array<string>>")).alias("table"), qa.alias("qa")))
+
+
+VERDICT = "case l_returnflag when 'N' then 'ok' when 'A' then 'no_quotes' else 'no_json' end"
+
+
+def _verdicts(spark, d):
+    verdict = F.when(F.col("l_returnflag") == "N", "ok").when(F.col("l_returnflag") == "A", "no_quotes").otherwise("no_json")
+    return read(spark, d, "lineitem").select(F.col("l_linenumber").cast("string").alias("task_type"), verdict.alias("verdict"))
+
+
+@query("q_attempt_stats", f"select l_linenumber::varchar as task_type, count(*) as attempts, count(*) filter ({VERDICT} = 'ok') as successes, count(*) filter ({VERDICT} <> 'ok') as discards from lineitem group by 1")
+def attempt_stats(spark, d):
+    return generation.attempt_stats(_verdicts(spark, d))
+
+
+@query("q_discard_reasons", f"select l_linenumber::varchar as task_type, {VERDICT} as reason, count(*) as n from lineitem where {VERDICT} <> 'ok' group by 1, 2")
+def discard_reasons(spark, d):
+    return generation.discard_reasons(_verdicts(spark, d))
+
+
+@query("q_next_pending", "select coalesce(min(o_orderkey) filter (o_orderstatus = 'P' and o_orderkey > 100), min(o_orderkey) filter (o_orderstatus = 'P'), min(o_orderkey)) as ord from orders")
+def next_pending(spark, d):
+    return review.next_pending(read(spark, d, "orders").select(F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderstatus") == "P", "pending").otherwise("accepted").alias("status")), 100)
+
+
+@query("q_cursor_moves", "select c_custkey, greatest(0, least(c_custkey + c_nationkey - 12, (select count(*) from customer) - 1)) as position from customer")
+def cursor_moves(spark, d):
+    rows = read(spark, d, "customer")
+    n = rows.agg(F.count("*").alias("n"))
+    return rows.crossJoin(F.broadcast(n)).select("c_custkey", review.moved(F.col("c_custkey"), F.col("c_nationkey") - 12, F.col("n")).alias("position"))
+
+
+@query("q_final_answer", "select conv_id, turn, trim(role) as answer from conversations")
+def final_answer(spark, d):
+    text = F.concat("text", F.lit("\n최종답: none of these\n최종답 ： "), "role", F.lit("  \n"))
+    return read(spark, d, "conversations").select("conv_id", "turn", S.final_answer(text).alias("answer"))
+
+
+@query("q_item_ids", "select p_partkey, printf('DART_T%d_%03d', p_size % 5 + 1, p_partkey) as id, printf('%s_%d_%s_%03d', p_brand, 2024, 'sec', p_partkey) as chunk_id from part")
+def item_ids(spark, d):
+    rows = read(spark, d, "part")
+    return rows.select("p_partkey", S.item_id(F.concat(F.lit("T"), (F.col("p_size") % 5 + 1).cast("string")), F.col("p_partkey")).alias("id"), S.chunk_id(F.col("p_brand"), F.lit(2024), F.lit("sec"), F.col("p_partkey")).alias("chunk_id"))
+
+
+@query("q_need_map", "select n_nationkey, 'T' || n_regionkey::varchar as task_type, n_nationkey as need from nation union all select n_nationkey, 'T9' as task_type, 2 as need from nation")
+def need_map(spark, d):
+    spec = F.concat(F.lit(" T"), F.col("n_regionkey").cast("string"), F.lit(" : "), F.col("n_nationkey").cast("string"), F.lit(",, T9:2"))
+    return read(spark, d, "nation").select("n_nationkey", F.explode(S.need_map(spec)).alias("task_type", "need"))
+
+
+@query(
+    "q_quote_places",
+    "select conv_id, turn, ((length(text) - length(replace(text, 'th', ''))) / 2)::int as n_spans, nullif(strpos(text, 'th'), 0)::int - 1 as first from conversations",
+)
+def quote_places(spark, d):
+    spans = S.quote_spans(F.col("text"), F.array(F.lit("th"), F.lit("")))
+    return read(spark, d, "conversations").select("conv_id", "turn", spans.alias("s")).select("conv_id", "turn", F.size("s").alias("n_spans"), F.get("s", 0)["start"].alias("first"))
+
+
+@query(
+    "q_evidence_blocks",
+    """select conv_id, md5(string_agg('--- chunk_id=' || turn::varchar || ' | section=' || role || ' | has_table=' || case when contains(text, ',') then 'True' else 'False' end || ' ---' || chr(10) || text || chr(10), chr(10) order by turn)) as digest
+    from conversations group by conv_id""",
+)
+def evidence_blocks(spark, d):
+    chunk = F.struct("turn", F.col("turn").cast("string").alias("chunk_id"), "text", F.col("role").alias("section"), F.contains("text", F.lit(",")).alias("has_table"))
+    return read(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(chunk)).alias("chunks")).select("conv_id", F.md5(evidence.block(F.col("chunks"))).alias("digest"))
+
+
+@query("q_manifest_pool", "select o_orderkey, year(o_orderdate)::varchar || '_' || substr(coalesce(nullif(o_orderpriority, '5-LOW'), '?'), 1, 5) as label from orders where o_orderstatus in ('F', 'O')")
+def manifest_pool(spark, d):
+    status = F.when(F.col("o_orderstatus") == "F", "downloaded").when(F.col("o_orderstatus") == "O", "cached").otherwise("failed")
+    rows = read(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("report_code"), status.alias("status"))
+    return files.manifest_pool(rows).select("o_orderkey", "label")
+
+
+@query("q_index_get", "select vec_id as chunk_id, label from embeddings where vec_id in (select l_linenumber * 10 from lineitem)")
+def index_get(spark, d):
+    return index.by_ids(read(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), "label"), read(spark, d, "lineitem").select((F.col("l_linenumber") * 10).cast("long").alias("chunk_id")))
+
+
+@query("q_percent", "select o_custkey, printf('%.1f%%', count(*) filter (o_orderstatus = 'F') * 1e2 / count(*)) as share from orders group by 1")
+def percent(spark, d):
+    counts = read(spark, d, "orders").groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("k"), F.count("*").alias("n"))
+    return counts.select("o_custkey", S.percent_of(F.col("k"), F.col("n")).alias("share"))
+
+
+@query(
+    "q_chunks_by_company",
+    "select source as company, lang as year, count(*) as n_chunks, sum(n_chars)::bigint as n_tokens from documents group by all",
+)
+def chunks_by_company(spark, d):
+    return grading.counted(read(spark, d, "documents").select(F.col("source").alias("company"), F.col("lang").alias("year"), F.col("n_chars").alias("token_count")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the documents by quality label: sentences, windows, tokens and a class by the share of full windows."""
     docs = read(spark, sf_dir, "documents")

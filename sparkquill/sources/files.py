@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -13,10 +14,15 @@ from pyspark.sql import functions as F
 
 from sparkquill import schemas
 from sparkquill.functions import scalars as S
+from sparkquill.operators import html_blocks
 from sparkquill.operators.relational import first_by
 from sparkquill.operators.sections import members
 
 
+ITEM = "struct<" + schemas.ITEM.replace(" string", ":string").replace(" array", ":array").replace(" int", ":int") + ">"
+STATE = f"struct<item:{ITEM},status:string,discard_reason:string,regenerate_reason:string,reviewer_notes:string,last_touched:string>"
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One record a line; blank lines are skipped."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -26,6 +32,13 @@ def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def calibration(spark: SparkSession, path: str) -> DataFrame:
+    """Calibration results by item, of arrays in files; of several rows of one item the last in its file, and the last file, win."""
+    item = "array<struct<" + schemas.CALIBRATION.replace(" string", ":string").replace(" array", ":array") + ">>"
+    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.from_json("value", item)).alias("_p", "r"), F.col("_metadata.file_path").alias("_f"))
+    return first_by(raw.select("r.*", "_f", "_p"), ["item_id"], F.col("_f").desc(), F.col("_p").desc()).drop("_f", "_p")
+
+
 def chunk_lookup(spark: SparkSession, path: str) -> DataFrame:
     """Chunks by id; of several rows of one id the last file and line win."""
     rows = spark.read.schema(schemas.CHUNK).json(path).select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"))
@@ -34,10 +47,9 @@ def chunk_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 def reviewed(spark: SparkSession, path: str) -> DataFrame:
     """Items of review files: a bare array, an object with ``items``, or one with ``states``, of which accepted and edited ones count."""
-    item = "struct<" + schemas.ITEM.replace(" string", ":string").replace(" array", ":array").replace(" int", ":int") + ">"
     raw = spark.read.text(path, wholetext=True)
-    bare = F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{item}>"))
-    whole = F.from_json("value", f"items array<{item}>, states array<struct<item:{item},status:string>>")
+    bare = F.when(F.ltrim("value").startswith("["), F.from_json("value", f"array<{ITEM}>"))
+    whole = F.from_json("value", f"items array<{ITEM}>, states array<struct<item:{ITEM},status:string>>")
     states = F.transform(F.filter(whole["states"], lambda s: s["status"].isin("accepted", "edited")), lambda s: s["item"])
     return raw.select(F.explode(F.coalesce(bare, whole["items"], states)).alias("i")).select("i.*")
 
@@ -77,6 +89,88 @@ def section_files(spark: SparkSession, path: str) -> DataFrame:
     return found.filter("year is not null and section is not null")
 
 
+def prior_states(spark: SparkSession, path: str) -> DataFrame:
+    """(item, status, ...) of a review file with ``states``, or of a bare array of them; none of a file that is absent or no JSON, to start afresh."""
+    states = f"array<{STATE}>"
+    if not _fs(spark, path)[1]:
+        return spark.createDataFrame([], STATE.removeprefix("struct<").removesuffix(">"))
+    raw = spark.read.text(path, wholetext=True)
+    bare = F.when(F.ltrim("value").startswith("["), F.from_json("value", states))
+    return raw.select(F.explode(F.coalesce(bare, F.from_json("value", f"states {states}")["states"])).alias("s")).select("s.*")
+
+
+def _fs(spark: SparkSession, path: str):
+    """The file system of a path, and whether there is something at it."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return fs, fs.exists(jvm_path)
+
+
+def write_json_array(rows: DataFrame, path: str, most: int = 100_000) -> None:
+    """One JSON array in one file, for curated sets; more than ``most`` rows are refused, as they belong in ``json`` lines."""
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows: write JSON lines")
+    _replace(rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns)), {"ignoreNullFields": "false"}).alias("value")), path)
+
+
+def save_reviewed(states: DataFrame, path: str, saved_at: str, most: int = 100_000) -> None:
+    """A review file: the states (item, status, ...) and the items that are accepted or edited, in the order of ``ord``.
+
+    It is written beside and then moved into place, so that a reader finds the old file or the new one."""
+    if states.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} states")
+    fields = [c for c in states.columns if c != "ord"]
+    every = F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct(*fields).alias("s")))), lambda x: x["s"])
+    rows = states.agg(every.alias("states")).select(F.lit(saved_at).alias("saved_at"), "states", F.transform(F.filter("states", lambda s: s["status"].isin("accepted", "edited")), lambda s: s["item"]).alias("items"))
+    _replace(rows.select(F.to_json(F.struct("saved_at", "states", "items"), {"ignoreNullFields": "false"}).alias("value")), path)
+
+
+def _replace(text: DataFrame, path: str) -> None:
+    """Write the only row of ``text`` (value) as the file ``path``: to a folder beside it first, then by a rename over it."""
+    spark = text.sparkSession
+    new = f"{path}.new-{uuid.uuid4().hex}"
+    text.coalesce(1).write.text(new)
+    fs, _ = _fs(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs  # noqa: SLF001
+    part = next(s.getPath() for s in fs.listStatus(hadoop.Path(new)) if s.getPath().getName().startswith("part-"))
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)  # noqa: SLF001
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    files.rename(part, files.makeQualified(hadoop.Path(path)), over)
+    fs.delete(hadoop.Path(new), True)
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    write_json_array(manifest, path)
+
+
+def write_sections(found: DataFrame, path: str) -> None:
+    """found (company, year, section, html): the markup and its text, a folder of either for each company, year and section."""
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(text=[html_blocks.plain(h) for h in frame["html"]])
+
+    keys = ["company", "year", "section"]
+    ready = found.filter("html is not null").select(*keys, "html").mapInPandas(each, "company string, year int, section string, html string, text string")
+    both = ready.select(*keys, F.explode(F.array(F.struct(F.lit("html").alias("kind"), F.col("html").alias("value")), F.struct(F.lit("txt").alias("kind"), F.col("text").alias("value")))).alias("f"))
+    both.select("f.kind", *keys, "f.value").write.mode("overwrite").partitionBy("kind", *keys).text(path)
+
+
+def config_tables(spark: SparkSession, config: dict) -> tuple[DataFrame, DataFrame]:
+    """(companies, sections) of a parsed configuration: companies with padded codes, and what to look for in reports."""
+    known = [(c.get("name"), c.get("corp_code"), c.get("stock"), c.get("sector")) for c in config.get("companies", [])]
+    rows = spark.createDataFrame([tuple(None if v is None else str(v) for v in r) for r in known], schemas.COMPANY)
+    specs = [(s["id"], list(s["parent_patterns"]), list(s["title_patterns"])) for s in config.get("sections", [])]
+    return companies(rows), spark.createDataFrame(specs, "id string, parents array<string>, titles array<string>")
+
+
+def setting(environ: dict[str, str], name: str) -> str:
+    """A setting that must be there."""
+    if not environ.get(name):
+        raise KeyError(f"{name} is not set")
+    return environ[name]
+
+
 def manifest_pool(manifest: DataFrame) -> DataFrame:
     """Reports that were fetched, with a label of year and code."""
     code = F.substring(F.coalesce("report_code", F.lit("?")), 1, 5)

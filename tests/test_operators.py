@@ -4,12 +4,18 @@ import hashlib
 import json
 import math
 import random
+import struct
+import time
+import zipfile
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkquill import schemas
-from sparkquill.operators import evidence, export, generation, grading, html_blocks, index, relational, review, sections
+from sparkquill.functions import scalars as S
+from sparkquill.functions import tables
+from sparkquill.operators import chunking, evidence, export, generation, grading, html_blocks, index, relational, review, sections
 from sparkquill.plans import catalog
 from sparkquill.sources import files
 from sparkquill.streaming.incremental import store_new
@@ -51,15 +57,173 @@ def test_sections(spark):
 
 
 def test_verification(spark):
-    payload = "struct<question:string,gold_answer:string,reasoning_hops:string,evidence_chunk_ids:array<string>,evidence_quotes:array<string>,reasoning_steps:array<string>>"
     ev = {"c1": "매출은  1,000억원\n이다"}
-    good = ("q", "1", "2", ["c1"], ["매출은 1,000억원"], ["a", "b"])
+    good = {"question": "q", "gold_answer": "1", "gold_answer_unit": "억원", "evidence_chunks": ["c1"], "evidence_quotes": ["매출은 1,000억원"], "reasoning_steps": ["a", "b"], "reasoning_hops": 2}
     cases = [
-        (good, "ok"), ((None, *good[1:]), "missing_fields"), ((*good[:5], []), "no_steps"), (("q", "1", "x", *good[3:]), "hops_not_a_number"), (("q", "1", "3", *good[3:]), "hops_differ_from_steps"),
-        ((*good[:4], [], good[5]), "no_quotes"), ((*good[:3], ["c9"], *good[4:]), "unknown_evidence"), ((*good[:4], [" "], good[5]), "blank_quote"), ((*good[:4], ["없는 말"], good[5]), "quote_not_in_evidence"), (None, "missing_fields"),
+        (good, "ok"), ({k: v for k, v in good.items() if k != "gold_answer_unit"}, "missing_fields"), (good | {"gold_answer_unit": None}, "ok"), (good | {"reasoning_steps": []}, "no_steps"), (good | {"reasoning_steps": "a"}, "no_steps"),
+        (good | {"reasoning_hops": "x"}, "hops_not_a_number"), (good | {"reasoning_hops": "2"}, "ok"), (good | {"reasoning_hops": 2.9}, "ok"), (good | {"reasoning_hops": 3}, "hops_differ_from_steps"), (good | {"evidence_quotes": []}, "no_quotes"),
+        (good | {"evidence_chunks": ["c9"]}, "unknown_evidence"), (good | {"evidence_quotes": [" "]}, "blank_quote"), (good | {"evidence_quotes": [5]}, "blank_quote"), (good | {"evidence_quotes": ["없는 말"]}, "quote_not_in_evidence"),
+        (good | {"gold_answer": ["1"]}, "gold_not_a_single_value"), (good | {"gold_answer": None}, "gold_not_a_single_value"), (good | {"gold_answer": {"a": 1}}, "gold_not_a_single_value"), (good | {"gold_answer": 12.5}, "ok"), (good | {"gold_answer": "[1]"}, "ok"), (None, "missing_fields"),
     ]
-    df = spark.createDataFrame([(p, ev, w) for p, w in cases], f"p {payload}, ev map<string,string>, want string")
-    assert [r.got for r in df.select(evidence.verified(F.col("p"), F.col("ev")).alias("got")).collect()] == [w for _, w in cases]
+    df = spark.createDataFrame([(i, None if p is None else json.dumps(p), ev) for i, (p, _) in enumerate(cases)], "i int, p string, ev map<string,string>")
+    got = {r.i: r.got for r in df.select("i", evidence.verified(F.col("p"), F.col("ev")).alias("got")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+def test_drafts_and_rewrites(spark):
+    shown = {"c1": "sales were 12 in the year"}
+    reply = json.dumps({"question": "q", "gold_answer": 12, "gold_answer_unit": "", "evidence_chunks": ["c1"], "evidence_quotes": ["sales were 12"], "reasoning_steps": ["a"], "reasoning_hops": 1})
+    held = [("T1", 1, 1, "no json", None, shown), ("T1", 1, 2, f"```json\n{reply}\n```", None, shown), ("T1", 1, 3, reply, None, shown), ("T1", 2, 1, reply, None, None), ("T2", 1, 1, None, "timeout", shown), ("T2", 1, 2, "{}", None, shown)]
+    replies = spark.createDataFrame([(*r, "co", "2024_A", "sec") for r in held], "task_type string, slot int, attempt int, reply string, error string, shown map<string,string>, company string, report string, section string")
+    got = {(r.task_type, r.slot): r for r in generation.drafted(replies).collect()}
+    assert {k: r.verdict for k, r in got.items()} == {("T1", 1): "ok", ("T1", 2): "no_evidence", ("T2", 1): "missing_fields"}
+    assert got["T1", 1]["item"].id == "DART_T1_001" and got["T1", 1]["item"].gold_answer == "12" and got["T1", 1]["item"].generation_notes == "" and got["T2", 1]["item"] is None
+    assert {tuple(r) for r in generation.discard_reasons(generation.drafted(replies)).collect()} == {("T1", "no_evidence", 1), ("T2", "missing_fields", 1)}
+    items = spark.createDataFrame([_item(id=i, evidence_chunks=c) for i, c in (("a", ["c1"]), ("b", ["c1"]), ("c", ["gone"]), ("d", ["c1"]))], schemas.ITEM)
+    new = spark.createDataFrame([("a", reply), ("b", "nothing"), ("c", reply)], "id string, reply string")
+    out = {r.id: r for r in review.rewritten(items, new, spark.createDataFrame([("c1", shown["c1"])], "chunk_id string, text string")).collect()}
+    assert {i: r.verdict for i, r in out.items()} == {"a": "ok", "b": "no_json", "c": "no_evidence", "d": None}
+    assert out["a"].gold_answer == "12" and out["a"].reasoning_hops == 1 and out["a"].source_company == _item()["source_company"]
+    assert all(out[i].question == _item()["question"] for i in "bcd")
+
+
+def test_prompts_and_quotes(spark):
+    row = spark.createDataFrame([("a.b a.b axb", [{"chunk_id": "c", "text": "x {year}", "section": None, "has_table": True}])], "t string, c array<struct<chunk_id:string,text:string,section:string,has_table:boolean>>")
+    got = row.select(
+        S.quote_spans(F.col("t"), F.array(F.lit("a.b"), F.lit(""), F.lit("zz"))).alias("s"),
+        evidence.prompt("of {company}, {year}: {chunks_block}{year}", company=F.lit("co"), year=F.lit(2024), chunks_block=evidence.block(F.col("c"))).alias("p"),
+    ).first()
+    assert [tuple(s) for s in got.s] == [(0, 3), (4, 7)]
+    assert got.p == "of co, 2024: --- chunk_id=c | section=None | has_table=True ---\nx {year}\n2024"
+
+
+def test_tables_and_blocks_by_line_ends(spark):
+    text = "||a|b||\r\n|:--:| - -- |\r\n| x |\r\nprose one\r\n\r\nprose two\x85|y|"
+    row = spark.createDataFrame([(text,)], "t string").select(tables.parse_markdown_table(F.col("t")).alias("rows"), tables.blocks(F.col("t")).alias("blocks")).first()
+    assert row["rows"] == [["", "a", "b", ""], ["x", "", "", ""], ["y", "", "", ""]]
+    assert [(b.kind, b.text) for b in row.blocks] == [("table", "||a|b||\n|:--:| - -- |\n| x |"), ("text", "prose one\nprose two"), ("table", "|y|")]
+
+
+def test_small_roman_signs_are_headings(spark):
+    row = spark.createDataFrame([("ⅱ．사업의   내용",)], "t string").select(S.normalize_heading(F.col("t")).alias("n"), S.heading_kind(S.normalize_heading(F.col("t"))).alias("k")).first()
+    assert (row.n, row.k) == ("II.사업의 내용", "top") and sections.normalized("ⅱ．사업의   내용") == "II.사업의 내용"
+
+
+def test_repeated_headings_go_on(spark):
+    flat = "<p>II. 사업의 내용</p><p>1. 사업의 개요</p><p>하나</p><p>1. 사업의 개요 (계속)</p><p>둘</p><p>Ⅱ. 사업의 내용 (계속)</p><p>셋</p><p>1. 사업의 개요</p><p>넷</p><p>2. 주요 제품</p><p>아님</p>"
+    found = sections.textual(html_blocks.soup(flat), SPEC)
+    assert [x for x in ("하나", "둘", "셋", "넷", "아님") if x in found] == ["하나", "둘", "넷"]
+    assert sections.textual(html_blocks.soup("<p>II. 사업의 내용</p><p>1. 사업의 개요</p><p>2. 주요 제품</p>"), SPEC) is None
+
+
+def test_deep_markup():
+    deep = "<div>" * 5000
+    assert html_blocks.blocks(f"<table>{deep}<tr><td rowspan=9>x</td></tr></table>")[0][1].startswith("| x |")
+    inner = sections.structured(html_blocks.soup(f"<section-1><title>II. 사업의 내용</title><section-2><title>1. 사업의 개요</title>{deep}x</section-2></section-1>"), SPEC)
+    assert inner == f"{deep}x{'</div>' * 5000}"
+
+
+def test_packing_is_linear_and_whole():
+    text = "word and. more " * 27_000
+    began = time.perf_counter()
+    packed = list(chunking.Packer(512, 0).pack([("text", text)]))
+    assert time.perf_counter() - began < 2
+    assert "".join("".join(t.split()) for t, _ in packed) == "".join(text.split()) and all(len(t.split()) <= 512 for t, _ in packed)
+
+
+def test_section_chunks_from_html(spark):
+    html = f"<p>{'A sentence of words. ' * 60}</p><table><tr><td>a</td><td>b</td></tr></table><p>end</p>"
+    pages = spark.createDataFrame([("co", 2024, "s", None, html), ("co", 2024, "t", "A1", None)], "company string, year int, section string, report_code string, html string")
+    got = chunking.section_chunks(pages, "html", 64, 10).collect()
+    want = list(chunking.Packer(64, 10).pack(html_blocks.blocks(html)))
+    assert [(r.chunk_id, r.text, r.block_kinds) for r in got] == [(f"co_2024_s_{i:03d}", t, k) for i, (t, k) in enumerate(want)] and len(want) > 2
+    rows = [("co", 2024, "s", "A1", i, k, t) for i, (k, t) in enumerate(html_blocks.blocks(html))]
+    grouped = chunking.chunks(spark.createDataFrame(rows, "company string, year int, section string, report_code string, pos int, kind string, payload string"), 64, 10)
+    assert sorted((r.chunk_id, r.text) for r in grouped.collect()) == sorted((r.chunk_id, r.text) for r in got)
+
+
+def test_top_k_without_a_key_matches_brute_force(spark):
+    rng = random.Random(5)
+    chunks = [(i, [float(rng.randrange(4)) for _ in range(3)]) for i in range(3000)] + [(5000 + i, [1.0, 1.0, 1.0]) for i in range(3000)] + [(9999, None)]
+    asked = [(q, [rng.random() * 3 for _ in range(3)]) for q in range(23)] + [(50, [1.0, 1.0, 1.0])]
+    got = {}
+    for most in (10_000, 7):
+        found = index.top_k(spark.createDataFrame(asked, "question_id long, q array<float>"), spark.createDataFrame(chunks, "chunk_id long, v array<float>").repartition(5), 6, [], most)
+        got[most] = sorted(tuple(r) for r in found.collect())
+    f = lambda x: struct.unpack("f", struct.pack("f", x))[0]
+    want = []
+    for q, v in asked:
+        near = sorted((round(sum((f(a) - b) ** 2 for a, b in zip(v, c, strict=True)), 9), i) for i, c in chunks if c)[:6]
+        want += [(q, i, r + 1) for r, (_, i) in enumerate(near)]
+    assert {(q, i, r) for q, i, _, r in got[7]} == set(want)
+    assert got[10_000] == got[7]
+
+
+def test_review_files_and_sinks(spark, tmp_path):
+    path = str(tmp_path / "reviewed.json")
+    assert files.prior_states(spark, path).count() == 0
+    states = spark.createDataFrame([(1, _item(id="b"), "discarded"), (0, _item(id="a"), "edited")], f"ord long, item struct<{schemas.ITEM.replace(' string', ':string').replace(' array', ':array').replace(' int', ':int')}>, status string")
+    for _ in range(2):
+        files.save_reviewed(states, path, "2024-01-01T00:00:00")
+    saved = json.loads((tmp_path / "reviewed.json").read_text())
+    assert [s["item"]["id"] for s in saved["states"]] == ["a", "b"] and [i["id"] for i in saved["items"]] == ["a"] and saved["saved_at"].startswith("2024")
+    assert [(r["item"].id, r.status) for r in files.prior_states(spark, path).collect()] == [("a", "edited"), ("b", "discarded")]
+    (tmp_path / "bad.json").write_text("{no json")
+    assert files.prior_states(spark, str(tmp_path / "bad.json")).count() == 0
+    files.write_manifest(spark.createDataFrame([("co", None)], "company string, reason string"), str(tmp_path / "manifest.json"))
+    assert json.loads((tmp_path / "manifest.json").read_text()) == [{"company": "co", "reason": None}]
+    with pytest.raises(ValueError):
+        files.write_json_array(spark.range(3), str(tmp_path / "x.json"), most=2)
+    found = spark.createDataFrame([("co", 2024, "s", "<p>one<b>two</b></p>"), ("co", 2024, "t", None)], "company string, year int, section string, html string")
+    files.write_sections(found, str(tmp_path / "sections"))
+    back = {(r.kind, r.section): r.value for r in spark.read.text(str(tmp_path / "sections"), wholetext=True).collect()}
+    assert back == {("html", "s"): "<p>one<b>two</b></p>\n", ("txt", "s"): "one\ntwo\n"}
+
+
+def test_log_lines_and_rates(spark):
+    lines = ["2024-01-02 03:04:05 | i1 | ACCEPT | a | b", "2024-01-02 | i1 | accept | x", "2024-01-02 03:04:05 | i 1 | accept | x", " 2024-01-02 03:04:05 | i2 | edit |"]
+    log = review.parsed_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert sorted((r.id, r.action, r.note) for r in log.collect()) == [("i1", "ACCEPT", "a | b"), ("i2", "edit", "")]
+    rate = lambda n: review.edit_rate(log, spark.createDataFrame([(n,)], "n_total long")).first()
+    assert (rate(4).accept, rate(4).edit, rate(4).edit_rate) == (1, 1, 0.25) and (rate(0).accept, rate(0).edit, rate(0).edit_rate) == (0, 0, 0.0)
+
+
+def test_cursor_and_names(spark):
+    states = spark.createDataFrame([(0, "a"), (1, "7"), (2, "c")], "ord long, id string")
+    assert [review.jumped(states, t, 1).first()[0] for t in ("c", "3", "7", "9", "x")] == [2, 2, 1, 1, 1]
+    one = spark.range(1).select(*[review.moved(F.lit(p), F.lit(s), F.lit(n)).alias(f"m{i}") for i, (p, s, n) in enumerate([(0, -1, 3), (1, 1, 3), (2, 1, 3), (0, 1, 0)])]).first()
+    assert tuple(one) == (0, 2, 2, 0)
+    assert [export.output_name(*a) for a in (("d/x.jsonl",), ("d/x.json", "finqa", "matched"), ("d.e/x",))] == ["d/x_finqa.jsonl", "d/x_finqa_matched.json", "d.e/x_finqa"]
+
+
+def test_sources(spark, tmp_path):
+    xml = "<result><list><corp_code>00000001</corp_code><corp_name> Co </corp_name><stock_code>000005</stock_code><modify_date>20240101</modify_date></list><list><corp_code>2</corp_code></list></result>"
+    for name, held in (("map.zip", {"CORPCODE.xml": xml}), ("report.zip", {"b.xml": FLAT, "a.XML": STRUCTURED, "c.txt": "x"})):
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            for member, text in held.items():
+                archive.writestr(member, text)
+    assert [tuple(r) for r in files.corp_map(spark, str(tmp_path / "map.zip")).collect()] == [("00000001", "Co", "000005", "20240101"), ("2", "", "", "")]
+    got = files.archives(spark, str(tmp_path / "report.zip")).collect()
+    assert [(r.member, r.member_ord) for r in got] == [("b.xml", 0), ("a.XML", 1)] and got[0].markup == FLAT
+    rows = [("co", 2024, "A1", "downloaded"), ("co", 2023, None, "cached"), ("co", 2022, "A1", "failed")]
+    assert sorted(r.label for r in files.manifest_pool(spark.createDataFrame(rows, "company string, year int, report_code string, status string")).collect()) == ["2023_?", "2024_A1"]
+    chunk = lambda i, t: json.dumps({"chunk_id": i, "text": t, "company": "co", "year": 2024})
+    (tmp_path / "chunks").mkdir()
+    (tmp_path / "chunks" / "a.jsonl").write_text("\n".join([chunk("x", "old"), chunk("y", "only"), chunk("x", "mid")]))
+    (tmp_path / "chunks" / "b.jsonl").write_text(chunk("x", "new"))
+    assert {r.chunk_id: r.text for r in files.chunk_lookup(spark, str(tmp_path / "chunks")).collect()} == {"x": "new", "y": "only"}
+    files.write_chunks(spark.createDataFrame([("x", "t", "co", 2024), ("y", "u", "co", 2023)], "chunk_id string, text string, company string, year int"), str(tmp_path / "out"))
+    assert {(r.chunk_id, r.year) for r in spark.read.json(str(tmp_path / "out")).collect()} == {("x", 2024), ("y", 2023)}
+    files.append_log(spark.createDataFrame([("2024-01-02 03:04:05", "i", "edit", None)], "ts string, id string, action string, note string"), str(tmp_path / "log"))
+    assert [r.id for r in review.parsed_log(spark.read.text(str(tmp_path / "log"))).collect()] == ["i"]
+    (tmp_path / "cal.json").write_text(json.dumps([{"item_id": "i", "classification": c} for c in ("accepted", "too_hard")]))
+    rows = files.calibration(spark, str(tmp_path / "cal.json")).collect()
+    assert [(r.item_id, r.classification) for r in rows] == [("i", "too_hard")]
+    companies, specs = files.config_tables(spark, {"companies": [{"name": "Co", "corp_code": 126380, "stock": 5930}], "sections": [{"id": "s", "parent_patterns": ["p"], "title_patterns": ["t"]}]})
+    assert tuple(companies.first())[:3] == ("Co", "00126380", "005930") and specs.first().titles == ["t"]
+    with pytest.raises(KeyError):
+        files.setting({}, "KEY")
+    assert relational.missing(spark.range(3), spark.range(1), ["id"]).count() == 2
 
 
 def test_json_extraction(spark):
@@ -131,7 +295,7 @@ def test_review(spark):
     found = review.states(items, actions)
     assert {(r.id, r.status, r.discard_reason) for r in found.collect()} == {("a", "discarded", "dup"), ("b", "edited", None), ("c", "pending", None)}
     assert review.next_pending(found, 2).first()[0] == 2
-    lines = spark.createDataFrame([("2024 | a | accept | ",), ("2024 | b | edit | why | not",), ("2024 | c | discard | x",), ("2024 | d | regenerate | ",), ("bad",)], "value string")
+    lines = spark.createDataFrame([("2024-01-01 10:00:00 | a | accept | ",), ("2024-01-01 10:00:00 | b | edit | why | not",), ("2024-01-01 10:00:00 | c | discard | x",), ("2024-01-01 10:00:00 | d | regenerate | ",), ("bad",)], "value string")
     total = spark.createDataFrame([(4,)], "n_total int")
     rate = review.edit_rate(review.parsed_log(lines), total).first()
     assert (rate.accept, rate.edit, rate.regenerate, rate.discard, rate.edit_rate) == (1, 1, 1, 1, 0.25)
