@@ -676,12 +676,13 @@ def extraction_success(spark, d):
 
 @query(
     "q_missed_gold",
-    GOLD.rpartition(",\n    j as")[0] + " select question_id, list_sort(list_filter(gold, lambda x: not list_contains(found, x))) as missed from gold join hits using (question_id) where len(list_filter(gold, lambda x: not list_contains(found, x))) > 0",
+    GOLD.rpartition(",\n    j as")[0] + " select question_id, array_to_string(list_sort(list_filter(gold, lambda x: not list_contains(found, x))), ',') as missed from gold join hits using (question_id) where len(list_filter(gold, lambda x: not list_contains(found, x))) > 0",
 )
 def missed_gold(spark, d):
     questions, chunks = _questions(spark, d), _chunks(spark, d)
     gold = index.top_k(questions, chunks, 3, ["label"]).groupBy("question_id").agg(F.collect_list("chunk_id").alias("gold"))
-    return index.missed(gold, index.top_k(questions.drop("label"), chunks.drop("label"), 15, []))
+    found = index.missed(gold, index.top_k(questions.drop("label"), chunks.drop("label"), 15, []))
+    return found.select("question_id", F.array_join(F.col("missed").cast("array<string>"), ",").alias("missed"))
 
 
 @query(

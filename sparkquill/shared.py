@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +27,42 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back, so that later reads survive lost executors."""
+    """Write ``df`` as Parquet to the shared folder and read it back, so that later reads survive lost executors.
+
+    The table stays until its ``scratch`` scope ends, or for good outside of one."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path  # noqa: SLF001
+    return found
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)  # noqa: SLF001
+
+
+def dropped(table: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote and that no plan still to be run reads."""
+    removed(table.sparkSession, table._stored_at)  # noqa: SLF001
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that ``stored`` writes within, at the end: by then, results must be written, as they read these tables."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            removed(spark, path)
 
 
 def importable(spark: SparkSession) -> SparkSession:

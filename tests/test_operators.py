@@ -392,3 +392,21 @@ def test_incremental_store(spark, tmp_path):
         stream = spark.readStream.schema("item_id string, n int").parquet(source)
         store_new(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     assert sorted(r.item_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["i0", "i1", "i2"]
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    from pathlib import Path
+
+    from sparkquill.shared import dropped, scratch, stored
+
+    there = lambda df: Path(df._stored_at.removeprefix("file://")).exists()  # noqa: E731, SLF001
+    with scratch(spark):
+        first = stored(spark.range(3), "t")
+        with scratch(spark):
+            inner = stored(first, "t")
+            assert inner.count() == 3
+        assert there(first) and not there(inner)
+    outside = stored(spark.range(3), "t")
+    assert not there(first) and there(outside)
+    dropped(outside)
+    assert not there(outside)
