@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkquill.llm import bpe, decontaminate, near_dup, quality, secrets
 from sparkquill.llm.columns import fresh
-from sparkquill.shared import stored
+from sparkquill.shared import new_path, removed, scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents after all stages. A stage's own tables, and the stage before it, are removed once it is written."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if last:
+            removed(spark, last)
+        last = path
     return docs

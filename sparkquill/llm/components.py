@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkquill.shared import stored
+from sparkquill.shared import dropped, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -36,7 +36,8 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
     clean = edges.filter("a is not null and b is not null and a != b")
     now = stored(clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     for _ in range(rounds):
-        now = stored(_star(_star(now, large=True), large=False), name)
+        before, now = now, stored(_star(_star(now, large=True), large=False), name)
+        dropped(before)
         # the stars are final when each node hangs on one other node at most, and on none that hangs on another
         ends = now.select(F.col("a").alias("n"), F.lit(1).alias("child")).unionByName(now.select(F.col("b").alias("n"), F.lit(0).alias("child")))
         loose = ends.groupBy("n").agg(F.sum("child").alias("up"), F.min("child").alias("parent")).filter("up > 1 or (up = 1 and parent = 0)")
