@@ -84,7 +84,9 @@ def test_words_match_regex():
 # 1
 
 
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("limit", [warc.BROADCAST_ROWS, 0])
+def test_warc_round_trip(spark, monkeypatch, limit):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", limit)
     held = [(1, "u", "a" * 99), (2, "u", "a" * 99), (4, "u", "b" * 100), (3, None, "b" * 100), (3, "u", "b" * 100), (None, "u", "b" * 100), (5, "x\r\ny", None), (6, "é", "WARC/1.1\r\n\r\n\x1f\x8b\x08é" * 50), (7, "u", "z" * 300_000)]
     pages = spark.createDataFrame(held, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
     first: dict[bytes, int] = {}
@@ -316,8 +318,9 @@ def near_brute(rows, size, least):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize(("size", "least"), [(3, 85), (5, 80)])
-def test_near_duplicates(spark, rows, docs, size, least):
+@pytest.mark.parametrize(("size", "least", "limit"), [(3, 85, near_dup.BROADCAST_IDS), (5, 80, 0)])
+def test_near_duplicates(spark, rows, docs, monkeypatch, size, least, limit):
+    monkeypatch.setattr(near_dup, "BROADCAST_IDS", limit)
     base = ["v%d" % i for i in range(120)]
     rng = random.Random(8)
     group = []
@@ -331,6 +334,22 @@ def test_near_duplicates(spark, rows, docs, size, least):
     assert got == near_brute(every, size, least)
 
 
+def test_near_duplicates_at_the_threshold_are_all_found(spark):
+    """Pairs just above and just below the threshold, of texts that have nothing else in common."""
+    rng = random.Random(17)
+    rows, want = [], {}
+    for i in range(250):
+        own = ["q%d_%d" % (i, k) for k in range(rng.randint(120, 200))]
+        near = list(own)
+        cut = rng.choice((3, 5, 7, 9, 12))  # words at the end that differ: as many shingles of one word less two
+        near[-cut:] = ["z%d_%d" % (i, k) for k in range(cut)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(near))]
+        n, common = len(own) - 2, len(own) - 2 - cut
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i if 100 * common >= 85 * (2 * n - common) else 2 * i + 1}
+    got = {r.doc_id: r.component for r in near_dup.linked(docs_of(spark, rows), near_dup.Params(shingle=3, least=85)).collect()}
+    assert got == want and 250 < len(set(want.values())) <= 500
+
+
 def test_near_duplicate_edges(spark, docs):
     assert near_dup.linked(empty(docs), near_dup.Params()).count() == 0
     same = docs_of(spark, [(i, "one two three four five six seven") for i in range(9)] + [(None, "one two three four five six seven")])
@@ -768,6 +787,26 @@ def test_secret_sample_covers_long_texts(spark):
     assert secrets.sample(docs_of(spark, held)) == pieces and secrets.sample(docs_of(spark, held).limit(0)) == []
 
 
+# very long texts
+
+
+def test_very_long_texts(spark, field):
+    rng = random.Random(41)
+    word = lambda: rng.choice(("stone", "river", "a1b2", "10.0.0.7", "x@y.example.org", "token=abcdef1", "the", "of", "é"))
+    long = " ".join(word() for _ in range(60_000))
+    held = [(1, long), (2, "y" * 30_000), (3, "short"), (4, " \n" * 100_000)]
+    docs = docs_of(spark, held)
+    found = {r.doc_id: [tuple(s) for s in r.pii if s.kind != "context"] for r in pii.find(docs).collect()}
+    assert found == {i: pii_brute(x) for i, x in held}
+    found = {r.doc_id: [tuple(s) for s in r.secrets if s.kind != "crf"] for r in secrets.find(docs, field=field).collect()}
+    assert found == {i: secrets_brute(x) for i, x in held}
+    found = {r.doc_id: (r.quality.n_words, r.quality.word_chars, r.quality.n_symbols, r.quality.n_dup_lines, r.quality.n_repeat_words, r.quality.base_failed) for r in quality.judge(docs).collect()}
+    assert found == {i: quality_brute(x) for i, x in held}
+    pages = spark.createDataFrame([(i, f"http://a.com/{'p' * 200_000}" if i == 1 else None, f"<body><article><p>{x}</p></article></body>") for i, x in held], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.texts(pages).collect()} == {i: " ".join(x.split()) for i, x in held}
+    assert {r.page_id: len(r.path) for r in urls.judge(pages).collect()} == {1: 200_001, 2: 0, 3: 0, 4: 0}
+
+
 # all of them
 
 
