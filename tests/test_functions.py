@@ -106,3 +106,22 @@ def test_packing_examples():
     table = "\n".join(f"| 항목{i} | 값{i} |" for i in range(20))
     found = list(Packer(64, 10).pack([("text", "앞 문장."), ("table", table), ("text", "뒤 문장.")]))
     assert all(f"값{i}" in "".join(t for t, k in found if "table" in k) for i in range(20))
+
+
+def test_registered_functions(spark):
+    import io
+    import zipfile
+
+    from sparkquill.functions.registered import register
+
+    register(spark)
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as archive:
+        archive.writestr("a.xml", "<p>II. Body</p><p>1. Part</p><p>text of it</p>")
+        archive.writestr("b.txt", "x")
+    spark.createDataFrame([(bytearray(held.getvalue()), "<p>one two</p><table><tr><td>x</td></tr></table>", 'so {"a": {}}')], "content binary, html string, reply string").createOrReplaceTempView("held")
+    got = spark.sql("select m.name, s.strategy, s.html from held, lateral zip_members(content) m, lateral section_of(m.markup, array('Body'), array('Part')) s").collect()
+    assert [tuple(r) for r in got] == [("a.xml", "textual", "<p>text of it</p>")]
+    assert [(r.pos, r.kind) for r in spark.sql("select b.* from held, lateral html_blocks(html) b").collect()] == [(0, "text"), (1, "table")]
+    assert [(r.text, r.token_count) for r in spark.sql("select c.* from held, lateral html_chunks(html, 100, 0) c").collect()] == [("one two\n\n| x |\n| --- |", 8)]
+    assert spark.sql("select outermost_json(reply) as j from held").first().j == '{"a": {}}'
