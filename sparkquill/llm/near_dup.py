@@ -44,7 +44,7 @@ UNIVERSE = 1 << 20
 ROWS = 5
 MISS = 1e-9
 HOT = 64
-#: Ids of texts to fetch that are broadcast at most, 8 bytes each.
+#: Ids of texts to fetch or to drop that are broadcast at most, 8 or 16 bytes each.
 BROADCAST_IDS = 1_000_000
 
 
@@ -296,9 +296,15 @@ def kept(docs: DataFrame, params: Params = Params()) -> DataFrame:  # noqa: B008
     gone = stored(judged.filter("component < doc_id").select("doc_id", "t").unionByName(also.select("doc_id", "t")).distinct(), "gone")
     repeated = stored(ends.groupBy("doc_id", "t").agg(F.count("*").alias("k")).filter("k > 1").drop("k"), "repeated")
     (t,) = fresh(docs, "t")
-    rows = docs.withColumn(t, F.xxhash64("text")).join(gone.withColumnRenamed("t", t), ["doc_id", t], "left_anti")
+
+    def some(ids: DataFrame) -> DataFrame:
+        """Ids as a side of a join with the texts, which stay where they are while the ids are ``BROADCAST_IDS`` at most."""
+        named = ids.withColumnRenamed("t", t)
+        return F.broadcast(named) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else named
+
+    rows = docs.withColumn(t, F.xxhash64("text")).join(some(gone), ["doc_id", t], "left_anti")
     if not repeated.isEmpty():
-        twice = repeated.withColumnRenamed("t", t)
+        twice = some(repeated)
         one = rows.join(twice, ["doc_id", t], "left_semi").dropDuplicates(["doc_id", t])
         rows = rows.join(twice, ["doc_id", t], "left_anti").unionByName(one)
     return rows.select(*own(docs))
