@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkquill.llm import bpe, decontaminate, html_text, near_dup, pii, quality, secrets, substring_dup, urls, warc
+from sparkquill.llm import bpe, decontaminate, fill_middle, filter_audit, html_text, near_dup, pii, quality, secrets, substring_dup, token_counts, urls, warc
 from sparkquill.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -18,4 +18,7 @@ QUERIES = {
     "op8_byte_bpe": bpe.query,
     "op9_decontamination": decontaminate.query,
     "op10_secret_scans": secrets.query,
+    "op11_fill_in_middle": fill_middle.query,
+    "op12_token_counts": token_counts.query,
+    "op13_filter_audit": filter_audit.query,
 }

@@ -1,11 +1,13 @@
 """SQL for the queries that SQL can express.
 
-Personal data, main texts, token ids and secrets (2, 5, 8, 10) need matching by position, parsing, merging or a fitted
-field; tests hold them against brute-force versions.
+Personal data, main texts, token ids and counts, and secrets (2, 5, 8, 12, 10) need matching by position, parsing, merging
+or a fitted field; tests hold them against brute-force versions.
 """
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from sparkquill.llm.quality import RULES, STOP_FORMS
 from sparkquill.llm.urls import RULES as URL_RULES
 
@@ -91,6 +93,34 @@ t as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct ite
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join g using (doc_id) left join t using (doc_id)"""
 
+FIM = """with t as (select doc_id, coalesce(text, '') as t, length(coalesce(text, ''))::bigint as n, sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+k as (select *, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from t),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from k),
+p as (select *, substring(t, 1, a) as pre, substring(t, a + 1, b - a) as mid, substring(t, b + 1) as suf from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+sha256(t) as restored_sha256 from p"""
+
+
+def _audit() -> str:
+    """Each order is run step by step over all documents."""
+    orders = ", ".join(f"('{''.join(p)}')" for p in permutations("ABCDE"))
+    return f"""with l as (select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic from labels group by doc_id),
+w as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, {_words('text')} as w from documents),
+f as (select w.doc_id, part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+  (case when len(w) < 200 then 'A' else '' end) || (case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end) ||
+  (case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) then 'C' else '' end) || (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end) ||
+  (case when w.doc_id > min(w.doc_id) over (partition by t) then 'E' else '' end) as fails from w left join l using (doc_id)),
+p as (select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from f group by part, fails),
+o as (select o, unnest(range(1, 6)) as step from (values {orders}) t(o)),
+s as (select part, o, step, o[step] as x, n, good, toxic, fails, contains(fails, o[step]) as hit, regexp_matches(fails, '[' || o[1:step - 1] || '_]') as gone from p, o),
+r as (select part, o as filter_order, step::int as step, x, sum(n) filter (not gone and not hit) as kept, sum(n) filter (hit and not gone) as removed, sum(n) filter (hit and gone) as redundant,
+  sum(n) filter (fails = x) as unique_fails, sum(good) filter (hit and not gone) as good_lost, sum(toxic) filter (hit and not gone) as toxic_lost from s group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost, (sum(coalesce(removed, 0)) over (partition by part, x))::bigint as shapley from r"""
+
+
 ORACLES = {
     "op1_warc": WARC,
     "op3_url_filters": _urls(),
@@ -98,4 +128,6 @@ ORACLES = {
     "op6_quality_rules": _quality(),
     "op7_substring_dedup": SUBSTRINGS,
     "op9_decontamination": DECONTAMINATION,
+    "op11_fill_in_middle": FIM,
+    "op13_filter_audit": _audit(),
 }
