@@ -17,6 +17,7 @@ gives no part and so no row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import permutations
 from math import factorial
 
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACE = "[\\x20\\x09-\\x0D]+"
+SYMBOLS = "#$%&*|"
 #: The filters of the query; the last one looks across the table.
 LETTERS = "ABCDE"
 TOTALS = ("n", "good", "toxic")
@@ -32,13 +34,15 @@ TOTALS = ("n", "good", "toxic")
 def text_flags(text: Column) -> Column:
     """A struct of the filters A to D of one text, and its digest."""
     text = F.coalesce(text, F.lit(""))
-    n = F.char_length(text)
-    capitals = n - F.char_length(F.regexp_replace(text, "[A-Z]+", ""))
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    counts = F.transform(F.array(words), lambda w: F.struct(F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("kinds")))[0]
-    rest = F.struct((100 * capitals > 2 * n).alias("C"), text.rlike("[#$%&*|]").alias("D"), F.unhex(F.sha2(text, 256)).alias("digest"))
-    judged = F.transform(F.array(counts), lambda c: F.struct((c["n"] < 200).alias("A"), (100 * c["kinds"] < 50 * c["n"]).alias("B"), rest.alias("rest")))[0]
-    return judged
+    capitals = F.regexp_count(text, F.lit("[A-Z]"))
+    symbol = reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in SYMBOLS])
+    rest = F.struct((100 * capitals > 2 * F.char_length(text)).alias("C"), symbol.alias("D"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    # runs of spaces split, so only the first and the last part may be empty
+    parts = F.transform(F.array(F.split(text, SPACE)), lambda p: F.struct(F.size(p).alias("n"), F.size(F.array_distinct(p)).alias("kinds"), (F.get(p, F.lit(0)) == "").alias("first"), (F.get(p, F.size(p) - 1) == "").alias("last")))
+    number = lambda c: c.cast("int")
+    n = lambda p: F.when(p["n"] == 1, 1 - number(p["first"])).otherwise(p["n"] - number(p["first"]) - number(p["last"]))
+    counts = F.transform(parts, lambda p: F.struct(n(p).alias("n"), (p["kinds"] - number(p["first"] | p["last"])).alias("kinds")))
+    return F.transform(counts, lambda c: F.struct((c["n"] < 200).alias("A"), (100 * c["kinds"] < 50 * c["n"]).alias("B"), rest.alias("rest")))[0]
 
 
 def flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
