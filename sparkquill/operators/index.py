@@ -9,100 +9,24 @@ import hashlib
 import math
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+
+from sparkquill.operators import nearest
 
 
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
 
 
-#: Questions that one pass over the chunks scores, at most; their vectors are broadcast.
-MOST_QUESTIONS = 10_000
-#: Distances are found by a product of matrices first; so much they may differ from exact ones.
-MARGIN = 1e-6
-
-
-def top_k(questions: DataFrame, chunks: DataFrame, k: int, on: list[str], most_questions: int = MOST_QUESTIONS) -> DataFrame:
+def top_k(questions: DataFrame, chunks: DataFrame, k: int, on: list[str], most_questions: int = nearest.MOST_QUESTIONS) -> DataFrame:
     """questions (question_id, q, keys...), chunks (chunk_id, v, keys...) -> (question_id, chunk_id, distance, rank).
 
-    With keys the search is an equi-join on them, so only chunks that pass the filter are scored. Without, each task keeps
-    the nearest of its chunks for each question, and only those are shuffled and ranked; the questions are a stated set,
-    broadcast in blocks of ``most_questions``, with a pass over the chunks for each."""
-    pairs = questions.join(chunks, on) if on else _nearest(questions.select("question_id", "q"), chunks.select("chunk_id", "v"), k, most_questions)
-    scored = pairs.select("question_id", "chunk_id", F.round(squared_distance(F.col("q"), F.col("v")), 9).alias("distance"))
-    rank = F.row_number().over(Window.partitionBy("question_id").orderBy("distance", "chunk_id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
-
-
-def _nearest(questions: DataFrame, chunks: DataFrame, k: int, most_questions: int) -> DataFrame:
-    """(question_id, q, chunk_id, v) of all chunks that may be among the k nearest: in each task those that are no farther
-    than its k-th, with a margin for rounding. Chunks without a vector are near to nothing."""
-    spark = questions.sparkSession
-    schema = StructType([*questions.schema.fields, *chunks.schema.fields])
-    id_type, q_type, chunk_type, v_type = (to_arrow_type(f.dataType) for f in schema)
-
-    def pruned(d: np.ndarray, rows: np.ndarray, names: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bound = np.partition(d, k - 1)[k - 1]
-        near = np.flatnonzero(d <= bound + MARGIN * (1 + abs(bound)))
-        if len(near) > 4 * k:  # of equal vectors, those with the k least ids
-            _, kind = np.unique(vectors[rows[near]], axis=0, return_inverse=True)
-            order = np.lexsort((names[rows[near]], kind.ravel()))
-            sorted_kind = kind.ravel()[order]
-            place = np.arange(len(order)) - np.searchsorted(sorted_kind, sorted_kind)
-            near = near[order[place < k]]
-        return d[near], rows[near]
-
-    def scan(block: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(([r.question_id for r in block], np.array([r.q for r in block], np.float64)))
-
-        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, wanted = shared.value
-            square = (wanted**2).sum(axis=1)
-            names, vectors = np.zeros(0, object), np.zeros((0, wanted.shape[1]))  # rows that some question keeps
-            kept = [(np.zeros(0), np.zeros(0, np.int64)) for _ in ids]
-            limit = np.full(len(ids), np.inf)
-            for batch in batches:
-                batch = batch.filter(pc.is_valid(batch.column("v")))
-                for at in range(0, len(batch), 2048):
-                    part = batch.slice(at, 2048)
-                    v = np.array(part.column("v").to_pylist(), np.float64)
-                    distance = square[:, None] - 2 * wanted @ v.T + (v**2).sum(axis=1)
-                    closer = distance <= limit[:, None]
-                    if not closer.any():
-                        continue
-                    before = len(names)
-                    names, vectors = np.concatenate([names, np.array(part.column("chunk_id").to_pylist(), object)]), np.concatenate([vectors, v])
-                    for i in np.flatnonzero(closer.any(axis=1)).tolist():
-                        own = np.flatnonzero(closer[i])
-                        d, rows = np.concatenate([kept[i][0], distance[i, own]]), np.concatenate([kept[i][1], before + own])
-                        if len(d) > k:
-                            d, rows = pruned(d, rows, names, vectors)
-                            bound = np.partition(d, k - 1)[k - 1]
-                            limit[i] = bound + MARGIN * (1 + abs(bound))
-                        kept[i] = (d, rows)
-                    used = np.unique(np.concatenate([rows for _, rows in kept]))
-                    names, vectors = names[used], vectors[used]
-                    kept = [(d, np.searchsorted(used, rows)) for d, rows in kept]
-            for i, (_, rows) in enumerate(kept):
-                if len(rows):
-                    columns = [pa.array([ids[i]] * len(rows), id_type), pa.array([wanted[i]] * len(rows), q_type), pa.array(names[rows].tolist(), chunk_type), pa.array(list(vectors[rows]), v_type)]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-        return chunks.mapInArrow(each, schema)
-
-    out, block = spark.createDataFrame([], schema), []
-    for row in questions.filter("q is not null").toLocalIterator():
-        block.append(row)
-        if len(block) == most_questions:
-            out, block = out.unionByName(scan(block)), []
-    return out.unionByName(scan(block)) if block else out
+    Exact, in two phases (``nearest``): each task keeps the k nearest of its chunks for each question, of those with its keys if
+    there are any, and only ids and distances are shuffled and ranked. Questions are a stated set, broadcast in blocks of
+    ``most_questions``, with a pass over the chunks for each."""
+    return nearest.top_k(questions, chunks, k, on, most_questions)
 
 
 def top_k_or_any(questions: DataFrame, chunks: DataFrame, k: int, on: list[str]) -> DataFrame:

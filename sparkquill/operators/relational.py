@@ -51,6 +51,33 @@ def preferred(df: DataFrame, keys: list[str], choice: str, preference: list[str]
     return first_by(df.withColumn("preference_rank", rank).filter("preference_rank > 0"), keys, F.col("preference_rank"), *order)
 
 
+def cascade(outcomes: DataFrame, keys: list[str], preference: list[str], compat: bool = False) -> DataFrame:
+    """What comes of trying report codes in order of preference: the fields of a manifest row (report_code, rcept_no,
+    report_nm, file, status, reason) for each key.
+
+    outcomes: (keys ..., report_code, list_error, rcept_no, report_nm, file, cached, dry_run, download_error), a row for each
+    code tried. A list error goes on to the next code, as does a list without a fitting report (no rcept_no); the first
+    report found ends it: cached, dry_run, downloaded, or error where its download fails. ``reason`` is the download's error,
+    else the last list error on the way, else, with nothing found, that no report matched (with ``compat`` that one whatever
+    the lists said). Codes outside the preference do not count; a key all of whose codes are outside is missing."""
+    rank = F.array_position(F.array(*map(F.lit, preference)), F.col("report_code"))
+    tried = F.struct(rank.alias("rank"), "report_code", "list_error", "rcept_no", "report_nm", "file", "cached", "dry_run", "download_error")
+    lists = outcomes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.when(rank > 0, tried))).alias("_tried"))  # as many as there are codes
+    found = lambda t: t["list_error"].isNull() & t["rcept_no"].isNotNull()
+    ended = lists.withColumn("_end", F.get(F.filter("_tried", found), F.lit(0)))
+    before = F.filter("_tried", lambda t: t["list_error"].isNotNull() & (F.col("_end").isNull() | (t["rank"] < F.col("_end.rank"))))
+    ended = ended.withColumn("_listed", F.concat(F.lit("list_error:"), F.try_element_at(before, F.lit(-1))["list_error"]))
+    end = lambda c: F.col(f"_end.{c}")
+    held = F.coalesce(end("cached"), F.lit(False))
+    dry = ~held & F.coalesce(end("dry_run"), F.lit(False))
+    failed = ~held & ~dry & end("download_error").isNotNull()
+    status = F.when(F.col("_end").isNull(), "missing").when(held, "cached").when(dry, "dry_run").when(failed, "error").otherwise("downloaded")
+    nothing = F.lit("no_matching_report_in_year")
+    reason = F.when(F.col("_end").isNull(), nothing if compat else F.coalesce("_listed", nothing)).when(failed, F.concat(F.lit("download_error:"), end("download_error"))).otherwise(F.col("_listed"))
+    file = F.when(~dry & ~failed, end("file"))
+    return ended.select(*keys, end("report_code").alias("report_code"), end("rcept_no").alias("rcept_no"), end("report_nm").alias("report_nm"), file.alias("file"), status.alias("status"), reason.alias("reason"))
+
+
 def resolve_codes(companies: DataFrame, corp_map: DataFrame, width: int = 8) -> DataFrame:
     """Companies (name, stock, corp_code) with the code of the map (stock, resolved_code, ord) where it has one, padded, and whether the two differ."""
     first = first_by(corp_map, ["stock"], F.col("ord")).drop("ord")

@@ -6,11 +6,12 @@ from pathlib import Path
 
 import pytest
 
-from sparkquill.plans import catalog
+from sparkquill.plans import catalog, mechanisms
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+QUERIES, ORACLES = catalog.QUERIES | mechanisms.QUERIES, catalog.ORACLES | mechanisms.ORACLES
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
 
@@ -28,14 +29,14 @@ def _rows(names, rows):
     return sorted((tuple(round(r[i], 9) if isinstance(r[i], float) else r[i] for i in order) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    found = catalog.QUERIES[name](spark, str(DATA))
+    found = QUERIES[name](spark, str(DATA))
     rows = found.collect()
-    if name not in catalog.ORACLES:
+    if name not in ORACLES:
         assert rows
         return
-    wanted = tables.execute(catalog.ORACLES[name])
+    wanted = tables.execute(ORACLES[name])
     columns = [c[0] for c in wanted.description]
     assert sorted(columns) == sorted(found.columns)
     assert _rows(found.columns, rows) == _rows(columns, wanted.fetchall())
