@@ -8,7 +8,7 @@ own best container. So does, besides the winning one, a page of another template
 ``CLEAR_CHARS`` characters more or over, of which those at the winning path are less than ``CLEAR_SHARE``.
 
 Some names tell what an element is (a menu, a reader comment). Others may as well be what an article is about: a section
-named social, a div named form. Such an element goes only if it has controls, many links or little text. In a header
+named social, a div named form. Such an element goes only if it has controls, many links or no paragraph. In a header
 within an article the headings are the article's own.
 
 Votes pre-aggregate before the shuffle, so a host with a third of all pages costs no more than others. The table of
@@ -25,7 +25,7 @@ their names, but columns named as the outputs (``into``, and ``path``) are repla
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -61,8 +61,9 @@ DROP_NAMES = frozenset(
 COMMENT_NAMES = frozenset("comment comments disqus respond replies reply".split())
 #: Names that go by what the element holds.
 DOUBTFUL_NAMES = frozenset("share sharing social related recommended form search widget".split())
-#: A doubtful element is text with so many characters or more, and a share of links of so much at most.
-DOUBT_CHARS, DOUBT_LINKS = 200, 0.3
+#: A doubtful element is text if it holds a paragraph of its own, no controls, and a share of links of so much at most.
+DOUBT_LINKS = 0.3
+PARAGRAPHS = frozenset("p blockquote pre".split())
 #: What text counts for the container around its own, so that the one next to most of the text scores best.
 DECAY = 0.7
 CONTROLS = frozenset("form input select textarea button".split())
@@ -88,8 +89,15 @@ CLOSED_BY = {
 CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "option", "body", "html", "legend"}
 FORMATTING = frozenset("a b big code em font i small span strong tt u s strike sub sup cite q abbr mark time kbd samp var del ins bdi bdo label".split())
 
-TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>)", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A comment, declaration or tag. A quote counts only behind an equals sign and where it is closed; what is open at the end of
+#: the page ends there. So every alternative consumes what it has looked at, and a page is read once.
+TAG = re.compile(
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*+(?:>|\Z)|/(?=[^A-Za-z])[^>]*+(?:>|\Z)"
+    r"|(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)(?:>|\Z))",
+    re.S,
+)
+ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
+NAMING = frozenset("class id role itemprop".split())
 NAME_PART = re.compile(r"[A-Za-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -107,10 +115,10 @@ class Node:
 class Region:
     """A doubtful element, with what it holds."""
 
-    __slots__ = ("parent", "text", "links", "controls", "gone")
+    __slots__ = ("parent", "text", "links", "controls", "prose", "gone")
 
     def __init__(self, parent: Region | None):
-        self.parent, self.text, self.links, self.controls, self.gone = parent, 0, 0, False, False
+        self.parent, self.text, self.links, self.controls, self.prose, self.gone = parent, 0, 0, False, False, False
 
 
 class Page:
@@ -169,10 +177,11 @@ def parse(html: str) -> Page:
     page = Page()
     root = Node(0, None, 0, 0.0)
     page.containers.append(root)
-    found: list[tuple[Node, str, int, Region | None]] = []
+    found: list[tuple[Node, str, int, Region | None, bool]] = []
     # tag, innermost container, whether dropped, whether in a link, whether in an article, innermost doubtful element
     stack: list[tuple[str, Node, int, bool, bool, Region | None]] = []
-    open_tags: Counter[str] = Counter()
+    depths: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+    block_depths: list[int] = []  # of the open block elements
     regions: list[Region] = []
     outside = (root, KEPT, False, False, None)
     node, dropped, linked, article, region = outside
@@ -186,15 +195,22 @@ def parse(html: str) -> Page:
             text = SPACE.sub(" ", unescape("".join(buffer))).strip()
             buffer.clear()
             if text:
-                found.append((node, text, min(link_chars, len(text)), region))
+                found.append((node, text, min(link_chars, len(text)), region, any(depths[x] for x in PARAGRAPHS)))
         link_chars = 0
 
+    def nearest(tags) -> int:
+        """The depth of the innermost open element of some tags, -1 without one."""
+        return max((depths[x][-1] for x in tags if depths[x]), default=-1)
+
     def close(depth: int) -> None:
         """Leave the elements of the stack from this depth on."""
         nonlocal node, dropped, linked, article, region
         if any(x[0] in BLOCKS or x[2] for x in stack[depth:]):
             flush()
-        open_tags.subtract(x[0] for x in stack[depth:])
+        for x in reversed(stack[depth:]):
+            depths[x[0]].pop()
+            if x[0] in BLOCKS:
+                block_depths.pop()
         del stack[depth:]
         node, dropped, linked, article, region = stack[-1][1:] if stack else outside
 
@@ -214,15 +230,11 @@ def parse(html: str) -> Page:
             continue
         tag = tag.lower()
         if m[1]:
-            for depth in range(len(stack) - 1, -1, -1) if open_tags[tag] > 0 else ():
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if tag in FORMATTING and stack[depth][0] in BLOCKS:
-                    break
-            else:
-                if tag in BLOCKS and not dropped:
-                    flush()
+            depth = nearest((tag,))
+            if depth >= 0 and not (tag in FORMATTING and block_depths and block_depths[-1] > depth):
+                close(depth)
+            elif tag in BLOCKS and not dropped:
+                flush()
             continue
         if tag in CONTROLS and region:
             region.controls = True
@@ -233,25 +245,16 @@ def parse(html: str) -> Page:
                 elif tag == "br":
                     buffer.append(" ")
             continue
-        if tag in CLOSES_P and open_tags["p"] > 0:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    close(depth)
-                    break
-                if stack[depth][0] in BLOCKS:
-                    break
+        if tag in CLOSES_P and depths["p"] and block_depths[-1] == depths["p"][-1]:
+            close(depths["p"][-1])
         if tag in CLOSED_BY:
             ends, bounds = CLOSED_BY[tag]
-            for depth in range(len(stack) - 1, -1, -1) if any(open_tags[x] > 0 for x in ends) else ():
-                if stack[depth][0] in bounds:
-                    break
-                if stack[depth][0] in ends:
-                    first = depth
-                    while first and stack[first - 1][0] in ends:
-                        first -= 1
-                    close(first)
-                    break
-        if tag in ("html", "body") and open_tags[tag] > 0:
+            first = nearest(ends)
+            if first > nearest(bounds):
+                while first and stack[first - 1][0] in ends:
+                    first -= 1
+                close(first)
+        if tag in ("html", "body") and depths[tag]:
             continue
         attributes = m[3]
         parts: set[str] = set()
@@ -259,6 +262,8 @@ def parse(html: str) -> Page:
         words_of: list[str] = []
         if attributes and ("=" in attributes):
             for a in ATTRIBUTE.finditer(attributes):
+                if a[1].lower() not in NAMING:
+                    continue
                 own_parts, whole, mine = names_of(a[2] or a[3] or a[4] or "")
                 parts |= own_parts
                 tell |= mine
@@ -294,20 +299,24 @@ def parse(html: str) -> Page:
             own_node = Node(page.number(node.path, f"{tag}{''.join('.' + w for w in sorted(set(words_of)))}"), node, len(page.containers), bonus)
             page.containers.append(own_node)
         node, dropped, linked, article = own_node, drop, linked or tag == "a", article or tag in ("article", "main")
+        depths[tag].append(len(stack))
+        if tag in BLOCKS:
+            block_depths.append(len(stack))
         stack.append((tag, node, dropped, linked, article, region))
-        open_tags[tag] += 1
     flush()
-    for _, text, links, inner in found:
+    for _, text, links, inner, prose in found:
         if inner:
             inner.text += len(text)
             inner.links += links
+            inner.prose |= prose
     for r in reversed(regions):
         if r.parent:
             r.parent.text += r.text
             r.parent.links += r.links
+            r.parent.prose |= r.prose
     for r in regions:
-        r.gone = bool(r.parent and r.parent.gone) or r.controls or r.text < DOUBT_CHARS or r.links > DOUBT_LINKS * r.text
-    for block_node, text, links, inner in found:
+        r.gone = bool(r.parent and r.parent.gone) or r.controls or not r.prose or r.links > DOUBT_LINKS * r.text
+    for block_node, text, links, inner, _ in found:
         if not (inner and inner.gone):
             page.blocks.append((block_node, text))
             block_node.text += len(text)
