@@ -92,7 +92,8 @@ def with_rule(pages: DataFrame, rules: tuple[Rule, ...] = RULES, inline: int = I
 
 def links(pages: DataFrame) -> DataFrame:
     """(a, b): the url of a page and what its canonical link or its refresh redirect points to, both as nodes."""
-    html = F.regexp_replace("html", r"(?s)<!--.*?-->|(?i)<script\b.*?</script\s*>", " ")
+    # what is not closed goes to the end of the page, so a page is read once
+    html = F.regexp_replace("html", r"(?s)<!--.*?(?:--!?>|\z)|(?i)<script\b.*?(?:</script\s*>|\z)", " ")
     tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
     likely = pages.filter("url is not null and html is not null").filter(F.col("html").rlike(r"(?i)canonical|http-equiv"))
     value = lambda name: rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
