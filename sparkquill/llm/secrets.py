@@ -20,7 +20,9 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkquill.llm import words
-from sparkquill.llm.columns import fresh
 
 TRAIN_ROWS, TRAIN_PIECE, TRAIN_CHARS = 200, 1300, 1 << 18
 KINDS = ("assign", "access", "hex")
@@ -120,11 +121,6 @@ class Tokens:
         whole_line = follows & (length >= 40)
         a[:, 13] = np.where(whole_line, 54, 55)
 
-    def point(self, text: int, byte: int) -> int:
-        """Code points of a text before a byte of the block."""
-        part = self.data[self.offsets[text] : byte]
-        return int(((part & 0xC0) != 0x80).sum())
-
 
 def _joined(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.array([len(p) for p in parts])
@@ -291,21 +287,30 @@ def scan(field: Field, column: pa.Array) -> list[list[tuple[str, int, int]]]:
         else:
             added.append((k, int(tokens.starts[t]), int(tokens.ends[t])))
         last = t  # noqa: F841
+    points = np.concatenate([[0], np.cumsum((tokens.data & 0xC0) != 0x80)]) if added else None  # code points before each byte
+    at, starts, reach, last_end = -1, [], [], 0
     for k, a, b in added:
         while b < tokens.offsets[k + 1] and tokens.data[b] == 61:
             b += 1
-        start, end = tokens.point(k, a), tokens.point(k, b)
-        if not any(s < end and start < e for _, s, e in found[k]):
+        if k != at:  # pattern spans by start, and how far those up to each reach
+            by_start = sorted((s, e) for _, s, e in found[k])
+            at, starts, reach, last_end = k, [s for s, _ in by_start], list(accumulate((e for _, e in by_start), max)), 0
+        start, end = int(points[a] - points[tokens.offsets[k]]), int(points[b] - points[tokens.offsets[k]])
+        before = bisect_left(starts, end)
+        if last_end <= start and not (before and reach[before - 1] > start):
             found[k].append(("crf", start, end))
+            last_end = end
     order = {kind: i for i, kind in enumerate((*KINDS, "crf"))}
     return [sorted(x, key=lambda s: (s[1], order[s[0]])) for x in found]
 
 
 def sample(docs: DataFrame, text: str = "text", rows: int = TRAIN_ROWS, piece: int = TRAIN_PIECE, chars: int = TRAIN_CHARS) -> list[str]:
     """Pieces of at most ``rows`` distinct texts of any length, the same for the same table, of ``chars`` characters together
-    at most. Texts are chosen by the least hashes; a bound on the hash, from the number of rows, keeps the others in Spark."""
-    share = min(1.0, 4 * rows / max(1, docs.count()))
+    at most. Texts are chosen by the least hashes; a bound on the hash, from about how many distinct texts there are, keeps
+    the others in Spark. Copies of a text change nothing."""
     h = F.xxhash64(text)
+    kinds = docs.filter(F.length(text) > 0).select(F.approx_count_distinct(h)).first()[0]
+    share = min(1.0, 4 * rows / max(1, kinds))
     place = F.pmod(h, F.greatest(F.lit(1), F.char_length(text) - piece + 1)).cast("int")
     few = docs.filter((F.length(text) > 0) & (F.pmod(h, F.lit(1 << 31)) < int(share * (1 << 31)))).select(h.alias("h"), F.substring(F.col(text), place + 1, F.lit(piece)).alias("piece"))
     picked = few.groupBy("h").agg(F.min("piece").alias("piece")).orderBy("h").limit(rows).collect()
@@ -331,25 +336,30 @@ def find(docs: DataFrame, text: str = "text", into: str = "secrets", field: Fiel
     return docs.mapInArrow(each, T.StructType([*docs.schema.fields, T.StructField(into, SPANS)]))
 
 
+def masked(text: str | None, spans: list[tuple[str, int, int]], mark: str) -> str | None:
+    """``text`` with a mark for each span; overlapping spans, by start, are one."""
+    if not spans:
+        return text
+    out, done = [], 0
+    for _, start, end in spans:
+        if start >= done:
+            out += [text[done:start], mark]
+        done = max(done, end)
+    return "".join([*out, text[done:]])
+
+
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: Field | None = None) -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans are one."""
-    spans, merged = fresh(docs, "spans", "merged")
-    found = find(docs, text, spans, field)
-    last = lambda out: F.element_at(out, -1)
-    one = F.aggregate(
-        spans,
-        F.array().cast("array<struct<a:int,b:int>>"),
-        lambda out, s: F.when(
-            (F.size(out) > 0) & (last(out)["b"] > s["start"]),
-            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last(out)["a"].alias("a"), F.greatest(last(out)["b"], s["end"]).alias("b")))),
-        ).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("a"), s["end"].alias("b"))))),
-    )
-    found = found.withColumn(merged, one)
-    end = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(merged, i - 1)["b"])
-    kept = F.transform(merged, lambda m, i: F.substring(F.col(text), end(i) + 1, m["a"] - end(i)))
-    rest = F.substring(F.col(text), last(F.col(merged))["b"] + 1, F.char_length(text))
-    clean = F.when(F.size(spans) == 0, F.col(text)).otherwise(F.array_join(F.concat(kept, F.array(rest)), mark))
-    return found.withColumn(text, clean).drop(spans, merged)
+    shared = docs.sparkSession.sparkContext.broadcast(field or fit(sample(docs, text)))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in words.blocks(batches, text):
+            column = block.column(text)
+            clean = [masked(t, spans, mark) for t, spans in zip(column.to_pylist(), scan(shared.value, column), strict=True)]
+            at = block.schema.get_field_index(text)
+            yield block.set_column(at, block.schema.field(at), pa.array(clean, block.schema.field(at).type))
+
+    return docs.mapInArrow(each, docs.schema)
 
 
 def joined(spans: Column) -> Column:
