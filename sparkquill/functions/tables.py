@@ -27,21 +27,29 @@ def parse_markdown_table(text: Column) -> Column:
     return F.transform(body, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once for all uses that ``body`` makes of it within lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def blocks(text: Column) -> Column:
-    """(kind, text) of each stretch of lines of one kind, table or text; blank lines end no block."""
+    """(kind, text) of each stretch of lines of one kind, table or text; blank lines end no block.
+
+    A block is the slice of lines between two changes of kind, so each line is copied once."""
     lines = F.filter(S.lines(text), lambda x: S.stripped(x) != "")
-    tagged = F.transform(lines, lambda x: F.struct(F.when(S.is_table_line(x), "table").otherwise("text").alias("kind"), x.alias("text")))
-    empty = F.array().cast("array<struct<kind:string,text:string>>")
-
-    def add(out: Column, line: Column) -> Column:
-        last = F.try_element_at(out, F.lit(-1))
-        grown = F.concat(
-            F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["kind"].alias("kind"), F.concat(last["text"], F.lit("\n"), line["text"]).alias("text")))
-        )
-        return F.when((F.size(out) > 0) & (last["kind"] == line["kind"]), grown).otherwise(F.concat(out, F.array(line)))
-
-    whole = F.aggregate(tagged, empty, add)
-    return F.transform(whole, lambda b: F.struct(b["kind"].alias("kind"), S.stripped(b["text"]).alias("text")))
+    tagged = F.transform(lines, lambda x: F.struct(S.is_table_line(x).alias("table"), x.alias("text")))
+    is_start = lambda held, x, i: (i == 0) | (F.get(held, i - 1)["table"] != x["table"])
+
+    def cut(held: Column, starts: Column) -> Column:
+        def block(start: Column, i: Column) -> Column:
+            size = F.coalesce(F.get(starts, i + 1), F.size(held)) - start
+            joined = F.array_join(F.transform(F.slice(held, start + 1, size), lambda x: x["text"]), "\n")
+            kind = F.when(F.get(held, start)["table"], "table").otherwise("text")
+            return F.struct(kind.alias("kind"), S.stripped(joined).alias("text"))
+
+        return F.transform(starts, block)
+
+    return F.when(text.isNotNull(), let(tagged, lambda held: let(F.array_compact(F.transform(held, lambda x, i: F.when(is_start(held, x, i), i))), lambda starts: cut(held, starts))))
 
 
 def assemble(found: Column) -> Column:

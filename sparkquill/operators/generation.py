@@ -112,6 +112,24 @@ def discard_reasons(drafts: DataFrame) -> DataFrame:
     return drafts.filter("verdict != 'ok'").groupBy("task_type", F.col("verdict").alias("reason")).agg(F.count("*").alias("n"))
 
 
+def draft_stats(items: DataFrame) -> DataFrame:
+    """Drafts by type, by company and report, and all: (level, task_type, source_company, source_report, n_items, mean_hops, n_chunks).
+
+    items: (task_type, source_company, source_report, reasoning_hops, evidence_chunks). ``n_chunks`` counts distinct pieces
+    of evidence; ``mean_hops`` is 0 without items. Level is "type", "report" or "all", and the columns that it does not
+    group by are null."""
+    sets = [["task_type"], ["source_company", "source_report"], []]
+    columns = [c for s in sets for c in s]
+    level = F.when(F.grouping("task_type") == 0, "type").when(F.grouping("source_company") == 0, "report").otherwise("all").alias("level")
+    counts = items.groupingSets(sets, *columns).agg(level, F.count("*").alias("n_items"), F.round(F.coalesce(F.avg("reasoning_hops"), F.lit(0.0)), 6).alias("mean_hops"))
+    chunks = items.select(*columns, F.explode("evidence_chunks").alias("_chunk")).groupingSets(sets, *columns).agg(level, F.count_distinct("_chunk").alias("n_chunks"))
+    same = F.col("a.level") == F.col("b.level")
+    for c in columns:
+        same &= F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    both = counts.alias("a").join(chunks.alias("b"), same, "left")
+    return both.select("a.level", *[f"a.{c}" for c in columns], "n_items", "mean_hops", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"))
+
+
 def attempt_stats(attempts: DataFrame) -> DataFrame:
     """Per type: tries, passes and discards."""
     ok = F.col("verdict") == "ok"

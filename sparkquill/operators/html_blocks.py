@@ -125,8 +125,8 @@ def grid(table: Element) -> list[list[str]]:
                 row[at] = held[r, at]
                 at += 1
             text = cell_text(cell)
-            # no cell reaches below the last row
-            wide, high = min(number(cell.attrs.get("colspan")), MOST_COLUMNS), min(number(cell.attrs.get("rowspan")), len(own_rows) - r)
+            # no cell reaches below the last row; spans widen a table to MOST_COLUMNS, and cells behind those take one place each
+            wide, high = min(number(cell.attrs.get("colspan")), max(1, MOST_COLUMNS - at)), min(number(cell.attrs.get("rowspan")), len(own_rows) - r) if at < MOST_COLUMNS else 1
             for k in range(wide):
                 row[at] = text
                 for below in range(1, high):

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -78,12 +80,19 @@ def index_rows(chunks: DataFrame, embedding: str = "embedding") -> DataFrame:
     return chunks.select(F.col("chunk_id").alias("id"), F.col("text").alias("document"), F.col(embedding).alias("embedding"), meta.alias("metadata"))
 
 
+@lru_cache(maxsize=200_000)
+def word_place(word: str, size: int) -> tuple[int, float]:
+    """Where a word counts in a vector, and with which sign."""
+    h = int.from_bytes(hashlib.blake2b(word.lower().encode(), digest_size=8).digest(), "big")
+    return h % size, 1.0 if h >> 63 else -1.0
+
+
 def hash_vector(text: str, size: int) -> list[float]:
     """A unit vector of signed word counts in hashed places."""
     out = [0.0] * size
-    for word in text.split():
-        h = int.from_bytes(hashlib.blake2b(word.lower().encode(), digest_size=8).digest(), "big")
-        out[h % size] += 1.0 if h >> 63 else -1.0
+    for word, n in Counter(text.split()).items():
+        at, sign = word_place(word, size)
+        out[at] += sign * n
     norm = math.sqrt(sum(x * x for x in out))
     return [x / norm for x in out] if norm else out
 
@@ -129,3 +138,38 @@ def length_batches(df: DataFrame, text: str, key: str, batch_size: int = 32, max
     sized = df.select(key, F.greatest(F.lit(1), F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != ""))).alias("n_tokens"), F.spark_partition_id().alias("part"))
     kind = df.schema[key].dataType.simpleString()
     return sized.sortWithinPartitions("n_tokens", key).mapInPandas(each, f"{key} {kind}, n_tokens int, part int, batch int")
+
+
+def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash", prefix: str = "", batch_size: int = 32, max_tokens: int = 6144, parts: int | None = None, **options) -> DataFrame:
+    """(key, embedding, n_tokens, batch, padded): vectors as ``embedded`` gives them, of texts that are encoded beside texts of their length.
+
+    Texts are dealt by ranges of length, sorted within, and go to the provider in batches that are closed before they hold more
+    than ``batch_size`` texts or ``max_tokens`` padded tokens; a longer text is a batch of its own. ``batch`` names a batch
+    with its part, ``padded`` is the length that its texts are padded to. Equal lengths are cut apart by key, so that one
+    length may fill several parts. Join the vectors to their rows by ``key``."""
+    n_tokens = F.greatest(F.lit(1), F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")))
+    sized = df.select(key, F.coalesce(text, F.lit("")).alias("_text"), n_tokens.alias("n_tokens"))
+    dealt = sized.repartitionByRange(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "n_tokens", key).sortWithinPartitions("n_tokens", key)
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = build_provider(provider, **options)
+        number, held = 0, []
+
+        def done() -> pd.DataFrame:
+            vectors = encode([prefix + t for _, t, _ in held])
+            padded = max(n for *_, n in held)
+            rows = [(k, v, n, number, padded) for (k, _, n), v in zip(held, vectors, strict=True)]
+            return pd.DataFrame(rows, columns=[key, "embedding", "n_tokens", "_number", "padded"])
+
+        for frame in frames:
+            for row in zip(frame[key].tolist(), frame["_text"], frame["n_tokens"].tolist(), strict=True):
+                if held and (len(held) == batch_size or (len(held) + 1) * row[2] > max_tokens):
+                    yield done()
+                    number, held = number + 1, []
+                held.append(row)
+        if held:
+            yield done()
+
+    kind = df.schema[key].dataType.simpleString()
+    found = dealt.mapInPandas(each, f"`{key}` {kind}, embedding array<float>, n_tokens int, _number int, padded int")
+    return found.select(key, "embedding", "n_tokens", F.concat_ws("-", F.spark_partition_id(), "_number").alias("batch"), "padded")

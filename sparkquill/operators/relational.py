@@ -112,7 +112,7 @@ def wanted_reports(companies: DataFrame, years: DataFrame, codes: list[str]) ->
 
 def next_slot(ids: DataFrame, column: str, prefix: str) -> DataFrame:
     """One more than the largest number behind a prefix, 1 without any."""
-    number = F.when(F.col(column).startswith(prefix), F.substring(column, len(prefix) + 1, 20).try_cast("long"))
+    number = F.when(F.col(column).startswith(prefix), F.substr(F.col(column), F.lit(len(prefix) + 1)).try_cast("long"))
     return ids.agg((F.coalesce(F.max(number), F.lit(0)) + 1).alias("next_slot"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
@@ -55,6 +55,14 @@ def edit_rate(log: DataFrame, total: DataFrame) -> DataFrame:
     return both.withColumns({a: F.when(some, F.col(a)).otherwise(F.lit(0).cast("long")) for a in ACTIONS})
 
 
+def archive_first_pass(spark: SparkSession, reviewed: str, archive: str) -> bool:
+    """Before a second pass, put the file (or table) of the first one aside, unless an archive is there already; whether it was moved."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001
+    here, there = jvm.org.apache.hadoop.fs.Path(reviewed), jvm.org.apache.hadoop.fs.Path(archive)
+    store = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return store.exists(here) and not store.exists(there) and store.rename(here, there)
+
+
 def second_pass_counts(diff: DataFrame) -> DataFrame:
     """One row: items of one pass only, items whose status differs, items with changed fields, and all of these differences.
 

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import zipfile
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkquill.operators import attempts, index, ivf, limiter, quotas, relational, review, stored_index
+from sparkquill.operators import attempts, generation, index, ivf, limiter, quotas, relational, review, stored_index
 from sparkquill.plans import catalog
 from sparkquill.plans.catalog import Query, read
 from sparkquill.shared import new_path
-from sparkquill.sources import filings
+from sparkquill.sources import filings, zips
 from sparkquill.streaming import reviews
 
 QUERIES: dict[str, Query] = {}
@@ -222,3 +225,63 @@ def review_stream(spark, d):
     items = read(spark, d, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_custkey").cast("string").alias("id"))
     changed = spark.read.schema(reviews.CHANGE).option("basePath", f"{path}/states").parquet(f"{path}/states")
     return reviews.latest(items, changed).select(F.col("id").cast("long").alias("id"), "status", "discard_reason")
+
+
+# archives, batches by length, statistics of drafts
+
+
+@query("q_zip_members", "select doc_id, strlen(coalesce(text, ''))::bigint as n_bytes, sha256(coalesce(text, '')) as digest from documents")
+def zip_members(spark, d):
+    """Documents packed into archives, written as streams by the tasks, and read back member by member."""
+    path = new_path(spark, "zips")
+    docs = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(24)).cast("int").alias("archive"))
+
+    def pack(frames):
+        name, stream, held = None, None, None
+        store, folder = fs.FileSystem.from_uri(path)
+        store.create_dir(folder, recursive=True)
+        for frame in frames:
+            for doc_id, text, archive in frame.itertuples(index=False):
+                if archive != name:
+                    if held:
+                        held.close()
+                        stream.close()
+                    name, stream = archive, store.open_output_stream(f"{folder}/{archive:03d}.zip")
+                    held = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
+                held.writestr(f"{doc_id}.xml", text)
+            yield pd.DataFrame({"n": [len(frame)]})
+        if held:
+            held.close()
+            stream.close()
+
+    docs.repartition(8, "archive").sortWithinPartitions("archive").mapInPandas(pack, "n long").write.format("noop").mode("overwrite").save()
+    found = zips.contents(zips.members(zips.listing(spark, path), ".xml"))
+    doc_id = F.regexp_extract("member", r"^(-?[0-9]+)\.xml$", 1).cast("long")
+    return found.select(doc_id.alias("doc_id"), F.octet_length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("digest"))
+
+
+@query(
+    "q_embed_by_length",
+    """select doc_id, greatest(len(list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0b\x0c\r]+'), lambda x: x <> '')), 1)::int as n_tokens, true as bounded from documents""",
+)
+def embed_by_length(spark, d):
+    """Documents with their vectors, encoded in batches of like lengths; whether each batch keeps its bounds."""
+    found = index.embedded_by_length(read(spark, d, "documents"), "doc_id", "text")
+    sizes = found.groupBy("batch").agg(F.count("*").alias("n"), F.max("padded").alias("most"))
+    bounded = (F.col("n") <= 32) & ((F.col("n") == 1) | (F.col("n") * F.col("most") <= 6144)) & (F.size("embedding") == 64)
+    return found.join(sizes, "batch").select("doc_id", "n_tokens", bounded.alias("bounded"))
+
+
+@query(
+    "q_draft_stats",
+    """with i as (select l_returnflag as t, l_linestatus as c, l_suppkey::varchar as r, l_linenumber as hops, [l_partkey, l_suppkey] as e from lineitem),
+    n as (select t, c, r, grouping(t) as gt, grouping(c) as gc, count(*) as n_items, round(avg(hops), 6) as mean_hops from i group by grouping sets ((t), (c, r), ())),
+    k as (select t, c, r, count(distinct x) as n_chunks from (select t, c, r, unnest(e) as x from i) group by grouping sets ((t), (c, r), ()))
+    select case when gt = 0 then 'type' when gc = 0 then 'report' else 'all' end as level, n.t as task_type, n.c as source_company, n.r as source_report, n_items, mean_hops, n_chunks
+    from n join k on n.t is not distinct from k.t and n.c is not distinct from k.c and n.r is not distinct from k.r""",
+)
+def draft_stats(spark, d):
+    items = read(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("task_type"), F.col("l_linestatus").alias("source_company"), F.col("l_suppkey").cast("string").alias("source_report"), F.col("l_linenumber").alias("reasoning_hops"), F.array("l_partkey", "l_suppkey").alias("evidence_chunks")
+    )
+    return generation.draft_stats(items)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,26 +28,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_scopes: list[list[str]] = []
+#: The tables of the scopes that are open in this thread, innermost last.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, so that later reads survive lost executors.
 
-    The table stays until its ``scratch`` scope ends, or for good outside of one."""
+    The table stays until its ``scratch`` scope ends; outside of one, until the session's driver ends."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    if _scopes:
-        _scopes[-1].append(path)
+    if scopes := _scopes.get():
+        scopes[-1].append(path)
     df.write.parquet(path)
+    _at(spark, path).deleteOnExit(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))  # noqa: SLF001
     found = spark.read.schema(df.schema).parquet(path)
     found._stored_at = path  # noqa: SLF001
     return found
 
 
+def _at(spark: SparkSession, path: str):
+    """The file system of a path."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
 def removed(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)  # noqa: SLF001
+    _at(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)  # noqa: SLF001
 
 
 def dropped(table: DataFrame) -> None:
@@ -57,11 +64,13 @@ def dropped(table: DataFrame) -> None:
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove the tables that ``stored`` writes within, at the end: by then, results must be written, as they read these tables."""
-    _scopes.append([])
+    held: list[str] = []
+    token = _scopes.set((*_scopes.get(), held))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(token)
+        for path in held:
             removed(spark, path)
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import uuid
-import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -16,7 +15,7 @@ from sparkquill import schemas
 from sparkquill.functions import scalars as S
 from sparkquill.operators import html_blocks
 from sparkquill.operators.relational import first_by
-from sparkquill.operators.sections import members
+from sparkquill.sources import zips
 
 
 ITEM = "struct<" + schemas.ITEM.replace(" string", ":string").replace(" array", ":array").replace(" int", ":int") + ">"
@@ -55,14 +54,9 @@ def reviewed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archives(spark: SparkSession, path: str) -> DataFrame:
-    """(report, member, member_ord, markup) of the XML files in ZIP archives."""
-
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(p, name, i, text) for p, content in zip(frame["path"], frame["content"], strict=True) for i, (name, text) in enumerate(members(content))]
-            yield pd.DataFrame(rows, columns=["report", "member", "member_ord", "markup"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(each, "report string, member string, member_ord int, markup string")
+    """(report, member, member_ord, markup) of the XML files in ZIP archives of any size; a task holds a member, not an archive."""
+    found = zips.contents(zips.members(zips.listing(spark, path), ".xml"))
+    return found.select(F.col("path").alias("report"), "member", "member_ord", F.make_valid_utf8(F.col("content").cast("string")).alias("markup"))
 
 
 def corp_map(spark: SparkSession, path: str) -> DataFrame:
@@ -72,13 +66,10 @@ def corp_map(spark: SparkSession, path: str) -> DataFrame:
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for content in frame["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        with archive.open(name) as file:
-                            rows = [[(e.findtext(n) or "").strip() for n in names] for _, e in ElementTree.iterparse(file) if e.tag == "list"]
-                        yield pd.DataFrame(rows, columns=names)
+                rows = [[(e.findtext(n) or "").strip() for n in names] for _, e in ElementTree.iterparse(io.BytesIO(content)) if e.tag == "list"]
+                yield pd.DataFrame(rows, columns=names)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(each, schemas.CORP_MAP)
+    return zips.contents(zips.members(zips.listing(spark, path))).select("content").mapInPandas(each, schemas.CORP_MAP)
 
 
 def section_files(spark: SparkSession, path: str) -> DataFrame:
