@@ -116,7 +116,7 @@ def draft_stats(items: DataFrame) -> DataFrame:
     """Drafts by type, by company and report, and all: (level, task_type, source_company, source_report, n_items, mean_hops, n_chunks).
 
     items: (task_type, source_company, source_report, reasoning_hops, evidence_chunks). ``n_chunks`` counts distinct pieces
-    of evidence; ``mean_hops`` is 0 without items. Level is "type", "report" or "all", and the columns that it does not
+    of evidence; ``mean_hops`` is 0 where no item has a number. No items give no rows. Level is "type", "report" or "all", and the columns that it does not
     group by are null."""
     sets = [["task_type"], ["source_company", "source_report"], []]
     columns = [c for s in sets for c in s]

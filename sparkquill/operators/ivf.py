@@ -42,15 +42,17 @@ def sampled(chunks: DataFrame, size: int) -> DataFrame:
 def fit(chunks: DataFrame, n_lists: int, rounds: int = 10, sample: int = SAMPLE, parts: int = 8) -> np.ndarray:
     """Centroids of the sample: the vectors of least hash first, then ``rounds`` times the mean of what is nearest to each.
 
-    A centroid that nothing is nearest to stays where it is. Sums are made within parts cut by hash and added in the order
+    Vectors of another length than most have are left out. A centroid that nothing is nearest to stays where it is. Sums are made within parts cut by hash and added in the order
     of the parts, so that they do not depend on which task runs what."""
     rows = sampled(chunks, sample).select("v", F.xxhash64("chunk_id").alias("h"))
     spark = chunks.sparkSession
     rows = stored(rows.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")), "sample")
-    first = rows.orderBy("h").limit(4 * n_lists).collect()
-    centroids = np.unique(np.array([r.v for r in first], np.float64).reshape(len(first), -1), axis=0)
-    if not len(centroids):
+    usual = rows.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "size").first()
+    if usual is None:
         raise ValueError("no vectors to fit centroids on")
+    rows = rows.filter(F.size("v") == usual["size"])
+    first = rows.orderBy("h").limit(4 * n_lists).collect()
+    centroids = np.unique(np.array([r.v for r in first], np.float64), axis=0)
     centroids = centroids[np.linspace(0, len(centroids) - 1, min(n_lists, len(centroids))).astype(int)]
 
     def sums(key, table):

@@ -48,10 +48,8 @@ def directory(read: Read, length: int) -> list[Member]:
     size = struct.calcsize(END_FIELDS)
     tail_at = max(0, length - size - 0xFFFF)
     tail = read(tail_at, length - tail_at)
-    at = tail.rfind(END)
-    while at >= 0 and len(tail) - at >= size and at + size + struct.unpack(END_FIELDS, tail[at : at + size])[-1] > len(tail):
-        at = tail.rfind(END, 0, at)  # a signature within a comment
-    if at < 0 or len(tail) - at < size:
+    at = _end(tail)
+    if at < 0:
         raise BadArchive("no end of a central directory")
     *_, count, n_bytes, start, _ = struct.unpack(END_FIELDS, tail[at : at + size])
     end_at = tail_at + at
@@ -79,6 +77,20 @@ def directory(read: Read, length: int) -> list[Member]:
     return found
 
 
+def _end(tail: bytes) -> int:
+    """Where the end record begins: the last signature whose comment ends the file, else the last one with a comment that fits."""
+    size, at, fits = struct.calcsize(END_FIELDS), tail.rfind(END), -1
+    while at >= 0:
+        if len(tail) - at >= size:
+            rest = len(tail) - at - size - struct.unpack(END_FIELDS, tail[at : at + size])[-1]
+            if rest == 0:
+                return at
+            if rest > 0 and fits < 0:
+                fits = at
+        at = tail.rfind(END, 0, at)
+    return fits
+
+
 def _large(extra: bytes, values: list[int]) -> list[int]:
     """Sizes and offset with those that do not fit replaced from the extra field for large files."""
     at = 0
