@@ -10,7 +10,7 @@ bucket every class is compared with one leader, the class that meets most others
 components. Buckets that still hold several components are searched for the rest exactly. Their classes get one ruler,
 the set C of the highest leader that any of them has met, and H, the shingles outside C that more than ``HOT`` classes of
 that ruler hold. Sets x and y share at most min(|x & C|, |y & C|) + min(|x & H|, |y & H|) of C and H, so a linked pair
-either reaches the threshold by that bound alone (an equi-join on the set sizes that allow it) or shares a shingle outside
+either reaches the threshold by that bound alone (an equi-join on steps of the set sizes that allow it) or shares a shingle outside
 both (an equi-join on those shingles, which makes ``HOT`` rows at most for each of its input's). Neither join meets all
 pairs of a group of copies. Pairs whose sizes do not allow a link are left out, and so
 are those whose one-bit signatures differ in more places than a linked pair's do with a probability of ``MISS``.
@@ -44,6 +44,8 @@ UNIVERSE = 1 << 20
 ROWS = 5
 MISS = 1e-9
 HOT = 64
+#: Steps of set sizes between a size and the largest that may be linked with it.
+STEPS = 16
 #: Ids of texts to fetch or to drop that are broadcast at most, 8 or 16 bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -210,8 +212,12 @@ def _across(met: DataFrame, sets: DataFrame, params: Params) -> DataFrame:
     # reaching by the bound means n_y <= on * 100 / t - (n_x - on), where on is what x has of the ruler
     on = F.col("c_x") + F.col("h_x")
     low, high = F.ceil(F.col("n_x") * t / 100).cast("int"), F.floor(on * 100 / t - (F.col("n_x") - on) + 1e-6).cast("int")
-    sizes = side("x", rows).filter("apart_x").filter(high >= low).withColumn("n_y", F.explode(F.sequence(low, high)))
-    near = sizes.join(side("y", rows), ["lead", "n_y"]).filter(other & reaches(bound)).select("rep_x", "rep_y")
+    # sizes fall into steps of one ratio, of which the sizes that may be linked with a class span 2 * STEPS and the ends
+    grain = STEPS / math.log(100 / min(t, 99))
+    step = lambda n: F.floor(F.log(n.cast("double")) * grain)
+    sizes = side("x", rows).filter("apart_x").withColumns({"low": low, "high": high}).filter("high >= low")
+    sizes = sizes.withColumn("step", F.explode(F.sequence(step(F.col("low")), step(F.col("high")))))
+    near = sizes.join(side("y", rows).withColumn("step", step(F.col("n_y"))), ["lead", "step"]).filter(F.col("n_y").between(F.col("low"), F.col("high")) & other & reaches(bound)).select("rep_x", "rep_y")
     rare = held.filter("not hot").select("lead", "rep", "s").join(rows, ["lead", "rep"])
     outside = side("x", rare).filter("apart_x").join(side("y", rare), ["lead", "s"]).filter(other)
     shared = outside.groupBy("lead", "rep_x", "rep_y").agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("n_x", "n_y", "c_x", "c_y", "h_x", "h_y")])
