@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
+from sparkquill.operators import attempts
 
 
 def graded(attempts: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -46,12 +47,37 @@ def embedding_cost(chunks: DataFrame, price: float, count: str = "token_count")
     return chunks.agg(F.count("*").alias("n_chunks"), total.alias("total_tokens"), F.round(total / F.lit(1e6) * F.lit(price), 6).alias("estimated_usd"))
 
 
-def calibrated(items: DataFrame, evidence: DataFrame, provider, n_attempts: int = 3, workers: int | None = None, tolerance: float = 0.01) -> DataFrame:
+def calibrated(
+    items: DataFrame,
+    evidence: DataFrame,
+    provider,
+    n_attempts: int = 3,
+    workers: int | None = None,
+    tolerance: float = 0.01,
+    ledger: str | None = None,
+    policy: attempts.Policy = attempts.ANSWERS,
+    **waiting,
+) -> DataFrame:
     """Ask a provider for each item's answers and grade them.
 
     items: (ord, id, task_type, question, gold_answer), evidence: (id, evidence). ``provider(question, evidence) -> (raw,
     input tokens, output tokens)`` runs in Python workers, over ``workers`` partitions where a service bounds the calls at a
-    time, else over all there are; an error is an empty attempt, with its message in ``error``."""
+    time, else over all there are. An attempt whose call fails is empty, with its message in ``error``: at once without a
+    ``ledger``; with one, a folder that ``attempts.called`` keeps, after the tries of ``policy`` with its delays, and a run that
+    was stopped goes on where it ended, without repeating a call that was answered."""
+    asked = items.join(evidence, "id", "left").select("ord", "id", "task_type", "question", F.col("gold_answer").alias("gold"), "evidence")
+    calls = asked.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(n_attempts - 1)))) if n_attempts else asked.withColumn("attempt", F.lit(0)).limit(0)
+    if ledger:
+        answered = attempts.called(calls, ["id", "attempt"], lambda call, _: provider(call["question"], call["evidence"] or ""), ledger, policy, workers, **waiting)
+    else:
+        answered = _asked_once(calls, provider, workers)
+    record = F.struct("attempt", "raw", "predicted", "correct", F.col("input_tokens").cast("int").alias("input_tokens"), F.col("output_tokens").cast("int").alias("output_tokens"), "error")
+    out = graded(answered, tolerance).groupBy("ord", "id", "task_type").agg(F.array_sort(F.collect_list(record)).alias("attempts"))
+    n_correct = F.size(F.filter("attempts", lambda a: a["correct"]))
+    return out.withColumn("classification", S.classify(n_correct, F.size("attempts"))).orderBy("ord")
+
+
+def _asked_once(calls: DataFrame, provider, workers: int | None) -> DataFrame:
     schema = "ord long, id string, task_type string, gold string, attempt int, raw string, input_tokens int, output_tokens int, error string"
 
     def each(frames):
@@ -60,18 +86,12 @@ def calibrated(items: DataFrame, evidence: DataFrame, provider, n_attempts: int
         for frame in frames:
             rows = []
             for r in frame.itertuples(index=False):
-                for k in range(n_attempts):
-                    error = None
-                    try:
-                        raw, used_in, used_out = provider(r.question, r.evidence or "")
-                    except Exception as e:  # noqa: BLE001  the run goes on, as one failed call is one wrong attempt
-                        raw, used_in, used_out, error = "", 0, 0, f"{type(e).__name__}: {e}"
-                    rows.append((r.ord, r.id, r.task_type, r.gold_answer, k, raw, used_in, used_out, error))
+                error = None
+                try:
+                    raw, used_in, used_out = provider(r.question, r.evidence or "")
+                except Exception as e:  # noqa: BLE001  the run goes on, as one failed call is one wrong attempt
+                    raw, used_in, used_out, error = "", 0, 0, f"{type(e).__name__}: {e}"
+                rows.append((r.ord, r.id, r.task_type, r.gold, r.attempt, raw, used_in, used_out, error))
             yield pd.DataFrame(rows, columns=["ord", "id", "task_type", "gold", "attempt", "raw", "input_tokens", "output_tokens", "error"])
 
-    asked = items.join(evidence, "id", "left").select("ord", "id", "task_type", "question", "gold_answer", "evidence")
-    attempts = graded((asked.repartition(workers) if workers else asked).mapInPandas(each, schema), tolerance)
-    record = F.struct("attempt", "raw", "predicted", "correct", "input_tokens", "output_tokens", "error")
-    out = attempts.groupBy("ord", "id", "task_type").agg(F.array_sort(F.collect_list(record)).alias("attempts"))
-    n_correct = F.size(F.filter("attempts", lambda a: a["correct"]))
-    return out.withColumn("classification", S.classify(n_correct, F.size("attempts"))).orderBy("ord")
+    return (calls.repartition(workers) if workers else calls).mapInPandas(each, schema)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import time
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkquill.operators import nearest
+from sparkquill.operators.attempts import EMBEDDINGS, Exhausted, Policy
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -107,11 +109,27 @@ def build_provider(name: str, **options) -> Provider:
     return PROVIDERS[name](**options)
 
 
+def patient(encode: Provider, policy: Policy = EMBEDDINGS, wait: Callable[[float], None] = time.sleep) -> Provider:
+    """A provider that is asked again for a batch that fails, after the delays of a policy; to the end it is an error."""
+
+    def ask(texts: list[str]) -> list[list[float]]:
+        for failures in range(1, policy.tries + 1):
+            try:
+                return encode(texts)
+            except Exception as e:  # noqa: BLE001  whatever a service does
+                if failures == policy.tries:
+                    raise Exhausted(f"a batch of {len(texts)} texts failed {failures} times: {type(e).__name__}: {e}") from e
+                wait(policy.delay(failures))
+        raise ValueError("a policy tries once at least")
+
+    return ask
+
+
 def embedded(df: DataFrame, text: str, provider: str = "hash", prefix: str = "", max_tokens: int = 0, into: str = "embedding", **options) -> DataFrame:
     """``df`` with vectors of prefix + text. The provider is built once a task. Texts are whole, unless ``max_tokens`` cuts
     them to so many words first, for a provider whose input is limited."""
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = build_provider(provider, **options)
+        encode = patient(build_provider(provider, **options))
         for texts in batches:
             cut = [" ".join(t.split()[:max_tokens]) if max_tokens else t for t in texts.fillna("")]
             yield pd.Series(encode([prefix + t for t in cut]))
@@ -152,7 +170,7 @@ def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash
     dealt = sized.repartitionByRange(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "n_tokens", key).sortWithinPartitions("n_tokens", key)
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = build_provider(provider, **options)
+        encode = patient(build_provider(provider, **options))
         number, held = 0, []
 
         def done() -> pd.DataFrame:

@@ -648,3 +648,44 @@ def test_first_pass_is_put_aside_once(spark, tmp_path):
 def test_next_slot_of_long_numbers(spark):
     ids = spark.createDataFrame([("T_" + "0" * 30 + "41",), ("T_7",), ("T_x",)], "id string")
     assert relational.next_slot(ids, "id", "T_").first()[0] == 42
+
+
+def test_calibration_with_a_ledger(spark, tmp_path):
+    from sparkquill.operators import grading
+
+    log = tmp_path / "log"
+    log.mkdir()
+    items = spark.createDataFrame([(0, "i1", "T1", "q1", "10"), (1, "i2", "T1", "q2", "20")], "ord long, id string, task_type string, question string, gold_answer string")
+    shown = spark.createDataFrame([("i1", "text")], "id string, evidence string")
+
+    def provider(question, evidence):
+        n = len(list(log.glob(f"{question}-*")))
+        (log / f"{question}-{n}").write_text("")
+        if question == "q1" and n < 2:
+            raise ConnectionError("not yet")
+        if question == "q2":
+            raise ConnectionError("never")
+        return "\ucd5c\uc885\ub2f5: 10", 5, 1
+
+    run = lambda **more: grading.calibrated(items, shown, provider, 1, ledger=ledger, wait=lambda s: None, **more).collect()
+    ledger = new_path(spark, "ledger")
+    found = run()
+    assert [(r.id, r.classification, r.attempts[0].raw != "", r.attempts[0].error) for r in found] == [("i1", "too_easy", True, None), ("i2", "too_hard", False, "ConnectionError: never")]
+    assert (len(list(log.glob("q1-*"))), len(list(log.glob("q2-*")))) == (3, 4)
+    assert run() == found and len(list(log.iterdir())) == 7
+
+
+def test_patient_provider():
+    waited, left = [], [1, 1, 0]
+
+    def encode(texts):
+        if left and left.pop(0):
+            raise TimeoutError("busy")
+        return [[1.0]] * len(texts)
+
+    assert index.patient(encode, wait=waited.append)(["a", "b"]) == [[1.0], [1.0]]
+    assert waited == [1, 2]
+    left[:] = [1] * 9
+    with pytest.raises(attempts.Exhausted, match="2 texts failed 5 times"):
+        index.patient(encode, wait=waited.append)(["a", "b"])
+    assert waited[2:] == [1, 2, 4, 8]
