@@ -12,12 +12,12 @@ import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkquill.functions.scalars import ROMAN, SUB_HEADING, TOP_HEADING
-from sparkquill.operators.html_blocks import Element, soup
+from sparkquill.operators import markup
+from sparkquill.operators.html_blocks import Element
 from sparkquill.operators.relational import first_by
 
 HEADINGS = frozenset({"title", "h1", "h2", "h3", "h4"})
@@ -110,22 +110,13 @@ def members(content: bytes | None) -> Iterator[tuple[str, str]]:
 def candidates(reports: DataFrame, specs: list[Spec]) -> DataFrame:
     """(report, spec_id, member, member_ord, strategy, html) of every hit; reports: (report, member, member_ord, markup).
 
-    An empty structured hit still counts, so the textual strategy is not tried on that member."""
-
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for r in frame.itertuples(index=False):
-                root = soup(r.markup)
-                for spec in specs:
-                    for strategy, find in (("structured", structured), ("textual", textual)):
-                        html = find(root, spec)
-                        if html is not None:
-                            rows.append((r.report, spec.id, r.member, r.member_ord, strategy, html))
-                            break
-            yield pd.DataFrame(rows, columns=["report", "spec_id", "member", "member_ord", "strategy", "html"])
-
-    return reports.mapInPandas(each, "report string, spec_id string, member string, member_ord int, strategy string, html string")
+    An empty structured hit still counts, so the textual strategy is not tried on that member. Markup becomes rows of events,
+    and sections are found by windows over them (``markup``)."""
+    spark = reports.sparkSession
+    wanted = spark.createDataFrame([(s.id, list(s.parents), list(s.titles)) for s in specs], "id string, parents array<string>, titles array<string>")
+    members = reports.select("report", "member", "member_ord", "markup", F.sha2(F.to_json(F.struct("report", "member", "member_ord")), 256).alias("_document"))
+    found = markup.sections(members, "_document", wanted, "markup")
+    return members.drop("markup").join(found, "_document").select("report", "spec_id", "member", "member_ord", "strategy", "html")
 
 
 def extracted(reports: DataFrame, specs: list[Spec]) -> DataFrame:

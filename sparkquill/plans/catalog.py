@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkquill.functions import scalars as S
 from sparkquill.functions import tables as MD
-from sparkquill.operators import chunking, evidence, export, generation, grading, html_blocks, index, relational, review, sections
+from sparkquill.operators import chunking, evidence, export, generation, grading, index, markup, relational, review, sections
 from sparkquill.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -495,7 +495,7 @@ def seeded_order(spark, d):
 
 @query("q_html_blocks")
 def html_block_rows(spark, d):
-    return html_blocks.split(read(spark, d, "pages"), "page_id")
+    return markup.blocks(read(spark, d, "pages"), "page_id")
 
 
 @query("q_chunks")

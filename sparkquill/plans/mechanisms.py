@@ -10,7 +10,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkquill.operators import attempts, generation, index, ivf, limiter, quotas, relational, review, stored_index
+from sparkquill.operators import attempts, generation, index, ivf, limiter, markup, quotas, relational, review, stored_index
 from sparkquill.plans import catalog
 from sparkquill.plans.catalog import Query, read
 from sparkquill.shared import new_path
@@ -285,3 +285,41 @@ def draft_stats(spark, d):
         F.col("l_returnflag").alias("task_type"), F.col("l_linestatus").alias("source_company"), F.col("l_suppkey").cast("string").alias("source_report"), F.col("l_linenumber").alias("reasoning_hops"), F.array("l_partkey", "l_suppkey").alias("evidence_chunks")
     )
     return generation.draft_stats(items)
+
+
+# markup as events
+
+
+@query(
+    "q_html_tables",
+    """with o as (select c_custkey, c_name, o_orderkey, o_orderstatus, o_orderpriority from customer join orders on o_custkey = c_custkey),
+    t as (select c_custkey, c_name, '| order | status | status |' || chr(10) || '| --- | --- | --- |' || chr(10) ||
+      string_agg('| ' || o_orderkey || ' | ' || o_orderstatus || ' | ' || replace(o_orderpriority, '-', '/') || ' |', chr(10) order by o_orderkey) as markdown from o group by all)
+    select c_custkey, 0 as pos, 'text' as kind, 'Orders of ' || c_name || ' & co' as payload from t union all
+    select c_custkey, 1, 'table', markdown from t union all select c_custkey, 2, 'text', 'end of ' || c_custkey from t""",
+)
+def html_tables(spark, d):
+    """Pages with a table of each customer's orders, and text before and behind it; the head's second cell spans two columns."""
+    row = F.concat(F.lit("<tr><td>"), F.col("o_orderkey").cast("string"), F.lit("<td><i>"), "o_orderstatus", F.lit("</i><td>\n"), F.replace("o_orderpriority", F.lit("-"), F.lit("|")), F.lit(" </tr>"))
+    orders = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))), lambda x: x["row"]), "").alias("rows"))
+    pages = read(spark, d, "customer").join(orders, "c_custkey")
+    head = F.concat(F.lit("<style>p{}</style><p>Orders  of <b>"), "c_name", F.lit("</b> &amp; co<table><tbody><tr><th>order<th colspan=2>status</tr>"))
+    tail = F.concat(F.lit("</table><script>no</script><p>end<br>of "), F.col("c_custkey").cast("string"))
+    return markup.blocks(pages.select("c_custkey", F.concat(head, "rows", tail).alias("html")), "c_custkey")
+
+
+@query(
+    "q_sections",
+    """select c_custkey, 'overview' as spec_id, case when c_mktsegment = 'BUILDING' then 'structured' else 'textual' end as strategy,
+    case when c_mktsegment = 'BUILDING' then 'of ' || c_name || chr(10) || '<p>' || c_nationkey || '</p>' else '<p>of ' || c_name || '</p>' || chr(10) || '<table><tr><td>' || c_nationkey || '</td></tr></table>' end as html
+    from customer where c_mktsegment <> 'MACHINERY'""",
+)
+def report_sections(spark, d):
+    """Reports of customers: nested sections in one segment, headings among paragraphs in others, and none that is wanted in one."""
+    name, nation = F.col("c_name"), F.col("c_nationkey").cast("string")
+    nested = F.concat(F.lit("<doc><section-1><title>Ⅱ. 사업의  내용</title><section-2><title>2. 제품</title>x</section-2><section-2><title>1. 사업의 개요</title>of "), name, F.lit("<p>"), nation, F.lit("</p></section-2></section-1></doc>"))
+    top = F.when(F.col("c_mktsegment") == "MACHINERY", "III. 재무에 관한 사항").otherwise("II. 사업의 내용")
+    flat = F.concat(F.lit("<p>before</p><h2>"), top, F.lit("</h2><p>1. 사업의 개요<p>of "), name, F.lit("</p><div><table><tr><td>"), nation, F.lit("</table></div><p>2. 제품<p>behind"))
+    reports = read(spark, d, "customer").select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", nested).otherwise(flat).alias("html"))
+    specs = spark.createDataFrame([("overview", ["사업의 내용"], ["사업의 개요"])], "id string, parents array<string>, titles array<string>")
+    return markup.sections(reports, "c_custkey", specs)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import uuid
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -97,23 +98,50 @@ def _fs(spark: SparkSession, path: str):
     return fs, fs.exists(jvm_path)
 
 
-def write_json_array(rows: DataFrame, path: str, most: int = 100_000) -> None:
-    """One JSON array in one file, for curated sets; more than ``most`` rows are refused, as they belong in ``json`` lines."""
-    if rows.limit(most + 1).count() > most:
+def write_json_array(rows: DataFrame, path: str, most: int | None = None, order: list[str] | None = None) -> None:
+    """One JSON array in one file, written row after row by one task, in an order if there is one. A caller that expects a
+    curated set may refuse more than ``most`` rows."""
+    if most is not None and rows.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} rows: write JSON lines")
-    _replace(rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns)), {"ignoreNullFields": "false"}).alias("value")), path)
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    place = F.struct(*[F.col(f"`{c}`") for c in order]) if order else F.lit(0)
+    _replace(_one_text(rows.select(F.lit(0).alias("part"), place.alias("place"), record.alias("value")), ["["], "]"), path)
 
 
-def save_reviewed(states: DataFrame, path: str, saved_at: str, most: int = 100_000) -> None:
+def save_reviewed(states: DataFrame, path: str, saved_at: str, most: int | None = None) -> None:
     """A review file: the states (item, status, ...) and the items that are accepted or edited, in the order of ``ord``.
 
     It is written beside and then moved into place, so that a reader finds the old file or the new one."""
-    if states.limit(most + 1).count() > most:
+    if most is not None and states.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} states")
+    written = {"ignoreNullFields": "false"}
     fields = [c for c in states.columns if c != "ord"]
-    every = F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct(*fields).alias("s")))), lambda x: x["s"])
-    rows = states.agg(every.alias("states")).select(F.lit(saved_at).alias("saved_at"), "states", F.transform(F.filter("states", lambda s: s["status"].isin("accepted", "edited")), lambda s: s["item"]).alias("items"))
-    _replace(rows.select(F.to_json(F.struct("saved_at", "states", "items"), {"ignoreNullFields": "false"}).alias("value")), path)
+    whole = states.select(F.lit(0).alias("part"), F.col("ord").alias("place"), F.to_json(F.struct(*fields), written).alias("value"))
+    items = states.filter(F.col("status").isin("accepted", "edited")).select(F.lit(1).alias("part"), F.col("ord").alias("place"), F.to_json("item", written).alias("value"))
+    heads = [f'{{"saved_at":{json.dumps(saved_at)},"states":[', '],"items":[']
+    _replace(_one_text(whole.unionByName(items), heads, "]}"), path)
+
+
+def _one_text(records: DataFrame, heads: list[str], tail: str) -> DataFrame:
+    """(value) in one partition: each head and its records (part, place, value) behind it, then the tail. Rows pass one by one,
+    sorted on disk where they are many."""
+    first = records.sparkSession.range(1).select(F.lit(-1).alias("part"), F.lit(None).cast(records.schema["place"].dataType).alias("place"), F.lit("").alias("value"))
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, begun = -1, False
+        for frame in frames:
+            out = []
+            for part, value in zip(frame["part"].tolist(), frame["value"], strict=True):
+                while at < part:
+                    at, begun = at + 1, False
+                    out.append(heads[at])
+                if part >= 0:
+                    out.append(f",{value}" if begun else value)
+                    begun = True
+            yield pd.DataFrame({"value": out}, dtype=object)
+        yield pd.DataFrame({"value": [*heads[at + 1 :], tail]})
+
+    return first.unionByName(records).repartition(1).sortWithinPartitions("part", "place").select("part", "value").mapInPandas(each, "value string")
 
 
 def _replace(text: DataFrame, path: str) -> None:
@@ -147,6 +175,15 @@ def write_sections(found: DataFrame, path: str) -> None:
     both.select("f.kind", *keys, "f.value").write.mode("overwrite").partitionBy("kind", *keys).text(path)
 
 
+def config(spark: SparkSession, path: str) -> dict:
+    """A YAML file as it is parsed; one that is absent is an error."""
+    import yaml
+
+    if not _fs(spark, path)[1]:
+        raise FileNotFoundError(path)
+    return yaml.safe_load(spark.read.text(path, wholetext=True).first()[0]) or {}
+
+
 def config_tables(spark: SparkSession, config: dict) -> tuple[DataFrame, DataFrame]:
     """(companies, sections) of a parsed configuration: companies with padded codes, and what to look for in reports."""
     known = [(c.get("name"), c.get("corp_code"), c.get("stock"), c.get("sector")) for c in config.get("companies", [])]

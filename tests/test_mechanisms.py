@@ -689,3 +689,34 @@ def test_patient_provider():
     with pytest.raises(attempts.Exhausted, match="2 texts failed 5 times"):
         index.patient(encode, wait=waited.append)(["a", "b"])
     assert waited[2:] == [1, 2, 4, 8]
+
+
+# files
+
+
+def test_one_json_file_is_written_row_after_row(spark, tmp_path):
+    from sparkquill.sources import files
+
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, F.lit('quote " and \n')).alias("t")).repartition(7)
+    files.write_json_array(rows, str(tmp_path / "a.json"), order=["id"])
+    assert json.loads((tmp_path / "a.json").read_text()) == [{"id": i, "t": 'quote " and \n' if i % 2 == 0 else None} for i in range(3000)]
+    files.write_json_array(rows.limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == []
+    states = spark.createDataFrame([], "ord long, item struct<id:string>, status string")
+    files.save_reviewed(states, str(tmp_path / "r.json"), 'a "time"')
+    assert json.loads((tmp_path / "r.json").read_text()) == {"saved_at": 'a "time"', "states": [], "items": []}
+    some = spark.createDataFrame([(1, ("x",), "discarded")], states.schema)
+    files.save_reviewed(some, str(tmp_path / "r.json"), "t")
+    assert json.loads((tmp_path / "r.json").read_text()) == {"saved_at": "t", "states": [{"item": {"id": "x"}, "status": "discarded"}], "items": []}
+
+
+def test_configuration_file(spark, tmp_path):
+    pytest.importorskip("yaml")
+    from sparkquill.sources import files
+
+    (tmp_path / "c.yaml").write_text("companies:\n  - {name: a, corp_code: 126, stock: 5930, sector: s}\nsections:\n  - {id: x, parent_patterns: [p], title_patterns: [t, u]}\n")
+    companies, sections = files.config_tables(spark, files.config(spark, str(tmp_path / "c.yaml")))
+    assert [tuple(r) for r in companies.select("name", "corp_code", "stock").collect()] == [("a", "00000126", "005930")]
+    assert [tuple(r) for r in sections.collect()] == [("x", ["p"], ["t", "u"])]
+    with pytest.raises(FileNotFoundError):
+        files.config(spark, str(tmp_path / "none.yaml"))
