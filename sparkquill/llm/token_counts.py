@@ -11,7 +11,7 @@ The vocabulary is a fixed file; its size bounds what is broadcast. Rows are inde
 executor costs its tasks only.
 
 Defined results: a null text counts as empty and has no bytes and no tokens; strings of special tokens within a text count
-one token each, in their exact case; very long texts are counted whole, in a block of their own; repeated rows count alike;
+one token each, in their exact case; very long texts are counted whole, in a block of their own and in parts cut at spaces; repeated rows count alike;
 extra columns are kept, whatever their names, but a column named as the output (``into``) is replaced by it; an empty table
 gives an empty result.
 """
@@ -19,6 +19,7 @@ gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,9 +39,12 @@ from sparkquill.llm import words
 VOCABULARY = "word_bpe_49k.json"
 #: Merged pre-tokens that a task remembers between blocks, at most.
 MEMO = 400_000
+#: Characters of a text that are split at a time.
+PART_CHARS = 1 << 20
+SPACE = re.compile("[\x20\x09-\x0D]")
 #: Code points whose class or lower case changed between versions of Unicode, with margins: a test compares all others.
 DOUBTFUL = (
-    r"[՘֋֌࢏౜೜Ᲊ₏₝-₟Ɤ-꟱꭬꭭"
+    r"[\u0558\u058B\u058C\u088F\u0C5C\u0CDC\u1C89\u208F\u209D-\u209F\uA7CB-\uA7F1\uAB6C\uAB6D"
     r"\U00010000-\U0001EFFF\U00020000-\U0010FFFF]"
 )
 
@@ -161,19 +165,45 @@ class Counter:
         return found
 
     def count(self, texts: list[str | None]) -> np.ndarray:
-        """Tokens of each text."""
+        """Tokens of each text. Long texts are cut at spaces, which no pre-token holds, so that memory does not grow with them."""
         self._prepare()
         found: list[str] = []
-        ends, specials = np.zeros(len(texts) + 1, np.int64), np.zeros(len(texts), np.int64)
+        ends, others = np.zeros(len(texts) + 1, np.int64), np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            parts = self._cut(text) if text and self._cut and "<" in text else [text or ""]
-            for part in parts:
-                found += self.pieces(part)
-            specials[i], ends[i + 1] = len(parts) - 1, len(found)
+            text = text or ""
+            if len(text) <= PART_CHARS:
+                others[i] = self._add(text, found)
+            else:
+                for part in parts(text, PART_CHARS):
+                    own: list[str] = []
+                    others[i] += self._add(part, own)
+                    others[i] += int(self._each(own).sum())
+            ends[i + 1] = len(found)
+        upto = np.concatenate([[0], np.cumsum(self._each(found))])
+        return upto[ends[1:]] - upto[ends[:-1]] + others
+
+    def _add(self, text: str, found: list[str]) -> int:
+        """Add the pre-tokens of a text; returns its special tokens."""
+        own = self._cut(text) if self._cut and "<" in text else [text]
+        for part in own:
+            found += self.pieces(part)
+        return len(own) - 1
+
+    def _each(self, found: list[str]) -> np.ndarray:
+        """Tokens of each pre-token; distinct ones are counted once."""
         coded = pa.array(found, pa.large_string()).dictionary_encode()
         each = np.fromiter(map(self._tokens, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        upto = np.concatenate([[0], np.cumsum(each[coded.indices.to_numpy(zero_copy_only=False)])])
-        return upto[ends[1:]] - upto[ends[:-1]] + specials
+        return each[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def parts(text: str, size: int) -> Iterator[str]:
+    """A text cut at spaces into parts of about ``size`` characters; where there are none, longer ones."""
+    at = 0
+    while at < len(text):
+        m = SPACE.search(text, at + size)
+        end = m.start() if m else len(text)
+        yield text[at:end]
+        at = end
 
 
 @lru_cache(maxsize=2)

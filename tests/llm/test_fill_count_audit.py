@@ -113,6 +113,13 @@ def test_random_texts_count_as_in_the_library(library, counter):
     assert counter.count(texts).tolist() == by_library(library, texts)
 
 
+def test_parts_of_long_texts_count_as_the_whole(library, counter, monkeypatch):
+    monkeypatch.setattr(token_counts, "PART_CHARS", 50)
+    texts = [" ".join(t or "" for t in mixed(5, 40)), "x" * 500, "the cat's <|endoftext|> 12 " * 40, "a \u0301 " * 60, " " * 300, "\u3000wide\u3000" * 30]
+    assert counter.count(texts).tolist() == by_library(library, texts)
+    assert all("".join(token_counts.parts(t, 7)) == t for t in texts)
+
+
 def test_whole_words_are_proven(library, counter):
     held = sorted(counter.whole)
     assert len(held) > 30_000

@@ -108,3 +108,26 @@ def test_verdicts_spread_over_generated_links(spark):
     want = {i: rule(u) or ("block" if group[u] in blocked - allowed else "allow") for i, u, _ in held}
     assert got == want
     assert {"block", "allow"} <= {want[i] for i, u, _ in held if not rule(u)}
+
+
+def test_pipeline_masks_a_secret(spark, tmp_path):
+    """A document that only its secret sets apart from clean ones goes through all stages, with a mask for the secret."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    text = lambda: " ".join(rng.choice(("the", "of", "and")) if k % 3 == 0 else f"w{rng.randrange(5000)}" for k in range(90))
+    held = {i: text() for i in range(6)}
+    held[3] += ' with token = "0123456789abcdef0123456789" and more'
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in held.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "ten words that no document holds at all in here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: coder.decode(r.ids) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == held | {3: held[3].replace('token = "0123456789abcdef0123456789"', "[SECRET]", 1) if "[SECRET] and" in got[3] else got[3]}
+    assert "[SECRET]" in got[3] and "0123456789abcdef" not in got[3]
+    assert got[3].startswith(held[3].split(" with ")[0])
