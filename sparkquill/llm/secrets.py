@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from sparkquill.llm import words
 
 TRAIN_ROWS, TRAIN_PIECE, TRAIN_CHARS = 200, 1300, 1 << 18
+#: Bytes of text that are tagged at a time, about; features and scores of its tokens take some 40 times as much.
+BLOCK_BYTES = 1 << 20
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -287,7 +289,9 @@ def scan(field: Field, column: pa.Array) -> list[list[tuple[str, int, int]]]:
         else:
             added.append((k, int(tokens.starts[t]), int(tokens.ends[t])))
         last = t  # noqa: F841
-    points = np.concatenate([[0], np.cumsum((tokens.data & 0xC0) != 0x80)]) if added else None  # code points before each byte
+    points = np.zeros(len(tokens.data) + 1, np.int32)  # code points before each byte
+    if added:
+        np.cumsum((tokens.data & 0xC0) != 0x80, out=points[1:])
     at, starts, reach, last_end = -1, [], [], 0
     for k, a, b in added:
         while b < tokens.offsets[k + 1] and tokens.data[b] == 61:
@@ -329,7 +333,7 @@ def find(docs: DataFrame, text: str = "text", into: str = "secrets", field: Fiel
     shared = spark.sparkContext.broadcast(field or fit(sample(docs, text)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in words.blocks(batches, text):
+        for block in words.blocks(batches, text, BLOCK_BYTES):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in scan(shared.value, block.column(text))]
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(spans, ARROW_SPANS)], names=[*block.schema.names, into])
 
@@ -353,7 +357,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", field: F
     shared = docs.sparkSession.sparkContext.broadcast(field or fit(sample(docs, text)))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in words.blocks(batches, text):
+        for block in words.blocks(batches, text, BLOCK_BYTES):
             column = block.column(text)
             clean = [masked(t, spans, mark) for t, spans in zip(column.to_pylist(), scan(shared.value, column), strict=True)]
             at = block.schema.get_field_index(text)
