@@ -159,11 +159,11 @@ def length_batches(df: DataFrame, text: str, key: str, batch_size: int = 32, max
 
 
 def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash", prefix: str = "", batch_size: int = 32, max_tokens: int = 6144, parts: int | None = None, **options) -> DataFrame:
-    """(key, embedding, n_tokens, batch, padded): vectors as ``embedded`` gives them, of texts that are encoded beside texts of their length.
+    """(key, embedding, n_tokens, batch, n_texts, padded): vectors as ``embedded`` gives them, of texts that are encoded beside texts of their length.
 
     Texts are dealt by ranges of length, sorted within, and go to the provider in batches that are closed before they hold more
     than ``batch_size`` texts or ``max_tokens`` padded tokens; a longer text is a batch of its own. ``batch`` names a batch
-    with its part, ``padded`` is the length that its texts are padded to. Equal lengths are cut apart by key, so that one
+    with its part, ``n_texts`` is how many texts it has, ``padded`` the length that they are padded to. Equal lengths are cut apart by key, so that one
     length may fill several parts. Join the vectors to their rows by ``key``."""
     n_tokens = F.greatest(F.lit(1), F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")))
     sized = df.select(key, F.coalesce(text, F.lit("")).alias("_text"), n_tokens.alias("n_tokens"))
@@ -176,8 +176,8 @@ def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash
         def done() -> pd.DataFrame:
             vectors = encode([prefix + t for _, t, _ in held])
             padded = max(n for *_, n in held)
-            rows = [(k, v, n, number, padded) for (k, _, n), v in zip(held, vectors, strict=True)]
-            return pd.DataFrame(rows, columns=[key, "embedding", "n_tokens", "_number", "padded"])
+            rows = [(k, v, n, number, len(held), padded) for (k, _, n), v in zip(held, vectors, strict=True)]
+            return pd.DataFrame(rows, columns=[key, "embedding", "n_tokens", "_number", "n_texts", "padded"])
 
         for frame in frames:
             for row in zip(frame[key].tolist(), frame["_text"], frame["n_tokens"].tolist(), strict=True):
@@ -189,5 +189,5 @@ def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash
             yield done()
 
     kind = df.schema[key].dataType.simpleString()
-    found = dealt.mapInPandas(each, f"`{key}` {kind}, embedding array<float>, n_tokens int, _number int, padded int")
-    return found.select(key, "embedding", "n_tokens", F.concat_ws("-", F.spark_partition_id(), "_number").alias("batch"), "padded")
+    found = dealt.mapInPandas(each, f"`{key}` {kind}, embedding array<float>, n_tokens int, _number int, n_texts int, padded int")
+    return found.select(key, "embedding", "n_tokens", F.concat_ws("-", F.spark_partition_id(), "_number").alias("batch"), "n_texts", "padded")

@@ -267,9 +267,8 @@ def zip_members(spark, d):
 def embed_by_length(spark, d):
     """Documents with their vectors, encoded in batches of like lengths; whether each batch keeps its bounds."""
     found = index.embedded_by_length(read(spark, d, "documents"), "doc_id", "text")
-    sizes = found.groupBy("batch").agg(F.count("*").alias("n"), F.max("padded").alias("most"))
-    bounded = (F.col("n") <= 32) & ((F.col("n") == 1) | (F.col("n") * F.col("most") <= 6144)) & (F.size("embedding") == 64)
-    return found.join(sizes, "batch").select("doc_id", "n_tokens", bounded.alias("bounded"))
+    bounded = (F.col("n_texts") <= 32) & ((F.col("n_texts") == 1) | (F.col("n_texts") * F.col("padded") <= 6144)) & (F.size("embedding") == 64)
+    return found.select("doc_id", "n_tokens", bounded.alias("bounded"))
 
 
 @query(

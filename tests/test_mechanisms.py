@@ -590,6 +590,7 @@ def test_vectors_do_not_depend_on_batches(spark):
     for own in held.values():
         assert len(own) <= 8 and (len(own) == 1 or len(own) * max(r.n_tokens for r in own) <= 200)
         assert {r.padded for r in own} == {max(r.n_tokens for r in own)}
+        assert {r.n_texts for r in own} == {len(own)}
     # padded tokens stay near the real ones; in the order of ids they are twice as many
     waste = sum(r.padded for r in found) / sum(r.n_tokens for r in found)
     assert waste < 1.25
