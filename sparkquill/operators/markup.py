@@ -204,11 +204,17 @@ def blocks(docs: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, pos, kind, payload) of each document in order: outermost tables as Markdown, and all text between two tables as
     one block on one line. A table without cells parts nothing. A document without text or cells has no rows."""
     upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = events(docs, key, html).withColumns({"skipped": _depth(upto, *SKIPPED), "depth": _depth(upto, "table")})
     starts = (F.col("event") == OPEN) & (F.col("tag") == "table") & (F.col("depth") == 1)
-    found = found.withColumn("table_no", F.sum(F.when(starts, 1).otherwise(0)).over(upto))
+
+    def marked(some: DataFrame) -> DataFrame:
+        found = events(some, key, html).withColumns({"skipped": _depth(upto, *SKIPPED), "depth": _depth(upto, "table")})
+        return found.withColumn("table_no", F.sum(F.when(starts, 1).otherwise(0)).over(upto))
+
+    found = marked(docs)
+    # documents without a table tag have no rows and cells to shuffle
+    cells = marked(docs.filter(F.col(html).rlike("(?i)<table")))
     outside = found.filter("event = 'text' and depth = 0 and skipped = 0").groupBy(key, "table_no").agg(_joined(F.col("value"), F.col("pos"), F.lit(True), " ").alias("payload"))
-    both = tables(found, key).select(key, "table_no", F.lit(0).alias("behind"), F.col("markdown").alias("payload")).unionByName(outside.select(key, "table_no", F.lit(1).alias("behind"), "payload"))
+    both = tables(cells, key).select(key, "table_no", F.lit(0).alias("behind"), F.col("markdown").alias("payload")).unionByName(outside.select(key, "table_no", F.lit(1).alias("behind"), "payload"))
     in_order = Window.partitionBy(key).orderBy("table_no", "behind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn("part", F.sum(1 - F.col("behind")).over(in_order))
     merged = both.groupBy(key, "part", "behind").agg(_joined(F.col("payload"), F.col("table_no"), F.lit(True), " ").alias("payload"))
