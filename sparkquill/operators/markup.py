@@ -1,20 +1,22 @@
 """HTML as rows of events, and what is built of them by Spark: blocks of text, rows and cells of tables, Markdown, sections.
 
-Python does one thing: the standard parser's tags and texts become rows in order, with end tags supplied where a forgiving
-reader sees them (``Events``). Depths are running sums of these rows, blocks and cells are islands between them, tables are
-grouped from cells to rows to grids, and sections are chosen by running maxima of headings, all in windows and groups of one
-document, which need one shuffle. A document's rows are sorted on disk where they are many.
+Python does one thing: what the standard parser sees becomes rows in order, with end tags supplied where a forgiving reader sees
+them: tags and texts (``Events``), or the cells and texts of them (``Pieces``), where no tags are asked for. Depths are running
+sums of events, blocks are islands between them, tables are grouped from cells to rows to grids, and sections are chosen by
+running maxima of headings, all in windows and groups of one document, which need one shuffle. A document's rows are sorted on disk where they are many.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import islice
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from sparkquill.functions import scalars as S
@@ -30,6 +32,14 @@ MOST_COLUMNS = 1000
 OPEN, CLOSE, TEXT = "open", "close", "text"
 NUMBERS = ("pos", "element", "within", "colspan", "rowspan")
 EVENT = [StructField(c, IntegerType() if c in NUMBERS else StringType()) for c in ("pos", "event", "tag", "element", "parent", "within", "value", "markup", "colspan", "rowspan")]
+CELL = ("text", "wide", "high")
+PIECE = [StructField(c, StringType() if c == "text" else IntegerType()) for c in ("table_no", "row_no", "cell", *CELL)]
+
+
+def spans_of(attrs: dict) -> tuple[int, int]:
+    """colspan and rowspan, 1 where there is none that counts."""
+    wide, high = (int(v) if (v := attrs.get(c)) and v.isascii() and v.isdigit() and len(v) < 9 and int(v) > 0 else 1 for c in ("colspan", "rowspan"))
+    return wide, high
 
 
 class Events(HTMLParser):
@@ -46,9 +56,8 @@ class Events(HTMLParser):
     def _start(self, tag: str, attrs: list) -> None:
         self.count += 1
         held = dict(attrs)
-        spans = [int(v) if (v := held.get(c)) and v.isascii() and v.isdigit() and len(v) < 9 and int(v) > 0 else 1 for c in ("colspan", "rowspan")]
         written = "".join(f' {k}="{v or ""}"' for k, v in held.items())
-        self.rows.append((OPEN, tag, self.count, *self.open[-1], None, f"<{tag}{written}>", *spans))
+        self.rows.append((OPEN, tag, self.count, *self.open[-1], None, f"<{tag}{written}>", *spans_of(held)))
         self.depths.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, self.count))
 
@@ -74,6 +83,10 @@ class Events(HTMLParser):
         if self.depths.get(tag):
             self._end(self.depths[tag][-1])
 
+    def updatepos(self, i, j):
+        """Lines are not counted."""
+        return j
+
     def handle_data(self, data):
         self.rows.append((TEXT, None, None, *self.open[-1], data, data, 1, 1))
 
@@ -86,22 +99,121 @@ def events_of(html: str | None) -> list[tuple]:
     return parser.rows
 
 
+def _emitted(docs: DataFrame, key: str, html: str, fields: list[StructField], rows_of: Callable[[str | None], list[tuple]], at_once: int) -> DataFrame:
+    """(key, fields ...): the rows that each document gives, in its order, some ``at_once`` at a time."""
+    schema = StructType([docs.schema[key], *fields])
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            at: list[int] = []
+
+            def done(batch=batch) -> pa.RecordBatch:
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), *columns], names=schema.names)
+
+            for i, text in enumerate(batch.column(1)):
+                found = rows_of(text.as_py())
+                rows += found
+                at += [i] * len(found)
+                if len(rows) >= at_once:
+                    yield done()
+                    rows, at = [], []
+            if rows:
+                yield done()
+
+    return docs.select(key, html).mapInArrow(each, schema)
+
+
 def events(docs: DataFrame, key: str, html: str = "html", at_once: int = 20_000) -> DataFrame:
     """(key, EVENT ...) of documents; ``key`` is unique."""
-    names = [key, *[f.name for f in EVENT]]
+    return _emitted(docs, key, html, EVENT, lambda text: [(i, *row) for i, row in enumerate(events_of(text))], at_once)
 
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        for frame in frames:
-            for k, h in zip(frame[key].tolist(), frame[html], strict=True):
-                rows += [(k, i, *row) for i, row in enumerate(events_of(h))]
-                if len(rows) >= at_once:
-                    yield pd.DataFrame(rows, columns=names).astype({"element": "Int32"})
-                    rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=names).astype({"element": "Int32"})
 
-    return docs.select(key, html).mapInPandas(each, StructType([docs.schema[key], *EVENT]))
+def clean_cell(texts: list[str]) -> str:
+    return " ".join(" ".join(texts).replace("|", "/").split())
+
+
+class Pieces(Events):
+    """Rows in order (number of the last outermost table, of its row, of the cell, text, colspan, rowspan): each cell of a table with all
+    its text, a row that has none without a cell, and all text between two tables without a row. What is inside an inner table is
+    text of the cell around it."""
+
+    def __init__(self):
+        super().__init__()
+        self.outside: list[str] = []
+        self.cell: list[str] | None = None
+        self.empty = True
+        self.spans = (1, 1)
+        self.tables = self.table_rows = self.skipped = 0
+        self.numbers = {"table": 0, "tr": 0, "cell": 0}
+
+    def _start(self, tag: str, attrs: list) -> None:
+        parent = self.open[-1][0]
+        self.depths.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, 0))
+        if tag == "table":
+            self.tables += 1
+            if self.tables == 1:
+                self._text()
+                self.numbers["table"] += 1
+        elif tag in SKIPPED:
+            self.skipped += 1
+        elif self.tables != 1:
+            pass
+        elif tag == "tr":
+            self.table_rows += 1
+            if self.table_rows == 1:
+                self.numbers["tr"] += 1
+                self.empty = True
+        elif tag in ("td", "th") and parent == "tr" and self.table_rows == 1:
+            self.numbers["cell"] += 1
+            self.cell, self.spans = [], spans_of(dict(attrs)) if attrs else (1, 1)
+
+    def _end(self, depth: int) -> None:
+        while len(self.open) > depth:
+            tag, _ = self.open.pop()
+            self.depths[tag].pop()
+            if tag == "table":
+                self.tables -= 1
+            elif tag in SKIPPED:
+                self.skipped -= 1
+            elif self.tables != 1:
+                pass
+            elif tag == "tr":
+                self.table_rows -= 1
+                if self.table_rows == 0 and self.empty:
+                    self.rows.append((self.numbers["table"], self.numbers["tr"], None, None, None, None))
+            elif tag in ("td", "th") and self.open[-1][0] == "tr" and self.table_rows == 1:
+                self.rows.append((self.numbers["table"], self.numbers["tr"], self.numbers["cell"], clean_cell(self.cell), *self.spans))
+                self.cell, self.empty = None, False
+
+    def handle_data(self, data):
+        if not self.skipped:
+            if not self.tables:
+                self.outside.append(data)
+            elif self.cell is not None:
+                self.cell.append(data)
+
+    def _text(self) -> None:
+        if self.outside:
+            self.rows.append((self.numbers["table"], None, None, " ".join(self.outside), None, None))
+            self.outside = []
+
+
+def pieces_of(html: str | None) -> list[tuple]:
+    parser = Pieces()
+    parser.feed(html or "")
+    parser.close()
+    parser._end(1)  # noqa: SLF001
+    parser._text()  # noqa: SLF001
+    return parser.rows
+
+
+def pieces(docs: DataFrame, key: str, html: str = "html", at_once: int = 20_000) -> DataFrame:
+    """(key, PIECE ...) of documents; ``key`` is unique."""
+    return _emitted(docs, key, html, PIECE, pieces_of, at_once)
 
 
 def _depth(upto, *tags: str, where: Column | None = None) -> Column:
@@ -115,47 +227,29 @@ def _joined(value: Column, place: Column, when: Column, mark: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(place.alias("p"), value.alias("v"))))), lambda x: x["v"]), mark)
 
 
-def clean_cell(text: Column) -> Column:
-    return S.collapse(F.replace(text, F.lit("|"), F.lit("/")))
-
-
 def tables(found: DataFrame, key: str) -> DataFrame:
-    """(key, table_no, markdown) of the outermost tables of documents, numbered from 1, without those that have no cells.
-
-    found: events with ``skipped``, ``depth`` and ``table_no`` as ``blocks`` adds them. The first row is the header. Rows and
-    cells of inner tables are text of the cell around them."""
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = found.filter("table_no > 0 and (depth > 0 or event = 'close')")
-    # closing events of a table are at the depth behind it
-    own = F.col("depth") == 1
-    inside = inside.withColumn("row_depth", _depth(upto, "tr", where=own))
-    opens = lambda *tags: F.col("tag").isin(*tags) & (F.col("event") == OPEN) & own & (F.col("row_depth") == 1)
-    cell = F.col("parent") == "tr"
-    inside = inside.withColumns(
-        {
-            "row_no": F.sum(F.when(opens("tr"), 1).otherwise(0)).over(upto),
-            "cell_no": F.sum(F.when(opens("td", "th") & cell, 1).otherwise(0)).over(upto),
-            "in_cell": _depth(upto, "td", "th", where=own & (F.col("row_depth") == 1) & cell),
-        }
-    )
-    starts_row = opens("tr")
-    starts_cell = opens("td", "th") & cell
-    text = (F.col("event") == TEXT) & (F.col("skipped") == 0)
-    of_cell = inside.filter(starts_row | (F.col("in_cell") > 0)).withColumn("cell", F.when(F.col("in_cell") > 0, F.col("cell_no")))
-    cells = of_cell.groupBy(key, "table_no", "row_no", "cell").agg(
-        clean_cell(_joined(F.col("value"), F.col("pos"), text, " ")).alias("text"), F.max(F.when(starts_cell, F.col("colspan"))).alias("wide"), F.max(F.when(starts_cell, F.col("rowspan"))).alias("high")
-    )
-    one = F.when(F.col("cell").isNotNull(), F.struct("cell", "text", "wide", "high"))
-    rows = cells.groupBy(key, "table_no", "row_no").agg(F.array_sort(F.collect_list(one)).alias("cells"))
-    grids = rows.groupBy(key, "table_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "cells"))), lambda r: r["cells"]).alias("rows"))
+    """(key, table_no, markdown, behind): each outermost table of documents, numbered from 1, as Markdown, empty where it has no cells;
+    and the text between it and the next one. Number 0 has the text before all tables.
+
+    found: pieces. The first row is the header."""
+    # all that follows groups rows of one document, and so needs this one shuffle
+    found = found.repartition(key)
+    cell = F.when(F.col("cell").isNotNull(), F.struct("cell", "text", "wide", "high"))
+    rows = found.groupBy(key, "table_no", "row_no").agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.max(F.when(F.col("row_no").isNull(), F.col("text"))).alias("text"))
+    row = F.when(F.col("row_no").isNotNull(), F.struct("row_no", "cells"))
+    grids = rows.groupBy(key, "table_no").agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["cells"]).alias("rows"), F.max("text").alias("behind"))
     spans = F.exists("rows", lambda r: F.exists(r, lambda c: (c["wide"] > 1) | (c["high"] > 1)))
     plain = F.filter(F.transform("rows", lambda r: F.transform(r, lambda c: c["text"])), lambda r: F.size(r) > 0)
     grids = grids.withColumn("spanned", F.when(spans, F.col("rows"))).withColumn("placed", F.arrow_udf(_placed, "array<array<string>>")("spanned"))
-    return grids.select(key, "table_no", markdown(F.coalesce("placed", plain)).alias("markdown")).filter("markdown != ''")
+    return grids.withColumn("grid", F.coalesce("placed", plain)).select(key, "table_no", markdown(F.col("grid")).alias("markdown"), "behind")
 
 
 def _placed(tables: pa.Array) -> pa.Array:
-    return pa.array([None if rows is None else placed(rows) for rows in tables.to_pylist()], pa.list_(pa.list_(pa.string())))
+    """Columns are read whole, as a dictionary for each cell costs more than its place."""
+    own, rows = pc.list_value_length(tables).to_pylist(), tables.flatten()
+    sizes, cells = iter(pc.list_value_length(rows).to_pylist()), rows.flatten()
+    held = zip(*[cells.field(c).to_pylist() for c in CELL], strict=True)
+    return pa.array([None if n is None else placed([[dict(zip(CELL, x, strict=True)) for x in islice(held, next(sizes))] for _ in range(n)]) for n in own], pa.list_(pa.list_(pa.string())))
 
 
 def placed(rows: list) -> list[list[str]]:
@@ -203,18 +297,8 @@ def markdown(rows: Column) -> Column:
 def blocks(docs: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(key, pos, kind, payload) of each document in order: outermost tables as Markdown, and all text between two tables as
     one block on one line. A table without cells parts nothing. A document without text or cells has no rows."""
-    upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = (F.col("event") == OPEN) & (F.col("tag") == "table") & (F.col("depth") == 1)
-
-    def marked(some: DataFrame) -> DataFrame:
-        found = events(some, key, html).withColumns({"skipped": _depth(upto, *SKIPPED), "depth": _depth(upto, "table")})
-        return found.withColumn("table_no", F.sum(F.when(starts, 1).otherwise(0)).over(upto))
-
-    found = marked(docs)
-    # documents without a table tag have no rows and cells to shuffle
-    cells = marked(docs.filter(F.col(html).rlike("(?i)<table")))
-    outside = found.filter("event = 'text' and depth = 0 and skipped = 0").groupBy(key, "table_no").agg(_joined(F.col("value"), F.col("pos"), F.lit(True), " ").alias("payload"))
-    both = tables(cells, key).select(key, "table_no", F.lit(0).alias("behind"), F.col("markdown").alias("payload")).unionByName(outside.select(key, "table_no", F.lit(1).alias("behind"), "payload"))
+    kinds = F.array(*[F.struct(F.lit(i).alias("behind"), F.col(c).alias("payload")) for i, c in enumerate(("markdown", "behind"))])
+    both = tables(pieces(docs, key, html), key).select(key, "table_no", F.explode(kinds).alias("b")).select(key, "table_no", "b.*").filter("payload is not null and (behind = 1 or payload != '')")
     in_order = Window.partitionBy(key).orderBy("table_no", "behind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn("part", F.sum(1 - F.col("behind")).over(in_order))
     merged = both.groupBy(key, "part", "behind").agg(_joined(F.col("payload"), F.col("table_no"), F.lit(True), " ").alias("payload"))

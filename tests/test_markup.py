@@ -115,3 +115,10 @@ def test_sections(spark):
 def test_documents_that_lack_keys_are_kept_apart(spark):
     docs = spark.createDataFrame([("a", "<p>x"), ("b", "<p>y")], "id string, html string").withColumn("pos", F.lit(1))
     assert {(r.id, r.payload) for r in markup.blocks(docs, "id").collect()} == {("a", "x"), ("b", "y")}
+
+
+def test_a_document_is_parsed_once_and_shuffled_as_cells(spark):
+    docs = spark.createDataFrame([(1, "a<table><tr><td>x<td> y |<tr></table>b")], "id long, html string")
+    plan = markup.blocks(docs, "id")._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert plan.count("MapInArrow") + plan.count("MapInPandas") == 1
+    assert markup.pieces_of("a<table><tr><td>x<td> y |<tr></table>b") == [(0, None, None, "a", None, None), (1, 1, 1, "x", 1, 1), (1, 1, 2, "y /", 1, 1), (1, 2, None, None, None, None), (1, None, None, "b", None, None)]
