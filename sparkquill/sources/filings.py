@@ -16,6 +16,9 @@ from __future__ import annotations
 import base64
 import importlib
 import json
+import pickle
+import re
+import tempfile
 import time
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,6 +34,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 OK, NONE = "000", "013"
 LIST, DOCUMENT = "list.json", "document.xml"
 RECORDED_BUCKETS = 64
+#: Bytes that are read of a recorded file at a time, and how its lines begin.
+READ, HEAD = 1 << 20, re.compile(rb'\{"name":("(?:[^"\\]|\\.)*"),"page_no":([0-9]+),')
+#: Bytes of a request's rows in memory; more are on disk until the last is there.
+HELD = 8 << 20
 
 
 class SourceError(RuntimeError):
@@ -48,29 +55,56 @@ Transport = Callable[[str, dict], Answer]
 
 
 class Recorded:
-    """Answers from a folder; those of one bucket are held at a time."""
+    """Answers from a folder. Of one request at a time it is known where its answers stand; one answer is held."""
 
     def __init__(self, path: str):
         self.store, self.folder = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-        self.bucket, self.answers = None, {}
+        self.name, self.places = None, {}
+        self.path, self.file = None, None
 
     def __call__(self, endpoint: str, params: dict) -> Answer:
         name = request_name(endpoint, params)
-        bucket = zlib.crc32(name.encode()) % RECORDED_BUCKETS
-        if bucket != self.bucket:
-            self.bucket, self.answers = bucket, {}
-            for file in self.store.get_file_info(fs.FileSelector(f"{self.folder}/bucket={bucket}", allow_not_found=True)):
-                if file.base_name.endswith(".json"):
-                    with self.store.open_input_stream(file.path) as stream:
-                        for line in stream.read().decode().split("\n"):
-                            if line:
-                                one = json.loads(line)
-                                self.answers[one["name"], one["page_no"]] = one
-        one = self.answers.get((name, int(params.get("page_no", 1))))
-        if one is None:
+        if name != self.name:
+            self.name, self.places = name, dict(self._places(name))
+        place = self.places.get(int(params.get("page_no", 1)))
+        if place is None:
             return Answer(404, "text/plain", b"not recorded")
+        path, at, size = place
+        if path != self.path:
+            self.close()
+            self.path, self.file = path, self.store.open_input_file(path)
+        self.file.seek(at)
+        one = json.loads(self.file.read(size))
         return Answer(one["status_code"], one["content_type"], base64.b64decode(one["body"]))
 
+    def _places(self, name: str) -> Iterator[tuple[int, tuple[str, int, int]]]:
+        """(page, (file, offset, bytes)) of a request's answers, whose bucket is read piece by piece."""
+        folder = f"{self.folder}/bucket={zlib.crc32(name.encode()) % RECORDED_BUCKETS}"
+        for file in self.store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if not file.base_name.endswith(".json"):
+                continue
+            with self.store.open_input_stream(file.path) as stream:
+                at, rest = 0, b""
+                while part := stream.read(READ):
+                    *lines, rest = (rest + part).split(b"\n")
+                    for line in lines:
+                        if line and (own := named(line))[0] == name:
+                            yield own[1], (file.path, at, len(line))
+                        at += len(line) + 1
+                if rest and (own := named(rest))[0] == name:
+                    yield own[1], (file.path, at, len(rest))
+
+    def close(self) -> None:
+        if self.file:
+            self.file.close()
+
+
+def named(line: bytes) -> tuple[str, int]:
+    """Name and page of a recorded answer; its body is not read where these stand before it."""
+    head = HEAD.match(line)
+    one = {"name": json.loads(head[1]), "page_no": int(head[2])} if head else json.loads(line)
+    return one["name"], one["page_no"]
+
 
 def request_name(endpoint: str, params: dict) -> str:
     """What a request is recorded under, without its page."""
@@ -163,13 +197,20 @@ class _Reader(DataSourceReader):
     def read(self, partition: Requests) -> Iterator[tuple]:
         get = self.transport()
         for request in partition.held:
-            try:
-                rows = list(self.rows(get, request))
-            except (SourceError, OSError) as e:
-                if self.options.get("errors", "raise") == "raise":
-                    raise
-                rows = [self.failed(request, str(e))]
-            yield from rows
+            if self.options.get("errors", "raise") == "raise":
+                yield from self.rows(get, request)  # what fails ends the query, whatever came before
+                continue
+            with tempfile.SpooledTemporaryFile(HELD) as held:
+                try:
+                    for row in self.rows(get, request):
+                        pickle.dump(row, held)
+                except (SourceError, OSError) as e:
+                    yield self.failed(request, str(e))
+                    continue
+                end = held.tell()
+                held.seek(0)
+                while held.tell() < end:
+                    yield pickle.load(held)  # noqa: S301  written above
 
     def rows(self, get: Transport, request: dict) -> Iterator[tuple]:
         raise NotImplementedError

@@ -400,6 +400,31 @@ def test_filing_lists_and_documents(spark):
     assert got == {"1": (b"PK\x03\x04zip", None), "2": (b"any", None), "3": (None, "document.xml error 014: no file"), "4": (None, "no archive: oops")}
 
 
+def test_a_request_holds_one_page_at_a_time(tmp_path):
+    import base64
+    import tracemalloc
+    import zlib
+
+    params = {"corp_code": "A", "bgn_de": "20240101", "end_de": "20241231"}
+    name = filings.request_name(filings.LIST, params)
+    folder = tmp_path / f"bucket={zlib.crc32(name.encode()) % filings.RECORDED_BUCKETS}"
+    folder.mkdir()
+    with (folder / "part.json").open("w") as file:
+        for page in range(1, 41):
+            rows = [{"rcept_no": f"{page}-{i}", "corp_code": "A", "corp_name": "n" * 1000, "report_nm": "r"} for i in range(400)]
+            body = base64.b64encode(json.dumps({"status": "000", "total_page": 40, "list": rows}).encode()).decode()
+            # another request of the bucket has the same pages
+            file.writelines(json.dumps({"name": n, "page_no": page, "status_code": 200, "content_type": "t", "body": body}, separators=(",", ":")) + "\n" for n in (name, "other"))
+    for errors in ("raise", "rows"):
+        reader = filings.FilingList({"requests": json.dumps([params]), "path": str(tmp_path), "errors": errors}).reader(None)
+        tracemalloc.start()
+        rows = [r[6] for r in reader.read(reader.partitions()[0])]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == [f"{page}-{i}" for page in range(1, 41) for i in range(400)]
+        assert peak < 20 << 20, (errors, peak)
+
+
 def test_requests_are_made_again():
     waited, made = [], []
 
