@@ -277,6 +277,19 @@ def test_attempts_of_a_lost_task_are_not_repeated(spark, tmp_path):
     assert sorted(int(f.name) for f in log.iterdir()) == list(range(6, 12))
 
 
+def test_attempts_read_the_ledger_once(spark, tmp_path, monkeypatch):
+    log, read = tmp_path / "log", []
+    log.mkdir()
+    whole = attempts.outcomes
+    monkeypatch.setattr(attempts, "outcomes", lambda *a: read.append(1) or whole(*a))
+    rows = [(i, i % 6, None if i % 2 else 2**60 + i) for i in range(30)]
+    calls = spark.createDataFrame(rows, "id long, fails int, big long")
+    found = attempts.called(calls, ["id"], failing(str(log)), new_path(spark, "ledger"), buckets=3, wait=lambda s: None, clock=lambda: 0.0).collect()
+    assert sorted((r.id, r.fails, r.big, r.tries, r.error is None) for r in found) == [(*r, min(r[1] + 1, 4), r[1] < 4) for r in rows]
+    # rounds go on from what the round before gave
+    assert len(read) == 1
+
+
 def test_attempts_that_may_not_fail(spark, tmp_path):
     log = tmp_path / "log"
     log.mkdir()
