@@ -395,7 +395,14 @@ def structured(found: DataFrame, key: str, specs: DataFrame) -> DataFrame:
 def sections(docs: DataFrame, key: str, specs: DataFrame, html: str = "html") -> DataFrame:
     """(key, spec_id, strategy, html) of the wanted sections that documents have. A structured one, though it be empty, goes before
     a textual one."""
-    found = stored(events(docs, key, html), "events")
-    built = structured(found, key, specs).withColumn("strategy", F.lit("structured"))
-    flat = textual(found, key, specs).join(built.select(key, "spec_id"), [key, "spec_id"], "left_anti").withColumn("strategy", F.lit("textual"))
+    # only documents with a section can have a structured one; where those are all that is wanted, no textual one is looked for
+    nested = F.coalesce(F.col(html).rlike("(?i)<section-2"), F.lit(False))
+    # dealt anew, as a small file may hold many documents, which one task would parse
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    dealt = lambda some: some.select(key, html).repartition(parts, key)
+    inside, others = stored(events(dealt(docs.filter(nested)), key, html), "nested"), stored(events(dealt(docs.filter(~nested)), key, html), "events")
+    built = stored(structured(inside, key, specs), "structured").withColumn("strategy", F.lit("structured"))
+    whole = built.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") == specs.select("id").distinct().count()).select(key)
+    flat = textual(others.unionByName(inside.join(whole, key, "left_anti")), key, specs)
+    flat = flat.join(built.select(key, "spec_id"), [key, "spec_id"], "left_anti").withColumn("strategy", F.lit("textual"))
     return built.unionByName(flat).select(key, "spec_id", "strategy", "html")

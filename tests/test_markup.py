@@ -122,3 +122,14 @@ def test_a_document_is_parsed_once_and_shuffled_as_cells(spark):
     plan = markup.blocks(docs, "id")._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
     assert plan.count("MapInArrow") + plan.count("MapInPandas") == 1
     assert markup.pieces_of("a<table><tr><td>x<td> y |<tr></table>b") == [(0, None, None, "a", None, None), (1, 1, 1, "x", 1, 1), (1, 1, 2, "y /", 1, 1), (1, 2, None, None, None, None), (1, None, None, "b", None, None)]
+
+
+def test_structured_sections_are_looked_for_where_sections_are(spark, monkeypatch):
+    seen = []
+    whole = markup.structured
+    monkeypatch.setattr(markup, "structured", lambda found, *a: seen.append({r.id for r in found.select("id").distinct().collect()}) or whole(found, *a))
+    docs = spark.createDataFrame([(1, "<p>II. x<p>1. item<p>t"), (2, "<SECTION-1><title>II. x</title><SECTION-2><title>1. item</title>s</section-2></section-1>"), (3, None)], "id long, html string")
+    specs = spark.createDataFrame([("one", ["x"], ["item"])], "id string, parents array<string>, titles array<string>")
+    found = {r.id: (r.strategy, r.html) for r in markup.sections(docs, "id", specs).collect()}
+    assert found == {1: ("textual", "<p>t</p>"), 2: ("structured", "s")}
+    assert seen == [{2}]
