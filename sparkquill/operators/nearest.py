@@ -24,8 +24,8 @@ MOST_QUESTIONS = 10_000
 MARGIN = 1e-6
 #: Distances are compared after rounding to so many places, ties by id.
 PLACES = 9
-#: Chunks that are scored at a time.
-STEP = 2048
+#: Chunks and questions that are scored at a time: what a task holds of distances is their product, however many questions there are.
+STEP, ASKED = 2048, 512
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -50,7 +50,13 @@ class Best:
         self.limit = np.full(n, np.inf)
 
     def offer(self, asked: np.ndarray, wanted: np.ndarray, names: np.ndarray, vectors: np.ndarray) -> None:
-        rough = (wanted**2).sum(axis=1)[:, None] - 2 * wanted @ vectors.T + (vectors**2).sum(axis=1)
+        """asked: numbers of questions; wanted: their vectors."""
+        sizes = (vectors**2).sum(axis=1)
+        for at in range(0, len(asked), ASKED):
+            self._offer(asked[at : at + ASKED], wanted[at : at + ASKED], names, vectors, sizes)
+
+    def _offer(self, asked: np.ndarray, wanted: np.ndarray, names: np.ndarray, vectors: np.ndarray, sizes: np.ndarray) -> None:
+        rough = (wanted**2).sum(axis=1)[:, None] - 2 * wanted @ vectors.T + sizes
         slack = MARGIN * (1 + np.abs(rough))
         closer = rough - slack <= self.limit[asked][:, None]
         for i in np.flatnonzero(closer.any(axis=1)).tolist():

@@ -759,3 +759,18 @@ def test_configuration_file(spark, tmp_path):
     assert [tuple(r) for r in sections.collect()] == [("x", ["p"], ["t", "u"])]
     with pytest.raises(FileNotFoundError):
         files.config(spark, str(tmp_path / "none.yaml"))
+
+
+def test_distances_of_many_questions_are_not_held_at_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    asked, vectors = rng.normal(size=(6000, 8)), rng.normal(size=(2048, 8))
+    best = nearest.Best(len(asked), 3)
+    tracemalloc.start()
+    best.offer(np.arange(len(asked)), asked, np.arange(len(vectors)).astype(object), vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 << 20, peak
+    for i in (0, 511, 512, 5999):
+        assert set(best.names[i].tolist()) >= set(np.argsort(nearest.exact(vectors, asked[i]))[:3].tolist())
