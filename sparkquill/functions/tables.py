@@ -19,12 +19,13 @@ def parse_markdown_table(text: Column) -> Column:
     rows = F.transform(inner, lambda x: F.transform(F.split(x, r"\|"), S.stripped))
 
     def separator(row: Column) -> Column:
-        filled = F.filter(row, lambda c: c != "")
-        return (F.size(filled) > 0) & F.forall(filled, lambda c: F.replace(c, F.lit(" "), F.lit("")).rlike(SEPARATOR))
+        # a row that has a filled cell, and none but of dashes
+        return F.exists(row, lambda c: c != "") & F.forall(row, lambda c: (c == "") | F.replace(c, F.lit(" "), F.lit("")).rlike(SEPARATOR))
 
     body = F.filter(rows, lambda r: ~separator(r))
-    width = F.coalesce(F.array_max(F.transform(body, lambda r: F.size(r))), F.lit(0))
-    return F.transform(body, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
+    # text and width once, not for each row
+    sized = let(body, lambda b: F.struct(b.alias("rows"), F.coalesce(F.array_max(F.transform(b, lambda r: F.size(r))), F.lit(0)).alias("width")))
+    return let(sized, lambda t: F.transform(t["rows"], lambda r: F.concat(r, F.array_repeat(F.lit(""), t["width"] - F.size(r)))))
 
 
 def let(value: Column, body) -> Column:

@@ -125,3 +125,12 @@ def test_registered_functions(spark):
     assert [(r.pos, r.kind) for r in spark.sql("select b.* from held, lateral html_blocks(html) b").collect()] == [(0, "text"), (1, "table")]
     assert [(r.text, r.token_count) for r in spark.sql("select c.* from held, lateral html_chunks(html, 100, 0) c").collect()] == [("one two\n\n| x |\n| --- |", 8)]
     assert spark.sql("select outermost_json(reply) as j from held").first().j == '{"a": {}}'
+
+
+def test_a_markdown_table_is_taken_apart_once(spark):
+    text = "| a | b |\n| --- | --- |\n| 1 |\n||\n| -- | : |"
+    df = spark.createDataFrame([(text,)], "t string").select(T.parse_markdown_table(F.col("t")).alias("rows"))
+    assert [list(r) for r in df.first().rows] == [["a", "b"], ["1", ""], ["", ""], ["--", ":"]]
+    # lines are cut in one place of the plan, not again in the lambda of each row
+    plan = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert plan.count("split(coalesce(") + plan.count("split(t") == 1, plan
