@@ -1,7 +1,7 @@
 """Review actions as a stream: the state of an item is its latest action, kept in a state store.
 
 Actions may come late, more than once, and cut into batches in any way: the one of the greatest ``ord`` counts. Each batch
-gives the new state of the items that changed; ``latest`` makes the table of all from what the batches gave.
+gives the state of the items that it has actions of; ``latest`` makes the table of all from what the batches gave.
 """
 
 from __future__ import annotations
@@ -9,16 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from sparkquill.operators.relational import first_by
 from sparkquill.operators.review import STATUS
 
-STATE = "ord long, ts string, action string, note string"
-CHANGE = f"id string, {STATE}"
+CHANGE = "id string, ord long, ts string, action string, note string"
 
 
 #: What keeps the state of ``transformWithState``.
@@ -39,27 +37,11 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(PROVIDER[0], before)
 
 
-class LatestAction(StatefulProcessor):
-    def init(self, handle) -> None:
-        self.held = handle.getValueState("latest", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:  # noqa: N802
-        actions = pd.concat(list(rows))
-        new = actions.loc[actions["ord"].idxmax()]
-        if self.held.exists() and self.held.get()[0] >= new["ord"]:
-            return
-        state = (int(new["ord"]), *(None if pd.isna(new[c]) else new[c] for c in ("ts", "action", "note")))
-        self.held.update(state)
-        yield pd.DataFrame([(key[0], *state)], columns=["id", "ord", "ts", "action", "note"])
-
-    def close(self) -> None:
-        pass
-
-
 def changes(actions: DataFrame) -> DataFrame:
-    """A stream of actions (ord, ts, id, action, note) -> a stream of the items' new states. Needs the RocksDB state store."""
+    """A stream of actions (ord, ts, id, action, note) -> a stream of the states of the items that a batch has actions of. Of actions
+    with one ``ord`` the greatest counts. A task keeps one state for each item of its batch before the shuffle."""
     known = actions.filter("id is not null and ord is not null").select("id", F.col("ord").cast("long").alias("ord"), "ts", F.lower("action").alias("action"), "note")
-    return known.groupBy("id").transformWithStateInPandas(LatestAction(), CHANGE, outputMode="update", timeMode="none")
+    return known.groupBy("id").agg(F.max(F.struct("ord", "ts", "action", "note")).alias("s")).select("id", "s.*")
 
 
 def kept(actions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -774,3 +774,14 @@ def test_distances_of_many_questions_are_not_held_at_once():
     assert peak < 80 << 20, peak
     for i in (0, 511, 512, 5999):
         assert set(best.names[i].tolist()) >= set(np.argsort(nearest.exact(vectors, asked[i]))[:3].tolist())
+
+
+def test_review_states_are_kept_without_python(spark):
+    path = new_path(spark, "reviews")
+    schema = "ord long, ts string, id string, action string, note string"
+    spark.createDataFrame([(1, "t", "i", "Edit", None), (2, "u", "i", "accept", "n"), (2, "u", "i", "accept", "n")], schema).write.parquet(f"{path}/in")
+    stream = reviews.changes(spark.readStream.schema(schema).parquet(f"{path}/in"))
+    assert "Pandas" not in stream._jdf.queryExecution().analyzed().toString()  # noqa: SLF001
+    with reviews.rocksdb(spark):
+        reviews.kept(spark.readStream.schema(schema).parquet(f"{path}/in"), f"{path}/states", f"{path}/check").awaitTermination()
+    assert [tuple(r)[:5] for r in spark.read.schema(reviews.CHANGE).parquet(f"{path}/states").collect()] == [("i", 2, "u", "accept", "n")]
