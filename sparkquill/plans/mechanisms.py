@@ -230,11 +230,18 @@ def review_stream(spark, d):
 # archives, batches by length, statistics of drafts
 
 
+#: Bytes of texts in an archive, about; a task packs one or a few archives.
+ARCHIVE = 16 << 20
+
+
 @query("q_zip_members", "select doc_id, strlen(coalesce(text, ''))::bigint as n_bytes, sha256(coalesce(text, '')) as digest from documents")
 def zip_members(spark, d):
     """Documents packed into archives, written as streams by the tasks, and read back member by member."""
     path = new_path(spark, "zips")
-    docs = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.pmod(F.xxhash64("doc_id"), F.lit(24)).cast("int").alias("archive"))
+    docs = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    archives = max(24, -(-n_bytes // ARCHIVE))
+    docs = docs.withColumn("archive", F.pmod(F.xxhash64("doc_id"), F.lit(archives)).cast("int"))
 
     def pack(frames):
         name, stream, held = None, None, None
@@ -254,7 +261,7 @@ def zip_members(spark, d):
             held.close()
             stream.close()
 
-    docs.repartition(8, "archive").sortWithinPartitions("archive").mapInPandas(pack, "n long").write.format("noop").mode("overwrite").save()
+    docs.repartition(archives, "archive").sortWithinPartitions("archive").mapInPandas(pack, "n long").write.format("noop").mode("overwrite").save()
     found = zips.contents(zips.members(zips.listing(spark, path), ".xml"))
     doc_id = F.regexp_extract("member", r"^(-?[0-9]+)\.xml$", 1).cast("long")
     return found.select(doc_id.alias("doc_id"), F.octet_length("content").cast("long").alias("n_bytes"), F.sha2("content", 256).alias("digest"))

@@ -785,3 +785,14 @@ def test_review_states_are_kept_without_python(spark):
     with reviews.rocksdb(spark):
         reviews.kept(spark.readStream.schema(schema).parquet(f"{path}/in"), f"{path}/states", f"{path}/check").awaitTermination()
     assert [tuple(r)[:5] for r in spark.read.schema(reviews.CHANGE).parquet(f"{path}/states").collect()] == [("i", 2, "u", "accept", "n")]
+
+
+def test_archives_grow_in_number(spark, tmp_path, monkeypatch):
+    from sparkquill.plans import mechanisms
+
+    spark.createDataFrame([(i, "x" * 1000) for i in range(200)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(mechanisms, "ARCHIVE", 2000, raising=False)
+    path, whole = str(tmp_path / "zips"), mechanisms.zips.listing
+    monkeypatch.setattr(mechanisms, "new_path", lambda *_: f"file://{path}")
+    assert mechanisms.zip_members(spark, str(tmp_path)).count() == 200
+    assert whole(spark, f"file://{path}").count() > 24
