@@ -157,18 +157,26 @@ def mentions(rows: DataFrame) -> DataFrame:
 def trusted(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The patterns of a graph (pattern, instance, seed) that are trusted when a round adds none."""
     base = graph.groupBy("instance").agg(F.bool_or("seed").cast("int").alias("seed")).agg(F.avg("seed")).first()[0] or 0.0
-    graph = graph.withColumn("good", F.col("seed"))
-    share, n = F.col("support") / F.col("n"), F.col("n")
-    lower = (share + Z * Z / (2 * n) - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
-    enough = F.when(F.col("pattern").contains("<"), lower >= max(TRUST, base)).otherwise((F.col("support") >= SUPPORT) & (share >= TRUST))
-    known = 0
+    n = F.col("n")
+
+    def enough(support: Column) -> Column:
+        share = support / n
+        lower = (share + Z * Z / (2 * n) - Z * F.sqrt(share * (1 - share) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+        return F.when(F.col("pattern").contains("<"), lower >= max(TRUST, base)).otherwise((support >= SUPPORT) & (share >= TRUST))
+
+    # most patterns have too few instances for trust, even if all were good, and take no part in the rounds
+    able = graph.groupBy("pattern").agg(F.count("*").alias("n")).filter(enough(n))
+    graph = stored(graph.join(able, "pattern"), "able")
+    patterns, known = None, 0
     for _ in range(rounds):
-        patterns = stored(graph.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if("good").alias("support")).filter(enough).select("pattern"), "patterns")
+        good = graph.withColumn("good", F.col("seed"))
+        if patterns is not None:
+            held = graph.join(patterns, "pattern", "left_semi").select("instance").distinct().withColumn("held", F.lit(True))
+            good = graph.join(held, "instance", "left").withColumn("good", F.col("seed") | F.coalesce("held", F.lit(False)))
+        patterns = stored(good.groupBy("pattern", "n").agg(F.count_if("good").alias("support")).filter(enough(F.col("support"))).select("pattern"), "patterns")
         if (found := patterns.count()) == known:  # patterns stay trusted, so as many are the same ones
             return patterns
         known = found
-        held = graph.join(patterns, "pattern").select("instance").distinct().withColumn("held", F.lit(True))
-        graph = stored(graph.join(held, "instance", "left").select("pattern", "instance", "seed", (F.col("seed") | F.coalesce("held", F.lit(False))).alias("good")), "graph")
     raise RuntimeError(f"no fixed point after {rounds} rounds")
 
 
@@ -180,7 +188,7 @@ def find(docs: DataFrame, text: str = "text", key: str = "doc_id", into: str = "
     each = seen.select("key", "t", F.explode("seen").alias("s")).select("key", "t", "s.*")
     own_patterns = each.select(F.explode("patterns").alias("pattern"), "instance", "kind")
     graph = own_patterns.groupBy("pattern", "instance").agg(F.bool_or(F.col("kind").isNotNull()).alias("seed"))
-    good = trusted(stored(graph, "graph"))
+    good = trusted(graph)
     hits = each.filter("kind is null").select("key", "t", "start", "end", F.explode("patterns").alias("pattern")).join(good, "pattern", "left_semi")
     added = hits.select("key", "t", F.struct(F.lit("context").alias("kind"), "start", "end").alias("s"))
     base = each.filter("kind is not null").select("key", "t", F.struct("kind", "start", "end").alias("s"))

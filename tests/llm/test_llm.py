@@ -156,6 +156,20 @@ def test_pii_contexts_of_long_chains(spark):
     assert {r.pattern for r in pii.trusted(graph).collect()} == patterns
 
 
+def test_pii_rounds_store_only_what_may_be_trusted(spark, monkeypatch):
+    rows = [("p0", f"s{k}", True) for k in range(3)] + [(f"once{k}", f"x{k}", k % 2 == 0) for k in range(100)] + [(f"the <> w{k}", f"s{j}", True) for k in range(5) for j in range(10)]
+    for k in range(1, 6):  # each pattern is trusted a round after the one before it
+        rows += [(f"p{k - 1}", f"i{k}", False), *[(f"p{k}", f"i{j}", False) for j in (k,)], (f"p{k}", "s0", True), (f"p{k}", "s1", True)]
+    rows += [(f"<> sure {k}", f"t{k}_{j}", True) for k in range(2) for j in range(400)]
+    graph, held, stored = spark.createDataFrame(rows, "pattern string, instance string, seed boolean"), [], pii.stored
+    monkeypatch.setattr(pii, "stored", lambda df, name: held.append(df := stored(df, name)) or df)
+    found = {r.pattern for r in pii.trusted(graph).collect()}
+    assert {f"p{k}" for k in range(6)} <= found
+    kept = [{r.pattern for r in table.select("pattern").collect()} for table in held]
+    assert not any(p.startswith(("once", "the <>")) for table in kept for p in table)
+    assert [t.count() for t in held if "instance" in t.columns] == [sum(p.startswith("p") for p, *_ in rows) + (800 if found & {"<> sure 0"} else 0)]  # edges are written once, whatever the rounds
+
+
 @pytest.mark.parametrize(("text", "want"), [(f"call {'x' * 90} at ", f"{'x' * 90} at"), (f"my number{' ' * 300}", "my number"), ("one two three ", "two three"), (f"{'y' * 500} ", "y" * 500), ("  ", None)])
 def test_pii_context_is_two_whole_words(text, want):
     assert pii.context(text, len(text)) == want
