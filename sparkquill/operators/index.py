@@ -8,10 +8,11 @@ from __future__ import annotations
 import hashlib
 import math
 import time
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ from pyspark.sql import functions as F
 from sparkquill.operators import nearest
 from sparkquill.operators.attempts import EMBEDDINGS, Exhausted, Policy
 
+#: Words whose places a task keeps, at most.
+MOST_PLACES = 1 << 18
+#: Texts are dealt by the first bits of their length, so many; a part holds about so many tokens.
+BITS, PART_TOKENS = 6, 2_000_000
+#: Rows that a task gives at a time.
+GIVEN = 1024
 
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, x: s + x)
@@ -82,21 +89,36 @@ def index_rows(chunks: DataFrame, embedding: str = "embedding") -> DataFrame:
     return chunks.select(F.col("chunk_id").alias("id"), F.col("text").alias("document"), F.col(embedding).alias("embedding"), meta.alias("metadata"))
 
 
-@lru_cache(maxsize=200_000)
 def word_place(word: str, size: int) -> tuple[int, float]:
     """Where a word counts in a vector, and with which sign."""
     h = int.from_bytes(hashlib.blake2b(word.lower().encode(), digest_size=8).digest(), "big")
     return h % size, 1.0 if h >> 63 else -1.0
 
 
+class Places(dict):
+    """Of each word its place in a vector, and behind those of all positive words the place of a negative one."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MOST_PLACES:
+            self.clear()
+        at, sign = word_place(word, self.size)
+        self[word] = at = at if sign > 0 else at + self.size
+        return at
+
+
+places = lru_cache(maxsize=8)(Places)
+
+
 def hash_vector(text: str, size: int) -> list[float]:
     """A unit vector of signed word counts in hashed places."""
-    out = [0.0] * size
-    for word, n in Counter(text.split()).items():
-        at, sign = word_place(word, size)
-        out[at] += sign * n
-    norm = math.sqrt(sum(x * x for x in out))
-    return [x / norm for x in out] if norm else out
+    counts = np.bincount(np.fromiter(map(places(size).__getitem__, text.split()), np.int64), minlength=2 * size)
+    out = (counts[:size] - counts[size:]).astype(float)
+    norm = math.sqrt(out @ out)
+    return (out / norm if norm else out).tolist()
 
 
 Provider = Callable[[list[str]], list[list[float]]]
@@ -161,32 +183,53 @@ def length_batches(df: DataFrame, text: str, key: str, batch_size: int = 32, max
 def embedded_by_length(df: DataFrame, key: str, text: str, provider: str = "hash", prefix: str = "", batch_size: int = 32, max_tokens: int = 6144, parts: int | None = None, **options) -> DataFrame:
     """(key, embedding, n_tokens, batch, n_texts, padded): vectors as ``embedded`` gives them, of texts that are encoded beside texts of their length.
 
-    Texts are dealt by ranges of length, sorted within, and go to the provider in batches that are closed before they hold more
-    than ``batch_size`` texts or ``max_tokens`` padded tokens; a longer text is a batch of its own. ``batch`` names a batch
-    with its part, ``n_texts`` is how many texts it has, ``padded`` the length that they are padded to. Equal lengths are cut apart by key, so that one
-    length may fill several parts. Join the vectors to their rows by ``key``."""
-    n_tokens = F.greatest(F.lit(1), F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda x: x != "")))
+    Texts are dealt by steps of length to parts that hold equally many tokens, so that long texts fill more parts than short
+    ones; a step that fills several is cut apart by a hash of the key. They are sorted within, and go to the provider in
+    batches that are closed before they hold more than ``batch_size`` texts or ``max_tokens`` padded tokens; a longer text is a
+    batch of its own. ``batch`` names a batch with its part, ``n_texts`` is how many texts it has, ``padded`` the length that
+    they are padded to. Without ``parts`` there are as many as Spark shuffles to, or more where those would hold over
+    ``PART_TOKENS``. Join the vectors to their rows by ``key``."""
+    spark = df.sparkSession
+    n_tokens = F.size(F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r")), r"\s+"))  # an empty text has one
+    bits = F.length(F.bin("n_tokens"))
+    step = bits * 2**BITS + F.call_function("shiftright", F.col("n_tokens"), F.greatest(bits - BITS, F.lit(0)))
     sized = df.select(key, F.coalesce(text, F.lit("")).alias("_text"), n_tokens.alias("n_tokens"))
-    dealt = sized.repartitionByRange(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "n_tokens", key).sortWithinPartitions("n_tokens", key)
+    # 32 rows for each doubling of length at most
+    sizes = sized.groupBy(step.alias("_step")).agg(F.sum(F.col("n_tokens") + F.lit(1).cast("long")).alias("n")).orderBy("_step").collect()
+    total = sum(r.n for r in sizes)
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_TOKENS))
+    ends = [0, *accumulate(r.n for r in sizes)]
+    spread = spark.createDataFrame([(r[0], at * parts / total, r.n * parts / total) for r, at in zip(sizes, ends)], "_step int, _first double, _width double")
+    at = F.col("_first") + F.col("_width") * F.pmod(F.xxhash64(key), F.lit(1 << 20)) / (1 << 20)
+    dealt = sized.withColumn("_step", step).join(F.broadcast(spread), "_step", "left").withColumn("_part", F.least(F.floor(at), F.lit(parts - 1)).cast("int"))
+    dealt = dealt.select(key, "_text", "n_tokens", "_part").repartitionById(parts, "_part").drop("_part").sortWithinPartitions("n_tokens", key)
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = patient(build_provider(provider, **options))
         number, held = 0, []
 
-        def done() -> pd.DataFrame:
+        given: list[tuple] = []
+
+        def done() -> None:
             vectors = encode([prefix + t for _, t, _ in held])
             padded = max(n for *_, n in held)
-            rows = [(k, v, n, number, len(held), padded) for (k, _, n), v in zip(held, vectors, strict=True)]
+            given.extend((k, v, n, number, len(held), padded) for (k, _, n), v in zip(held, vectors, strict=True))
+
+        def frame_of(rows: list[tuple]) -> pd.DataFrame:
             return pd.DataFrame(rows, columns=[key, "embedding", "n_tokens", "_number", "n_texts", "padded"])
 
         for frame in frames:
             for row in zip(frame[key].tolist(), frame["_text"], frame["n_tokens"].tolist(), strict=True):
                 if held and (len(held) == batch_size or (len(held) + 1) * row[2] > max_tokens):
-                    yield done()
+                    done()
                     number, held = number + 1, []
+                    if len(given) >= GIVEN:
+                        yield frame_of(given)
+                        given.clear()
                 held.append(row)
         if held:
-            yield done()
+            done()
+            yield frame_of(given)
 
     kind = df.schema[key].dataType.simpleString()
     found = dealt.mapInPandas(each, f"`{key}` {kind}, embedding array<float>, n_tokens int, _number int, n_texts int, padded int")

@@ -634,6 +634,43 @@ def test_vectors_do_not_depend_on_batches(spark):
     assert waste < 1.25
 
 
+def test_long_texts_fill_more_parts_than_short_ones(spark):
+    rows = [(i, "a " * 10) for i in range(900)] + [(900 + i, "b " * (500 + i)) for i in range(100)] + [(1000, None), (1001, " \n\x0b ")]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    found = index.embedded_by_length(df, "id", "t", parts=8, size=16).collect()
+    assert {r.id: r.n_tokens for r in found} == {i: len((t or "").split()) or 1 for i, t in rows} and len(found) == len(rows)
+    tokens, lengths = Counter(), defaultdict(set)
+    for r in found:
+        tokens[r.batch.split("-")[0]] += r.n_tokens
+        lengths[r.batch.split("-")[0]].add(r.n_tokens)
+    # by equal numbers of rows one part of eight has most of the tokens
+    assert len(tokens) == 8 and max(tokens.values()) < 1.6 * sum(tokens.values()) / 8
+    spans = sorted((min(own), max(own)) for own in lengths.values())
+    assert all(low >= high / 1.07 for (_, high), (low, _) in zip(spans, spans[1:], strict=False))  # ranges of length, but for a step that two share
+    assert index.embedded_by_length(df.limit(0), "id", "t").count() == 0
+
+
+def test_more_parts_where_they_would_hold_too_many_tokens(spark, monkeypatch):
+    monkeypatch.setattr(index, "PART_TOKENS", 100)
+    df = spark.createDataFrame([(i, "a b c d e") for i in range(400)], "id long, t string")
+    assert index.embedded_by_length(df, "id", "t", size=4).rdd.getNumPartitions() >= 20
+
+
+def test_vectors_of_words_beyond_those_kept(monkeypatch):
+    text = " ".join(f"W{i % 60}" for i in range(200)) + " É é ß x  "
+    want = [0.0] * 16
+    for word in text.split():
+        at, sign = index.word_place(word, 16)
+        want[at] += sign
+    norm = sum(x * x for x in want) ** 0.5
+    for most in (1 << 18, 7):
+        monkeypatch.setattr(index, "MOST_PLACES", most)
+        index.places.cache_clear()
+        assert index.hash_vector(text, 16) == [x / norm for x in want]
+        assert len(index.places(16)) <= most
+    assert index.hash_vector(" ", 16) == [0.0] * 16
+
+
 def test_blocks_are_linear(spark):
     import time
 
